@@ -399,7 +399,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_EVENT_TRADES})""",
         "row_uuid": """
             SELECT event_id, CAST(36 AS BIGINT) AS uuid_length, '1' AS uuid_version,
-                   TRUE AS uuid_variant_ok, epoch_ms(ts) AS uuid_millis
+                   TRUE AS uuid_variant_ok, epoch_us(ts) // 1000 AS uuid_millis
             FROM events""",
         "trade_window_agg": minute,
         "trade_window_agg_hourly": _totals_sql(_EVENT_TRADES, HOUR),

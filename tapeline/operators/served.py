@@ -34,7 +34,7 @@ def as_totals(served: DataFrame, with_uuid: bool = False) -> DataFrame:
 
 
 def rows_of_date(served: DataFrame, day: str) -> DataFrame:
-    """All windows of one date, newest first. The filter prunes to the date's folder."""
+    """All windows of one date, newest first. On the served table only its folder is read."""
     return served.where(F.col("date") == F.lit(day).cast("date")).orderBy(
         F.col("window_end").desc(),
         F.col("window_start").desc(),

@@ -37,10 +37,14 @@ def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) ->
     are, whatever their skew. A larger one is joined by shuffle, where adaptive execution splits
     an oversized market (a semi join may split its left side).
     """
-    if not isinstance(channels, DataFrame):
-        rows = [(channel,) for channel in channels]
-        channels = trades.sparkSession.createDataFrame(rows, "channel string")
-    table = channel_table(channels)
-    if table.limit(BROADCAST_CHANNELS + 1).count() <= BROADCAST_CHANNELS:
+    if isinstance(channels, DataFrame):
+        table = channel_table(channels)
+        size = table.limit(BROADCAST_CHANNELS + 1).count()
+    else:
+        names = sorted(set(channels))
+        size = len(names)
+        rows = [(name,) for name in names]
+        table = channel_table(trades.sparkSession.createDataFrame(rows, "channel string"))
+    if size <= BROADCAST_CHANNELS:
         table = F.broadcast(table)
     return trades.join(table, _CHANNEL, "left_semi")

@@ -15,7 +15,6 @@ from tapeline.schemas import CHANGE_LOG, SERVED
 BatchFunction = Callable[[DataFrame, int], None]
 
 _IDENTITY = ("window_end", "window_start", "direction", "market", "fromcoin")
-_FOLDERS = ("date", "batch_ms", "batch_id")
 
 
 def with_row_ids(totals: DataFrame) -> DataFrame:
@@ -66,9 +65,11 @@ def append_to(file_format: str, **options: str) -> BatchFunction:
 def append_to_log(path: str) -> BatchFunction:
     """Batch function that writes every update batch to a change log.
 
-    Each date and batch has its own folder, which is replaced as a whole: a batch that is run
-    again rewrites its rows instead of doubling them. Rows go to few files per date, by size;
-    a date with many rows is split over several tasks.
+    Each batch has its own folder, which is replaced as a whole: a batch that is run again
+    rewrites its rows instead of doubling them. The log has no folders by date, as a backfill
+    would open one file per date and batch; rows lie in date order in few files, sized by
+    adaptive execution, so that a filter on `date` skips by Parquet statistics. The table made by
+    `fold_log` is the one kept by date.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -78,9 +79,10 @@ def append_to_log(path: str) -> BatchFunction:
         (
             rows.select(*CHANGE_LOG.fieldNames())
             .hint("rebalance", "date")
+            .sortWithinPartitions("batch_ms", "batch_id", "date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*_FOLDERS)
+            .partitionBy("batch_ms", "batch_id")
             .parquet(path)
         )
 
@@ -88,15 +90,15 @@ def append_to_log(path: str) -> BatchFunction:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a change log. Filters on `date` read only the folders of those dates."""
+    """All rows of a change log."""
     return spark.read.schema(CHANGE_LOG).parquet(path)
 
 
 def fold_log(spark: SparkSession, log: str, table: str, first: str, last: str) -> None:
     """Write the latest rows of the dates `first` to `last` to the served table.
 
-    It reads only those dates and replaces them as a whole, so it can be repeated, and must be
-    after more rows of a date have come in.
+    Each of those dates is replaced as a whole, so this can be repeated, and must be after more
+    rows of a date have come in.
     """
     dates = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
     (

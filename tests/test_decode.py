@@ -1,0 +1,135 @@
+"""Frames and records: what is accepted, what is set aside."""
+
+import json
+
+import pytest
+from helpers import text_frame, trade, trades_frame
+
+from tapeline.operators.frames import (
+    classify_frames,
+    count_kinds,
+    quarantine_of,
+    trades_of,
+)
+from tapeline.operators.records import (
+    decode_records,
+    decoded_trades,
+    encode_records,
+    rejected_records,
+)
+from tapeline.schemas import FRAME, MESSAGES, TRADE
+
+SAMPLES = {"string": "x", "bigint": 3, "double": 1.5}
+
+
+def message(kind, **extra):
+    body = {field.name: SAMPLES[field.dataType.simpleString()] for field in MESSAGES[kind]}
+    return json.dumps({**body, **extra})
+
+
+def without(row, name):
+    return {key: value for key, value in row.items() if key != name}
+
+
+GOOD = {
+    "plain": json.dumps(trade()),
+    "extra fields": json.dumps(trade(EXTRA=1, NESTED={"a": [1, 2]})),
+    "numeric type code": json.dumps(trade(TYPE=0)),
+    "whole number amounts": json.dumps(trade(Q=2, P=100, TOTAL=200)),
+    "spaces around": f"  {json.dumps(trade())}\t",
+    "over several lines": json.dumps(trade(), indent=2),
+    "before 1970": json.dumps(trade(TS=-1)),
+}
+BAD = {
+    "cut off": json.dumps(trade())[:-1],
+    "text after the end": json.dumps(trade()) + " x",
+    "two documents": json.dumps(trade()) + json.dumps(trade()),
+    "two documents with a comma": json.dumps(trade()) + "," + json.dumps(trade()),
+    "in an array": "[" + json.dumps(trade()) + "]",
+    "single quotes": json.dumps(trade()).replace('"', "'"),
+    "missing field": json.dumps(without(trade(), "RTS")),
+    "null quantity": json.dumps(trade(Q=None)),
+    "quoted quantity": json.dumps(trade(Q="2.0")),
+    "quoted NaN": json.dumps(trade(Q="NaN")),
+    "bare NaN": json.dumps(trade(Q=float("nan"))),
+    "fractional time": json.dumps(trade(TS=1.5)),
+    "quoted time": json.dumps(trade(TS="1")),
+    "time too large for 64 bits": json.dumps(trade(TS=10**20)),
+    "time no timestamp can hold": json.dumps(trade(TS=10**17)),
+    "other case": json.dumps(trade()).replace('"TS"', '"ts"'),
+    "empty": "",
+    "blank": "  ",
+    "null": "null",
+    "number": "1",
+    "string": '"x"',
+    "empty object": "{}",
+    "empty array": "[]",
+    "not JSON": "hello",
+}
+
+
+def test_a_frame_has_31_fields():
+    assert len(FRAME) == 31
+    assert len({field.name for field in FRAME}) == 31
+
+
+@pytest.mark.parametrize("kind", list(MESSAGES))
+def test_each_kind(spark, kind):
+    frames = text_frame(spark, [message(kind), message(kind, UNKNOWN="y")])
+    assert [row.kind for row in classify_frames(frames).collect()] == [kind, kind]
+
+
+def test_the_first_kind_that_fits_wins(spark):
+    both = json.loads(message("trade")) | json.loads(message("info"))
+    keys = json.loads(message("wrong_api_key")) | json.loads(message("ticker"))
+    frames = text_frame(spark, [json.dumps(both), json.dumps(keys)])
+    assert [row.kind for row in classify_frames(frames).collect()] == ["info", "ticker"]
+
+
+def test_the_type_code_plays_no_part(spark):
+    frames = text_frame(spark, [json.dumps(trade(TYPE="999"))])
+    assert classify_frames(frames).first().kind == "trade"
+
+
+def test_frames_good_and_bad(spark):
+    classified = classify_frames(text_frame(spark, [*GOOD.values(), *BAD.values(), None]))
+    assert trades_of(classified).count() == len(GOOD)
+    kept = [row.value for row in quarantine_of(classified).collect()]
+    assert sorted(kept, key=str) == sorted([*BAD.values(), None], key=str)
+    assert {row.kind: row.frames for row in count_kinds(classified).collect()} == {
+        "trade": len(GOOD),
+        "malformed": len(BAD) + 1,
+    }
+
+
+@pytest.mark.parametrize("name", list(BAD))
+def test_bad_value_is_rejected(spark, name):
+    decoded = decode_records(text_frame(spark, [BAD[name]]))
+    assert decoded.count() == 1
+    assert decoded_trades(decoded).count() == 0
+    assert [row.value for row in rejected_records(decoded).collect()] == [BAD[name]]
+
+
+def test_good_values_are_decoded(spark):
+    rows = decoded_trades(decode_records(text_frame(spark, list(GOOD.values()))))
+    assert rows.columns == TRADE.fieldNames()
+    assert [row.P for row in rows.collect()] == [100.0] * len(GOOD)
+
+
+def test_binary_values_and_other_columns(spark):
+    records = spark.createDataFrame(
+        [(b"k", json.dumps(trade()).encode(), 5), (b"k", b"\xff\xfe", 6), (None, None, 7)],
+        "key binary, value binary, offset bigint",
+    )
+    decoded = decode_records(records)
+    assert decoded_trades(decoded).count() == 1
+    assert [row.offset for row in rejected_records(decoded).collect()] == [6, 7]
+    assert rejected_records(decoded).columns == records.columns
+
+
+def test_encode_then_decode_is_identity(spark):
+    rows = [trade(), trade(M='q"\\ü', Q=1e-300, P=1.7976931348623157e308, TS=0, TOTAL=-0.1)]
+    trades = trades_frame(spark, rows)
+    records = encode_records(trades)
+    assert [row.key for row in records.collect()] == ["WSTradeMsg-2-Coinbase", 'WSTradeMsg-2-q"\\ü']
+    assert decoded_trades(decode_records(records)).collect() == trades.collect()

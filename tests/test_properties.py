@@ -1,0 +1,92 @@
+"""Properties over generated trades."""
+
+from collections import defaultdict
+from datetime import timezone
+
+from helpers import trades_frame
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tapeline.operators.normalize import assign_window, keep_sides, normalize_trades
+from tapeline.operators.records import decode_records, decoded_trades, encode_records
+from tapeline.operators.totals import window_totals
+
+FEW = settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+AMOUNT = st.floats(allow_nan=False, allow_infinity=False)
+CENTS = st.integers(0, 10**7).map(lambda n: n / 4)
+
+
+def trades(amount):
+    return st.lists(
+        st.fixed_dictionaries(
+            {
+                "TYPE": st.sampled_from(["0", "8"]),
+                "M": st.sampled_from(["Kraken", "Gemini", "ü x"]),
+                "FSYM": st.sampled_from(["BTC", "ETH"]),
+                "TSYM": st.sampled_from(["USD", "USDT"]),
+                "F": st.sampled_from(["1", "2", "4", ""]),
+                "ID": st.text(max_size=8).filter(lambda s: "\x00" not in s),
+                "TS": st.integers(0, 4_000),
+                "Q": amount,
+                "P": amount,
+                "TOTAL": amount,
+                "RTS": st.integers(-(2**63), 2**63 - 1),
+            }
+        ),
+        min_size=1,
+        max_size=120,
+    )
+
+
+@FEW
+@given(rows=trades(CENTS), period=st.sampled_from([1, 60, 90, 3600]))
+def test_totals_equal_a_plain_loop(spark, rows, period):
+    expected = defaultdict(list)
+    for row in rows:
+        if row["F"] in ("1", "2"):
+            side = "SELL" if row["F"] == "1" else "BUY"
+            expected[row["M"], row["FSYM"], side, row["TS"] // period * period].append(row)
+    found = window_totals(trades_frame(spark, rows), period).withColumn(
+        "start", F.unix_seconds("window_start")
+    )
+    result = {(r.market, r.fromcoin, r.direction, r.start): r for r in found.collect()}
+    assert set(result) == set(expected)
+    for key, group in expected.items():
+        row = result[key]
+        assert row.counttxns == len(group)
+        assert row.totalvol == sum(r["TOTAL"] for r in group)
+        assert row.totalquantity == sum(r["Q"] for r in group)
+        assert row.avgprice == sum(r["P"] for r in group) / len(group)
+        assert row.window_end.replace(tzinfo=timezone.utc).timestamp() == key[3] + period
+
+
+@FEW
+@given(rows=trades(CENTS), period=st.sampled_from([60, 7, 86_400]))
+def test_windows_hold_their_trade_and_are_aligned(spark, rows, period):
+    windows = assign_window(normalize_trades(trades_frame(spark, rows)), period).select(
+        F.unix_seconds("timestamp").alias("at"),
+        F.unix_seconds("window_start").alias("start"),
+        F.unix_seconds("window_end").alias("end"),
+    )
+    for row in windows.collect():
+        assert row.start <= row.at < row.end == row.start + period
+        assert row.start % period == 0
+
+
+@FEW
+@given(rows=trades(CENTS))
+def test_counts_add_up_to_the_trades_kept(spark, rows):
+    frame = trades_frame(spark, rows)
+    total = window_totals(frame).agg(F.sum("counttxns")).first()[0] or 0
+    assert total == keep_sides(frame).count()
+
+
+@FEW
+@given(rows=trades(AMOUNT))
+def test_encode_then_decode_is_identity(spark, rows):
+    frame = trades_frame(spark, rows)
+    back = decoded_trades(decode_records(encode_records(frame)))
+    assert back.collect() == frame.collect()
