@@ -7,6 +7,10 @@
   trades for it still arrive after that, it starts again from nothing, and its new row replaces
   the full one in a keyed table. In the first micro-batch the watermark is still 0, so the groups
   of that batch expire in the next one unless they are updated again.
+
+State calls cost far more than the sums they keep, so state is kept per bucket of groups, not per
+group. Every group in a bucket has its own timeout; the bucket's is the earliest of them, so the
+bucket is called in every micro-batch in which one of its groups is updated or expires.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -28,30 +33,47 @@ from tapeline.operators.normalize import (
 from tapeline.operators.totals import CURRENCY, WATERMARK, total_columns
 
 IDLE_MS = 5 * 60 * 1000
+BUCKETS = 256
 
 _KEY = ["market", "fromcoin", "direction", "window_seconds"]
 _SUMS = ["vol", "price", "quantity", "n"]
 _PARTIAL = (
-    "market string, fromcoin string, direction string, window_seconds bigint, "
+    "bucket int, market string, fromcoin string, direction string, window_seconds bigint, "
     "timestamp timestamp, vol double, price double, quantity double, n bigint"
 )
-_STATE = "vol double, price double, quantity double, n bigint"
+_STATE = "groups binary"
 _OUTPUT = (
     "market string, fromcoin string, direction string, window_seconds bigint, "
     "totalvol double, avgprice double, totalquantity double, counttxns bigint"
 )
+_GROUPS = pa.schema(
+    [
+        ("market", pa.string()),
+        ("fromcoin", pa.string()),
+        ("direction", pa.string()),
+        ("window_seconds", pa.int64()),
+        ("vol", pa.float64()),
+        ("price", pa.float64()),
+        ("quantity", pa.float64()),
+        ("n", pa.int64()),
+        ("timeout_ms", pa.int64()),
+        ("updated", pa.bool_()),
+    ]
+)
 
 # Partial rows a task holds before it passes them on.
 _HELD_ROWS = 200_000
 
 
+def _grouped(rows: pa.Table, by: list[str], functions: dict[str, str]) -> pa.Table:
+    result = rows.group_by(by, use_threads=False).aggregate(list(functions.items()))
+    names = {f"{name}_{function}": name for name, function in functions.items()}
+    result = result.rename_columns([names.get(name, name) for name in result.column_names])
+    return result.select(rows.column_names).cast(rows.schema)
+
+
 def _combine(rows: pa.Table) -> pa.Table:
-    by = [*_KEY, "timestamp"]
-    summed = rows.group_by(by, use_threads=False).aggregate([(name, "sum") for name in _SUMS])
-    return pa.table(
-        [summed[name] for name in by] + [summed[f"{name}_sum"] for name in _SUMS],
-        schema=rows.schema,
-    )
+    return _grouped(rows, ["bucket", *_KEY, "timestamp"], dict.fromkeys(_SUMS, "sum"))
 
 
 def combine_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,29 +95,67 @@ def combine_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield from _combine(held).to_batches()
 
 
-def _update(
-    key: tuple, partials: Iterator[pd.DataFrame], state: GroupState, idle_ms: int
+def merge_groups(kept: pa.Table, new: pa.Table, watermark_ms: int) -> pa.Table:
+    """Add new partial rows to the groups of a bucket and drop those past their timeout.
+
+    A group updated now is never dropped, even if its timeout has passed.
+    """
+    kept = kept.set_column(
+        kept.schema.get_field_index("updated"), "updated", pa.repeat(False, kept.num_rows)
+    )
+    functions = {**dict.fromkeys(_SUMS, "sum"), "timeout_ms": "max", "updated": "max"}
+    merged = _grouped(pa.concat_tables([kept, new]), _KEY, functions)
+    alive = pc.or_(merged["updated"], pc.greater_equal(merged["timeout_ms"], watermark_ms))
+    return merged.filter(alive)
+
+
+def _read(groups: bytes) -> pa.Table:
+    with pa.ipc.open_stream(groups) as reader:
+        return reader.read_all()
+
+
+def _write(groups: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, groups.schema) as writer:
+        writer.write_table(groups.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _arrived(rows: pd.DataFrame, timeout_ms: int) -> pa.Table:
+    marked = rows.assign(timeout_ms=timeout_ms, updated=True)
+    table = pa.Table.from_pandas(marked[_GROUPS.names], schema=_GROUPS, preserve_index=False)
+    return _grouped(
+        table, _KEY, {**dict.fromkeys(_SUMS, "sum"), "timeout_ms": "max", "updated": "max"}
+    )
+
+
+def _update_bucket(
+    partials: Iterator[pd.DataFrame], state: GroupState, idle_ms: int
 ) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
+    watermark_ms = state.getCurrentWatermarkMs()
+    kept = _read(bytes(state.get[0])) if state.exists else _GROUPS.empty_table()
+    new = _GROUPS.empty_table()
+    if not state.hasTimedOut:
+        for rows in partials:
+            new = pa.concat_tables([new, _arrived(rows, watermark_ms + idle_ms)])
+    groups = merge_groups(kept, new, watermark_ms)
+    if groups.num_rows == 0:
         state.remove()
         return
-    vol, price, quantity, n = state.get if state.exists else (0.0, 0.0, 0.0, 0)
-    for rows in partials:
-        vol += float(rows["vol"].sum())
-        price += float(rows["price"].sum())
-        quantity += float(rows["quantity"].sum())
-        n += int(rows["n"].sum())
-    state.update((vol, price, quantity, n))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + idle_ms)
-    yield pd.DataFrame(
-        {
-            **{name: [value] for name, value in zip(_KEY, key)},
-            "totalvol": [vol],
-            "avgprice": [price / n],
-            "totalquantity": [quantity],
-            "counttxns": [n],
-        }
-    )
+    state.update((_write(groups),))
+    earliest = pc.min(groups["timeout_ms"]).as_py()
+    state.setTimeoutTimestamp(max(earliest, watermark_ms + 1))
+    updated = groups.filter(groups["updated"])
+    if updated.num_rows:
+        yield pd.DataFrame(
+            {
+                **{name: updated[name].to_pandas() for name in _KEY},
+                "totalvol": updated["vol"].to_pandas(),
+                "avgprice": pc.divide(updated["price"], updated["n"]).to_pandas(),
+                "totalquantity": updated["quantity"].to_pandas(),
+                "counttxns": updated["n"].to_pandas(),
+            }
+        )
 
 
 def stateful_totals(
@@ -105,18 +165,23 @@ def stateful_totals(
     watermark: str = WATERMARK,
     idle_ms: int = IDLE_MS,
     currency: str = CURRENCY,
+    buckets: int = BUCKETS,
     max_partitions: int | None = None,
 ) -> DataFrame:
-    """The rows of `window_totals`, kept in explicit state. Streams only, update mode."""
+    """The rows of `window_totals`, kept in explicit state. Streams only, update mode.
+
+    Groups are spread over `buckets` by their whole key, window included, so a busy market is
+    spread as well. Take a few per core, and more if very many groups are open at once; like the
+    shuffle width, the number is fixed by the checkpoint.
+    """
     if max_partitions is not None:
         trades = trades.coalesce(max_partitions)
     windowed = assign_window(normalize_trades(keep_sides(trades)), period_seconds)
+    keyed = windowed.withColumn("window_seconds", F.unix_seconds("window_start"))
     partials = (
-        windowed.select(
-            "market",
-            "fromcoin",
-            "direction",
-            F.unix_seconds("window_start").alias("window_seconds"),
+        keyed.select(
+            F.pmod(F.xxhash64(*_KEY), F.lit(buckets)).cast("int").alias("bucket"),
+            *_KEY,
             "timestamp",
             "vol",
             "price",
@@ -128,9 +193,9 @@ def stateful_totals(
     )
 
     def update(key, rows, state):
-        return _update(key, rows, state, idle_ms)
+        return _update_bucket(rows, state, idle_ms)
 
-    totals = partials.groupBy(*_KEY).applyInPandasWithState(
+    totals = partials.groupBy("bucket").applyInPandasWithState(
         update, _OUTPUT, _STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
     return total_columns(
