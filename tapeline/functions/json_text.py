@@ -36,14 +36,15 @@ def only_document(documents: Column) -> Column:
     return F.when(F.size(documents) == 1, F.get(documents, F.lit(0)))
 
 
-def has_fields(document: Column, message: StructType) -> Column:
-    """True when the document holds every field of the message with a usable value."""
-    present = F.lit(True)
+def is_message(documents: Column, message: StructType) -> Column:
+    """True for a single document that holds every field of the message with a usable value."""
+    document = F.get(documents, F.lit(0))
+    fits = F.size(documents) == 1
     for field in message:
-        present = present & document.getField(field.name).isNotNull()
+        fits = fits & document.getField(field.name).isNotNull()
     if message is schemas.TRADE:
-        present = present & document.getField("TS").between(_MIN_SECONDS, _MAX_SECONDS)
-    return present
+        fits = fits & document.getField("TS").between(_MIN_SECONDS, _MAX_SECONDS)
+    return fits
 
 
 def pick_fields(document: Column, message: StructType) -> list[Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.functions.json_text import has_fields, only_document, parsed_documents, pick_fields
+from tapeline.functions.json_text import is_message, only_document, parsed_documents, pick_fields
 from tapeline.schemas import FRAME, MESSAGES, TRADE
 
 MALFORMED = "malformed"
@@ -20,15 +20,15 @@ def classify_frames(frames: DataFrame, text: str = "value") -> DataFrame:
     parsed = frames.select(
         "*", parsed_documents(F.col(text).cast("string"), FRAME).alias("_documents")
     )
-    message = only_document(F.col("_documents"))
+    documents = F.col("_documents")
     kind: Column | None = None
     for name, fields in MESSAGES.items():
-        fits = has_fields(message, fields)
+        fits = is_message(documents, fields)
         kind = F.when(fits, name) if kind is None else kind.when(fits, name)
     return parsed.select(
         *[F.col(name) for name in frames.columns],
         kind.otherwise(MALFORMED).alias("kind"),
-        message.alias("message"),
+        only_document(documents).alias("message"),
     )
 
 

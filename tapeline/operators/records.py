@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.functions.json_text import has_fields, only_document, parsed_documents, pick_fields
+from tapeline.functions.json_text import is_message, only_document, parsed_documents, pick_fields
 from tapeline.functions.trades import record_key
 from tapeline.schemas import TRADE
 
@@ -23,10 +23,10 @@ def decode_records(records: DataFrame, value: str = "value") -> DataFrame:
     parsed = records.select(
         "*", parsed_documents(F.col(value).cast("string"), TRADE).alias("_documents")
     )
-    document = only_document(F.col("_documents"))
+    documents = F.col("_documents")
     return parsed.select(
         *[F.col(name) for name in records.columns],
-        F.when(has_fields(document, TRADE), document).alias("trade"),
+        F.when(is_message(documents, TRADE), only_document(documents)).alias("trade"),
     )
 
 
