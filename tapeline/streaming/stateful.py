@@ -38,8 +38,8 @@ BUCKETS = 256
 _KEY = ["market", "fromcoin", "direction", "window_seconds"]
 _SUMS = ["vol", "price", "quantity", "n"]
 _PARTIAL = (
-    "bucket int, market string, fromcoin string, direction string, window_seconds bigint, "
-    "timestamp timestamp, vol double, price double, quantity double, n bigint"
+    "market string, fromcoin string, direction string, seconds bigint, "
+    "vol double, price double, quantity double, n bigint"
 )
 _STATE = "groups binary"
 _OUTPUT = (
@@ -61,7 +61,7 @@ _GROUPS = pa.schema(
     ]
 )
 
-# Partial rows a task holds before it passes them on.
+# Rows a task holds before it combines them.
 _HELD_ROWS = 200_000
 
 
@@ -72,27 +72,27 @@ def _grouped(rows: pa.Table, by: list[str], functions: dict[str, str]) -> pa.Tab
     return result.select(rows.column_names).cast(rows.schema)
 
 
-def _combine(rows: pa.Table) -> pa.Table:
-    return _grouped(rows, ["bucket", *_KEY, "timestamp"], dict.fromkeys(_SUMS, "sum"))
-
-
 def combine_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum a task's trades per key and second, before they are shuffled.
 
     Trade times are whole seconds, so a window of 60 s sends at most 60 rows per key and task,
     however many trades it holds. Rows of one second share one time and are late or not together.
     """
-    held: pa.Table | None = None
+    by = ["market", "fromcoin", "direction", "seconds"]
+    held: list[pa.RecordBatch] = []
+    rows = 0
     for batch in batches:
-        partial = _combine(pa.Table.from_batches([batch]))
-        held = partial if held is None else pa.concat_tables([held, partial])
-        if held.num_rows >= _HELD_ROWS:
-            held = _combine(held)
-            if held.num_rows >= _HELD_ROWS // 2:
-                yield from held.to_batches()
-                held = None
-    if held is not None:
-        yield from _combine(held).to_batches()
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= _HELD_ROWS:
+            combined = _grouped(pa.Table.from_batches(held), by, dict.fromkeys(_SUMS, "sum"))
+            held, rows = combined.to_batches(), combined.num_rows
+            if rows >= _HELD_ROWS // 2:
+                yield from held
+                held, rows = [], 0
+    if held:
+        combined = _grouped(pa.Table.from_batches(held), by, dict.fromkeys(_SUMS, "sum"))
+        yield from combined.to_batches()
 
 
 def merge_groups(kept: pa.Table, new: pa.Table, watermark_ms: int) -> pa.Table:
@@ -176,21 +176,26 @@ def stateful_totals(
     """
     if max_partitions is not None:
         trades = trades.coalesce(max_partitions)
-    windowed = assign_window(normalize_trades(keep_sides(trades)), period_seconds)
-    keyed = windowed.withColumn("window_seconds", F.unix_seconds("window_start"))
-    partials = (
-        keyed.select(
-            F.pmod(F.xxhash64(*_KEY), F.lit(buckets)).cast("int").alias("bucket"),
-            *_KEY,
-            "timestamp",
-            "vol",
-            "price",
-            "quantity",
-            F.lit(1).cast("bigint").alias("n"),
-        )
-        .mapInArrow(combine_partials, _PARTIAL)
-        .withWatermark("timestamp", watermark)
-    )
+    normalized = normalize_trades(keep_sides(trades))
+    combined = normalized.select(
+        "market",
+        "fromcoin",
+        "direction",
+        F.unix_seconds("timestamp").alias("seconds"),
+        "vol",
+        "price",
+        "quantity",
+        F.lit(1).cast("bigint").alias("n"),
+    ).mapInArrow(combine_partials, _PARTIAL)
+    windowed = assign_window(
+        combined.withColumn("timestamp", F.timestamp_seconds("seconds")), period_seconds
+    ).withColumn("window_seconds", F.unix_seconds("window_start"))
+    partials = windowed.select(
+        F.pmod(F.xxhash64(*_KEY), F.lit(buckets)).cast("int").alias("bucket"),
+        *_KEY,
+        "timestamp",
+        *_SUMS,
+    ).withWatermark("timestamp", watermark)
 
     def update(key, rows, state):
         return _update_bucket(rows, state, idle_ms)

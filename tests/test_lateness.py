@@ -106,12 +106,12 @@ def test_merge_adds_keeps_and_forgets():
 
 def test_combine_partials_bounds_what_it_holds(monkeypatch):
     monkeypatch.setattr(stateful, "_HELD_ROWS", 10)
-    schema = pa.schema([("bucket", pa.int32())] + list(stateful._GROUPS)[:4]
-                       + [("timestamp", pa.timestamp("us", "UTC"))] + list(stateful._GROUPS)[4:8])
+    fields = list(stateful._GROUPS)
+    schema = pa.schema([*fields[:3], ("seconds", pa.int64()), *fields[4:8]])
 
     def batch(second, count):
-        columns = [[0] * count, ["M"] * count, ["BTC"] * count, ["BUY"] * count, [0] * count,
-                   [(second + i % 3) * 10**6 for i in range(count)],
+        columns = [["M"] * count, ["BTC"] * count, ["BUY"] * count,
+                   [second + i % 3 for i in range(count)],
                    [1.0] * count, [2.0] * count, [3.0] * count, [1] * count]
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema)
 
