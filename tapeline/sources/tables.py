@@ -88,15 +88,15 @@ def events_as_frames(events: DataFrame) -> DataFrame:
     trade = _json(TRADE, **{name: F.col(name) for name in TRADE.fieldNames()})
     number = F.col("event_id")
     start = _json(
-        START, TYPE=F.lit("20"), MESSAGE=F.lit("STREAMERWELCOME"),
+        START, TYPE=F.lit("20"), MESSAGE=F.lit("welcome"),
         SERVER_UPTIME_SECONDS=number, SERVER_TIME_MS=F.col("TS") * 1000, CLIENT_ID=number,
         SOCKET_ID=F.col("ID"), RATELIMIT_MAX_DAY=F.lit(10000),
         RATELIMIT_REMAINING_DAY=F.lit(9999), RATELIMIT_MAX_MINUTE=F.lit(100),
         RATELIMIT_REMAINING_MINUTE=F.lit(99),
     )
-    info = _json(INFO, TYPE=F.lit("999"), MESSAGE=F.lit("HEARTBEAT"), TIMEMS=F.col("TS") * 1000)
+    info = _json(INFO, TYPE=F.lit("999"), MESSAGE=F.lit("heartbeat"), TIMEMS=F.col("TS") * 1000)
     wrong_key = _json(
-        WRONG_API_KEY, TYPE=F.lit("401"), MESSAGE=F.lit("UNAUTHORIZED"),
+        WRONG_API_KEY, TYPE=F.lit("401"), MESSAGE=F.lit("refused"),
         PARAMETER=F.lit("api_key"), INFO=F.lit("The key is not valid"),
     )
     ticker = _json(

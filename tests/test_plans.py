@@ -12,8 +12,10 @@ from tapeline.operators.records import decode_records, decoded_trades, encode_re
 from tapeline.operators.served import latest_rows, rows_of_date
 from tapeline.operators.subscriptions import subscribed_trades
 from tapeline.operators.totals import window_totals
+from tapeline.plans.jobs import feed_records, topic_trades
 from tapeline.schemas import CHANGE_LOG, SERVED
 from tapeline.sources.files import read_lines, read_trades
+from tapeline.streaming.sinks import read_log
 
 
 def plan(df):
@@ -52,6 +54,8 @@ def test_totals_read_what_they_need(trade_files):
         lambda lines: count_kinds(classify_frames(lines)),
         lambda lines: window_totals(decoded_trades(decode_records(lines))),
         lambda lines: encode_records(trades_of(classify_frames(lines))),
+        feed_records,
+        lambda lines: window_totals(topic_trades(lines)),
     ],
 )
 def test_text_is_parsed_once(spark, tmp_path, make):
@@ -83,6 +87,12 @@ def test_one_date_reads_one_folder(spark, tmp_path):
     assert re.search(r"PartitionFilters: .*date#\d+ = 2021-01-08", text)
 
 
+def test_one_open_date_is_filtered_in_the_log_scan(spark, tmp_path):
+    spark.createDataFrame([], CHANGE_LOG).write.parquet(str(tmp_path / "log"))
+    text = plan(rows_of_date(latest_rows(read_log(spark, str(tmp_path / "log"))), "2021-01-08"))
+    assert "EqualTo(date,2021-01-08)" in text
+
+
 def test_latest_rows_combine_before_the_shuffle(spark):
     tree = plan(latest_rows(spark.createDataFrame([], CHANGE_LOG))).split("(1)")[0]
     assert len(re.findall(r"[-+] Exchange \(", tree)) == 1

@@ -5,8 +5,10 @@ import uuid
 
 import pytest
 from helpers import trade, trades_frame, write_batches
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tapeline.operators.records import encode_records
 from tapeline.operators.served import (
     MARKET_KEY,
     as_totals,
@@ -23,7 +25,7 @@ from tapeline.plans.jobs import (
     topic_to_table,
 )
 from tapeline.sources.files import read_lines, read_trades
-from tapeline.sources.kafka import topic_options
+from tapeline.sources.kafka import read_topic, topic_options
 from tapeline.streaming.runs import run_for, session_settings, start, work_folder
 from tapeline.streaming.sinks import (
     append_to,
@@ -31,6 +33,7 @@ from tapeline.streaming.sinks import (
     fold_log,
     read_log,
     read_table,
+    topic_writer,
     with_row_ids,
 )
 from tapeline.streaming.stateful import stateful_totals
@@ -97,6 +100,14 @@ def test_rows_of_closed_windows_are_dropped(spark, tmp_path, make):
     assert emitted(spark, tmp_path, make, batches)[-1] == [("10:31", 3.0, 2)]
 
 
+@pytest.mark.parametrize("make", [window_totals, stateful_totals])
+def test_a_stream_in_fewer_partitions(spark, tmp_path, make):
+    def narrow(trades):
+        return make(trades, 300, max_partitions=2)
+
+    assert emitted(spark, tmp_path, narrow, [on_time(40)[:1] * 40])[0][0][2] == 40
+
+
 @pytest.mark.parametrize("make", [window_totals, stateful_totals])
 def test_only_changed_groups_are_emitted(spark, tmp_path, make):
     batches = [
@@ -286,7 +297,7 @@ def test_topic_to_table(spark, tmp_path):
 
 def test_feed_to_topic(spark, tmp_path):
     frames = [json.dumps(row) for row in on_time(9)] + ['{"TYPE":"999"', "{}"]
-    frames.append(json.dumps({"TYPE": "999", "MESSAGE": "HEARTBEAT", "TIMEMS": 1}))
+    frames.append(json.dumps({"TYPE": "999", "MESSAGE": "heartbeat", "TIMEMS": 1}))
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "frames.txt").write_text("\n".join(frames) + "\n")
     source = read_lines(spark, str(tmp_path / "in"))
@@ -328,6 +339,18 @@ def test_topic_options():
     }
 
 
+@pytest.mark.parametrize("side", ["source", "sink"])
+def test_topic_needs_the_connector(spark, tmp_path, side):
+    write_batches(tmp_path / "in", [on_time(3)])
+    with pytest.raises(AnalysisException, match="kafka"):
+        if side == "source":
+            read_topic(spark, "host:9092", "trades")
+        else:
+            trades = read_trades(spark, str(tmp_path / "in"))
+            writer = topic_writer(encode_records(trades), "host:9092", "trades")
+            start(spark, writer, str(tmp_path / "state"), once=True)
+
+
 def test_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with session_settings(spark, {"spark.sql.shuffle.partitions": "3", "tapeline.x": "1"}):
