@@ -19,6 +19,9 @@ DEFAULT_CHANNELS = (
 # A channel is three short names; this many of them are some tens of megabytes.
 BROADCAST_CHANNELS = 500_000
 
+# Parts that a market is split into when the channels are too many to broadcast.
+SALTS = 32
+
 _CHANNEL = ["M", "FSYM", "TSYM"]
 
 
@@ -34,8 +37,10 @@ def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) ->
     """Trades whose market, coin and currency are in `channels`.
 
     The channel table is broadcast when it is counted to be small: trades then stay where they
-    are, whatever their skew. A larger one is joined by shuffle, where adaptive execution splits
-    an oversized market (a semi join may split its left side).
+    are, whatever their skew. A larger one is joined by shuffle, with a copy of it for every salt:
+    the salt of a trade is the partition it lies in, so that a market with a third of all trades,
+    or of all copies of one trade, goes to many tasks, and a task run again sends the same rows to
+    the same place.
     """
     if isinstance(channels, DataFrame):
         table = channel_table(channels)
@@ -46,5 +51,7 @@ def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) ->
         rows = [(name,) for name in names]
         table = channel_table(trades.sparkSession.createDataFrame(rows, "channel string"))
     if size <= BROADCAST_CHANNELS:
-        table = F.broadcast(table)
-    return trades.join(table, _CHANNEL, "left_semi")
+        return trades.join(F.broadcast(table), _CHANNEL, "left_semi")
+    salted = trades.withColumn("_salt", F.spark_partition_id() % SALTS)
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*_CHANNEL, "_salt"], "left_semi").select(*trades.columns)

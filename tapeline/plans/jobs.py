@@ -28,6 +28,8 @@ from tapeline.operators.totals import window_totals
 from tapeline.streaming.runs import start
 from tapeline.streaming.sinks import append_to_log, console_writer, topic_writer, with_row_ids
 
+Totals = Callable[[DataFrame, int], DataFrame]
+
 
 def feed_records(
     frames: DataFrame, channels: Sequence[str] | DataFrame | None = None
@@ -50,11 +52,15 @@ def live_view(
     *,
     period_seconds: int = WINDOW_SECONDS,
     rows: int = 50,
+    totals: Totals = window_totals,
     **run: Any,
 ) -> StreamingQuery:
-    """Trades to the console: the windows that changed, every 15 seconds."""
-    totals = window_totals(trades, period_seconds)
-    return start(trades.sparkSession, console_writer(totals, rows), checkpoint, **run)
+    """Trades to the console: the windows that changed, every 15 seconds.
+
+    `totals` may be `stateful_totals`, for its rules on late trades.
+    """
+    writer = console_writer(totals(trades, period_seconds), rows)
+    return start(trades.sparkSession, writer, checkpoint, **run)
 
 
 def feed_to_topic(
@@ -82,11 +88,12 @@ def topic_to_table(
     checkpoint: str,
     *,
     period_seconds: int = WINDOW_SECONDS,
+    totals: Totals = window_totals,
     **run: Any,
 ) -> StreamingQuery:
     """Topic records to the change log behind the served table, every 15 seconds."""
-    totals = with_row_ids(window_totals(topic_trades(records), period_seconds))
-    writer = totals.writeStream.outputMode("update").foreachBatch(append_to_log(log))
+    rows = with_row_ids(totals(topic_trades(records), period_seconds))
+    writer = rows.writeStream.outputMode("update").foreachBatch(append_to_log(log))
     return start(records.sparkSession, writer, checkpoint, **run)
 
 

@@ -4,10 +4,11 @@ import json
 import uuid
 
 import pytest
-from helpers import trade, trades_frame, write_batches
+from helpers import seconds, trade, trades_frame, write_batches
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tapeline.operators import subscriptions
 from tapeline.operators.records import encode_records
 from tapeline.operators.served import (
     MARKET_KEY,
@@ -105,7 +106,8 @@ def test_a_stream_in_fewer_partitions(spark, tmp_path, make):
     def narrow(trades):
         return make(trades, 300, max_partitions=2)
 
-    assert emitted(spark, tmp_path, narrow, [on_time(40)[:1] * 40])[0][0][2] == 40
+    ((group,),) = emitted(spark, tmp_path, narrow, [on_time(1) * 40])
+    assert group[2] == 40
 
 
 @pytest.mark.parametrize("make", [window_totals, stateful_totals])
@@ -208,6 +210,21 @@ def test_new_checkpoint_on_an_old_log(spark, tmp_path):
     assert (row.avgprice, row.counttxns) == (9.0, 1)
 
 
+def test_dates_follow_the_session_time_zone(spark, tmp_path):
+    """In a zone one hour ahead, the day that ends at 23:00 UTC gives way to the next."""
+    with session_settings(spark, {"spark.sql.session.timeZone": "Etc/GMT-1"}):
+        rows = [trade("22:58:30"), trade("22:59:30")]
+        totals = window_totals(trades_frame(spark, rows)).orderBy("window_end")
+        dates = [row.s for row in totals.select(F.unix_seconds("date").alias("s")).collect()]
+        assert dates == [seconds("23:00:00", "2021-01-07"), seconds("23:00:00")]
+        log = one_log(spark, tmp_path, [rows])
+        served = latest_rows(read_log(spark, log))
+        assert [str(row.date) for row in served.orderBy("date").select("date").collect()] == [
+            "2021-01-08", "2021-01-09",
+        ]
+        assert rows_of(as_totals(served)) == rows_of(totals)
+
+
 def one_log(spark, tmp_path, batches):
     log = str(tmp_path / "log")
     for batch_id, rows in enumerate(batches):
@@ -276,11 +293,13 @@ def records_folder(spark, folder, rows, bad=()):
     return spark.readStream.schema(records.schema).parquet(str(folder))
 
 
-def test_topic_to_table(spark, tmp_path):
+@pytest.mark.parametrize("totals", [window_totals, stateful_totals])
+def test_topic_to_table(spark, tmp_path, totals):
     rows = on_time()
     records = records_folder(spark, tmp_path / "topic", rows, bad=['{"TYPE":', "x"])
     log = str(tmp_path / "log")
-    query = topic_to_table(records, log, str(tmp_path / "state"), once=True, shuffle_partitions=3)
+    query = topic_to_table(records, log, str(tmp_path / "state"), totals=totals, once=True,
+                           shuffle_partitions=3)
     query.awaitTermination()
     assert rows_of(as_totals(latest_rows(read_log(spark, log)))) == rows_of(
         window_totals(trades_frame(spark, rows))
@@ -295,6 +314,22 @@ def test_topic_to_table(spark, tmp_path):
     assert sorted(bytes(row.value) for row in kept.collect()) == [b"x", b'{"TYPE":']
 
 
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_feed_to_topic_of_some_channels(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(subscriptions, "BROADCAST_CHANNELS", bound)
+    write_batches(tmp_path / "in", [on_time(20)])
+    out = str(tmp_path / "out")
+    feed_to_topic(
+        read_lines(spark, str(tmp_path / "in")),
+        lambda records: records.writeStream.format("parquet").option("path", out),
+        str(tmp_path / "state"),
+        channels=["0~Kraken~BTC~USD"],
+        once=True,
+    ).awaitTermination()
+    records = spark.read.parquet(out).collect()
+    assert sorted(int(json.loads(row.value)["ID"]) for row in records) == list(range(0, 20, 2))
+
+
 def test_feed_to_topic(spark, tmp_path):
     frames = [json.dumps(row) for row in on_time(9)] + ['{"TYPE":"999"', "{}"]
     frames.append(json.dumps({"TYPE": "999", "MESSAGE": "heartbeat", "TIMEMS": 1}))
