@@ -89,11 +89,15 @@ def topic_to_table(
     *,
     period_seconds: int = WINDOW_SECONDS,
     totals: Totals = window_totals,
+    by_date: bool = False,
     **run: Any,
 ) -> StreamingQuery:
-    """Topic records to the change log behind the served table, every 15 seconds."""
+    """Topic records to the change log behind the served table, every 15 seconds.
+
+    `by_date` gives the log folders by date, see `append_to_log`.
+    """
     rows = with_row_ids(totals(topic_trades(records), period_seconds))
-    writer = rows.writeStream.outputMode("update").foreachBatch(append_to_log(log))
+    writer = rows.writeStream.outputMode("update").foreachBatch(append_to_log(log, by_date))
     return start(records.sparkSession, writer, checkpoint, **run)
 
 

@@ -62,15 +62,18 @@ def append_to(file_format: str, **options: str) -> BatchFunction:
     return write
 
 
-def append_to_log(path: str) -> BatchFunction:
+def append_to_log(path: str, by_date: bool = False) -> BatchFunction:
     """Batch function that writes every update batch to a change log.
 
     Each batch has its own folder, which is replaced as a whole: a batch that is run again
-    rewrites its rows instead of doubling them. The log has no folders by date, as a backfill
-    would open one file per date and batch; rows lie in date order in few files, sized by
-    adaptive execution, so that a filter on `date` skips by Parquet statistics. The table made by
-    `fold_log` is the one kept by date.
+    rewrites its rows instead of doubling them. Rows lie in date order in few files, sized by
+    adaptive execution, so that a filter on `date` skips by Parquet statistics.
+
+    With `by_date` there are folders by date above those of the batches, and a filter on `date`
+    reads only its folder. That suits a live feed, whose batches hold one or two dates; a backfill
+    would open one file per date and batch. The table made by `fold_log` is by date in any case.
     """
+    folders = [*(["date"] if by_date else []), "batch_ms", "batch_id"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
@@ -79,10 +82,10 @@ def append_to_log(path: str) -> BatchFunction:
         (
             rows.select(*CHANGE_LOG.fieldNames())
             .hint("rebalance", "date")
-            .sortWithinPartitions("batch_ms", "batch_id", "date")
+            .sortWithinPartitions(*folders, "date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_ms", "batch_id")
+            .partitionBy(*folders)
             .parquet(path)
         )
 

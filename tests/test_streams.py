@@ -225,12 +225,12 @@ def test_dates_follow_the_session_time_zone(spark, tmp_path):
         assert rows_of(as_totals(served)) == rows_of(totals)
 
 
-def one_log(spark, tmp_path, batches):
+def one_log(spark, tmp_path, batches, by_date=False):
     log = str(tmp_path / "log")
     for batch_id, rows in enumerate(batches):
         totals = window_totals(trades_frame(spark, rows))
         stamped = totals.withColumn("batch_ms", F.lit(1_000 + batch_id).cast("bigint"))
-        append_to_log(log)(stamped.withColumn("uuid", F.lit("u")), batch_id)
+        append_to_log(log, by_date)(stamped.withColumn("uuid", F.lit("u")), batch_id)
     return log
 
 
@@ -241,6 +241,39 @@ def test_keys_of_the_served_table(spark, tmp_path):
     assert (row.fromcoin, row.avgprice) == ("ETH", 2.0)
 
 
+@pytest.mark.parametrize("by_date", [False, True])
+def test_a_batch_written_twice_is_there_once(spark, tmp_path, by_date):
+    log = str(tmp_path / "log")
+    rows = [trade(), trade(day="2021-01-09"), trade("10:05:00", 3.0)]
+    for _ in range(2):
+        assert one_log(spark, tmp_path, [rows[:2], rows], by_date) == log
+        assert read_log(spark, log).count() == 5
+        assert rows_of(as_totals(latest_rows(read_log(spark, log)))) == rows_of(
+            window_totals(trades_frame(spark, rows))
+        )
+    assert (tmp_path / "log" / "date=2021-01-09").exists() == by_date
+    assert rows_of_date(latest_rows(read_log(spark, log)), "2021-01-09").count() == 1
+
+
+def test_a_feed_without_buys_and_sells(spark, tmp_path):
+    write_batches(tmp_path / "in", [[trade(F="4")]])
+    logged(spark, tmp_path, read_trades(spark, str(tmp_path / "in")))
+    assert latest_rows(read_log(spark, str(tmp_path / "log"))).count() == 0
+
+
+@pytest.mark.parametrize("parts", [2, 5])
+def test_on_time_trades_in_any_number_of_batches(spark, tmp_path, parts):
+    rows = sorted(on_time(200), key=lambda row: row["TS"])
+    size = -(-len(rows) // parts)
+    write_batches(tmp_path / "in", [rows[n : n + size] for n in range(0, len(rows), size)])
+    logged(spark, tmp_path, read_trades(spark, str(tmp_path / "in"), maxFilesPerTrigger=1))
+    log = read_log(spark, str(tmp_path / "log"))
+    assert log.select("batch_id").distinct().count() == parts
+    assert rows_of(as_totals(latest_rows(log))) == rows_of(
+        window_totals(trades_frame(spark, rows))
+    )
+
+
 def test_fold_and_serve(spark, tmp_path):
     days = ["2021-01-08", "2021-01-09", "2021-01-10"]
     rows = [trade(f"1{n % 3}:00:00", day=day, M=market, F=flag)
