@@ -1,6 +1,7 @@
 """Every registered query against its SQL, over whole tables."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 ORACLE = contract.oracle_sql()
 
 
