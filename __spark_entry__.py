@@ -167,14 +167,21 @@ def trade_window_agg_stream_lineitem(spark: SparkSession, sf_dir: str) -> DataFr
     return _rounded(_streamed(spark, window_totals(trades, DAY), "daily"))
 
 
+def _buckets(spark: SparkSession) -> int:
+    """A few buckets per task of the shuffle. Each run has its own checkpoint, so this may vary."""
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def trade_window_agg_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = events_as_trades(_stream(spark, sf_dir, "events"))
-    return _rounded(_streamed(spark, stateful_totals(trades), "stateful"))
+    totals = stateful_totals(trades, buckets=_buckets(spark))
+    return _rounded(_streamed(spark, totals, "stateful"))
 
 
 def trade_window_agg_stateful_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = lineitem_as_trades(_stream(spark, sf_dir, "lineitem"))
-    return _rounded(_streamed(spark, stateful_totals(trades, DAY), "stateful-daily"))
+    totals = stateful_totals(trades, DAY, buckets=_buckets(spark))
+    return _rounded(_streamed(spark, totals, "stateful-daily"))
 
 
 # --- frames and records ---------------------------------------------------------------------

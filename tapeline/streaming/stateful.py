@@ -75,8 +75,9 @@ def _grouped(rows: pa.Table, by: list[str], functions: dict[str, str]) -> pa.Tab
 def combine_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum a task's trades per key and second, before they are shuffled.
 
-    Trade times are whole seconds, so a window of 60 s sends at most 60 rows per key and task,
-    however many trades it holds. Rows of one second share one time and are late or not together.
+    Trade times are whole seconds, so a window of 60 s sends about 60 rows per key and task, however
+    many trades it holds. Rows of one second share one time and are late or not together. A task
+    with more keys and seconds than it may hold passes on what it has and begins again.
     """
     by = ["market", "fromcoin", "direction", "seconds"]
     held: list[pa.RecordBatch] = []
@@ -171,8 +172,8 @@ def stateful_totals(
     """The rows of `window_totals`, kept in explicit state. Streams only, update mode.
 
     Groups are spread over `buckets` by their whole key, window included, so a busy market is
-    spread as well. Take a few per core, and more if very many groups are open at once; like the
-    shuffle width, the number is fixed by the checkpoint.
+    spread as well. Take a few per task of the shuffle, and more if that leaves over some ten
+    thousand open groups in each. Never change it under a checkpoint: groups would lose their state.
     """
     if max_partitions is not None:
         trades = trades.coalesce(max_partitions)
