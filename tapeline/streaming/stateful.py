@@ -15,11 +15,13 @@ bucket is called in every micro-batch in which one of its groups is updated or e
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -32,6 +34,9 @@ from tapeline.operators.normalize import (
 )
 from tapeline.operators.totals import CURRENCY, WATERMARK, total_columns
 
+# The functions below run on executors, which need not have this package: send them whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 IDLE_MS = 5 * 60 * 1000
 BUCKETS = 256
 
