@@ -22,7 +22,7 @@ from tapeline.operators.subscriptions import subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.plans.jobs import feed_to_topic, topic_to_table
 from tapeline.schemas import TOTALS
-from tapeline.sources.files import read_lines
+from tapeline.sources.files import read_lines, read_trades
 from tapeline.sources.tables import (
     events_as_frames,
     events_as_records,
@@ -259,6 +259,13 @@ def serve_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(as_totals(rows_of_date(read_table(spark, table), SERVED_DAY)))
 
 
+def trade_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder of trades as JSON lines, streamed to totals."""
+    landing = work_folder(spark, "landing")
+    encode_records(_line_trades(spark, sf_dir)).select("value").write.text(landing)
+    return _rounded(_streamed(spark, window_totals(read_trades(spark, landing), DAY), "files"))
+
+
 def topic_to_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with broken values among them, through decoding, totals and the table."""
     records = events_as_records(_stream(spark, sf_dir, "events"))
@@ -317,6 +324,7 @@ def queries() -> dict[str, Query]:
         "subscription_filter": subscription_filter,
         "sink_latest": sink_latest,
         "serve_by_date": serve_by_date,
+        "trade_file_stream": trade_file_stream,
         "topic_to_table": topic_to_table_job,
         "feed_to_topic": feed_to_topic_job,
     }
@@ -441,6 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_latest": minute,
         "serve_by_date": f"""
             SELECT * FROM ({minute}) WHERE date = TIMESTAMP '{SERVED_DAY} 00:00:00'""",
+        "trade_file_stream": daily,
         "topic_to_table": minute,
         "feed_to_topic": _totals_sql(_EVENT_TRADES, HOUR, subscribed),
     }
