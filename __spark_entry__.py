@@ -270,7 +270,8 @@ def topic_to_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with broken values among them, through decoding, totals and the table."""
     records = events_as_records(_stream(spark, sf_dir, "events"))
     log = work_folder(spark, "job-log")
-    topic_to_table(records, log, work_folder(spark, "job-state"), once=True).awaitTermination()
+    state = work_folder(spark, "job-state")
+    topic_to_table(records, append_to_log(log), state, once=True).awaitTermination()
     return _rounded(as_totals(latest_rows(read_log(spark, log))))
 
 

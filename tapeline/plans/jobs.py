@@ -26,7 +26,7 @@ from tapeline.operators.records import (
 from tapeline.operators.subscriptions import subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.streaming.runs import start
-from tapeline.streaming.sinks import append_to_log, console_writer, topic_writer, with_row_ids
+from tapeline.streaming.sinks import BatchFunction, console_writer, topic_writer, with_row_ids
 
 Totals = Callable[[DataFrame, int], DataFrame]
 
@@ -84,20 +84,20 @@ def to_topic(
 
 def topic_to_table(
     records: DataFrame,
-    log: str,
+    write: BatchFunction,
     checkpoint: str,
     *,
     period_seconds: int = WINDOW_SECONDS,
     totals: Totals = window_totals,
-    by_date: bool = False,
     **run: Any,
 ) -> StreamingQuery:
-    """Topic records to the change log behind the served table, every 15 seconds.
+    """Topic records to a table, every 15 seconds.
 
-    `by_date` gives the log folders by date, see `append_to_log`.
+    `write` is `append_to_log(path)`, or `append_to(format, ...)` for a table that replaces rows by
+    key itself.
     """
     rows = with_row_ids(totals(topic_trades(records), period_seconds))
-    writer = rows.writeStream.outputMode("update").foreachBatch(append_to_log(log, by_date))
+    writer = rows.writeStream.outputMode("update").foreachBatch(write)
     return start(records.sparkSession, writer, checkpoint, **run)
 
 

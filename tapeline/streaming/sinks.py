@@ -53,11 +53,12 @@ def topic_writer(
 def append_to(file_format: str, **options: str) -> BatchFunction:
     """Batch function that appends every update to a table of any batch connector.
 
-    A batch that is run again is appended again, so the table must itself replace rows by key.
+    A batch that is run again is appended again, so the table must itself replace rows by key. Rows
+    have the columns of the totals and, if they were given one, the id.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(file_format).options(**options).mode("append").save()
+        batch.drop("batch_ms").write.format(file_format).options(**options).mode("append").save()
 
     return write
 

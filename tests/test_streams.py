@@ -25,6 +25,7 @@ from tapeline.plans.jobs import (
     set_aside,
     topic_to_table,
 )
+from tapeline.schemas import TOTALS
 from tapeline.sources.files import read_lines, read_trades
 from tapeline.sources.kafka import read_topic, topic_options
 from tapeline.streaming.runs import run_for, session_settings, start, work_folder
@@ -293,12 +294,12 @@ def test_fold_and_serve(spark, tmp_path):
 
 
 def test_append_to_a_connector(spark, tmp_path):
-    write_batches(tmp_path / "in", [on_time(10)])
-    totals = window_totals(read_trades(spark, str(tmp_path / "in")))
-    target = str(tmp_path / "out")
-    writer = totals.writeStream.outputMode("update").foreachBatch(append_to("json", path=target))
-    start(spark, writer, str(tmp_path / "state"), once=True).awaitTermination()
-    assert spark.read.json(target).count() > 0
+    records = records_folder(spark, tmp_path / "topic", on_time(10))
+    write = append_to("parquet", path=str(tmp_path / "out"))
+    topic_to_table(records, write, str(tmp_path / "state"), once=True).awaitTermination()
+    table = spark.read.parquet(str(tmp_path / "out"))
+    assert table.columns == [*TOTALS.fieldNames(), "uuid"]
+    assert table.count() > 0
 
 
 def test_live_view_on_the_console(spark, tmp_path):
@@ -331,8 +332,8 @@ def test_topic_to_table(spark, tmp_path, totals):
     rows = on_time()
     records = records_folder(spark, tmp_path / "topic", rows, bad=['{"TYPE":', "x"])
     log = str(tmp_path / "log")
-    query = topic_to_table(records, log, str(tmp_path / "state"), totals=totals, once=True,
-                           shuffle_partitions=3)
+    query = topic_to_table(records, append_to_log(log), str(tmp_path / "state"), totals=totals,
+                           once=True, shuffle_partitions=3)
     query.awaitTermination()
     assert rows_of(as_totals(latest_rows(read_log(spark, log)))) == rows_of(
         window_totals(trades_frame(spark, rows))
