@@ -46,6 +46,15 @@ CHANNELS = ("0~Coinbase~BTC~USD", "0~Binance~BTC~USDT", "0~Gemini~BTC~USD")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:
+    import corpus_pipeline
+    from tapeline.llm import queries as llm
+except ModuleNotFoundError as missing:
+    # The operators for training data are a part that can be left out.
+    if missing.name not in ("corpus_pipeline", "tapeline.llm"):
+        raise
+    llm = None
+
 
 # --- tables ---------------------------------------------------------------------------------
 
@@ -302,7 +311,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    training = {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
     return {
+        **training,
         "side_filter": side_filter,
         "trade_normalize": trade_normalize,
         "window_assign": window_assign,
@@ -404,7 +415,11 @@ def oracle_sql() -> dict[str, str]:
     minute = _totals_sql(_EVENT_TRADES, 60)
     daily = _totals_sql(_LINE_TRADES, DAY)
     subscribed = "\"M\" IN ('Coinbase', 'Binance', 'Gemini')"
+    training = {} if llm is None else dict(llm.oracle_sql())
+    if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
+        training["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {
+        **training,
         "side_filter": f"""SELECT "ID", "F" FROM ({_EVENT_TRADES}) WHERE "F" IN ('1', '2')""",
         "trade_normalize": f"""
             SELECT "ID" AS id, "FSYM" AS fromcoin, "TSYM" AS tocurrency, "M" AS market,
