@@ -11,13 +11,13 @@ from tapeline.streaming.runs import work_folder
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, **options: str) -> DataFrame:
     """Rows written to a new folder that all executors share, and read back.
 
     Cuts the lineage: a lost executor costs the tasks it held, not the stages before.
     """
     path = work_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -36,3 +36,24 @@ def content_key(text: Column) -> list[Column]:
 
 
 KEY = ["_key1", "_key2"]
+
+
+def worker_cache(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker, shared by the tasks it runs."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_tapeline_cache", types.ModuleType("_tapeline_cache"))
+    return held.__dict__.setdefault(name, {})
+
+
+def text_slices(texts: list, most: int = 4_000_000):
+    """Bounds of runs of texts that together have about `most` characters; a long text is whole."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= most:
+            yield first, i + 1
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)

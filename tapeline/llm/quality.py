@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import SPACE, split_words, whole_text
 
 WINDOW = 8
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS = 500
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 

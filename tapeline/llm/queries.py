@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tapeline.llm import bpe, quality, token_files
 from tapeline.llm import license as licenses
-from tapeline.llm import quality
+
+# Tokenizer files have to lie at the same place on every executor.
+BYTE_BPE, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +25,14 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_documents(spark, sf_dir))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(spark, _documents(spark, sf_dir), BYTE_BPE, END_ID)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(_documents(spark, sf_dir), WORD_BPE, digests=True)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", *quality.MEASURES, "base_failed", "kept"]
     return quality.quality_verdicts(_documents(spark, sf_dir)).select(*columns)
@@ -28,6 +41,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
+        "op3_token_files": op3_token_files,
+        "op5_bpe": op5_bpe,
         "op7_quality_rules": op7_quality_rules,
     }
 
