@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, quality, token_files
+from tapeline.llm import bpe, mixing, quality, token_files
 from tapeline.llm import license as licenses
 
 # Tokenizer files have to lie at the same place on every executor.
@@ -25,6 +25,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_documents(spark, sf_dir))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    return mixing.mix_shares(_documents(spark, sf_dir)).select(*columns)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(spark, _documents(spark, sf_dir), BYTE_BPE, END_ID)
 
@@ -41,6 +46,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
+        "op2_mixing": op2_mixing,
         "op3_token_files": op3_token_files,
         "op5_bpe": op5_bpe,
         "op7_quality_rules": op7_quality_rules,
