@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, mixing, quality, token_files
+from tapeline.llm import bpe, line_dedup, mixing, quality, token_files
 from tapeline.llm import license as licenses
 
 # Tokenizer files have to lie at the same place on every executor.
@@ -34,6 +34,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(spark, _documents(spark, sf_dir), BYTE_BPE, END_ID)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "text", "n_lines", "n_removed"]
+    return line_dedup.dedup_lines(_documents(spark, sf_dir)).select(*columns)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_documents(spark, sf_dir), WORD_BPE, digests=True)
 
@@ -48,6 +53,7 @@ def queries() -> dict[str, Query]:
         "op1_license_scan": op1_license_scan,
         "op2_mixing": op2_mixing,
         "op3_token_files": op3_token_files,
+        "op4_line_dedup": op4_line_dedup,
         "op5_bpe": op5_bpe,
         "op7_quality_rules": op7_quality_rules,
     }
@@ -126,6 +132,41 @@ _QUALITY_SQL = r"""
     """
 
 
+_LINES_SQL = r"""
+    WITH lines AS (
+        SELECT doc_id, i, l, trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+             unnest(range(1, len(ls) + 1)) AS u(i), unnest([ls[i]]) AS v(l)),
+    full_lines AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+        FROM lines WHERE t <> ''),
+    windows AS (
+        SELECT doc_id, k, [t, lead(t) OVER w, lead(t, 2) OVER w] AS win
+        FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+        QUALIFY lead(t, 2) OVER w IS NOT NULL),
+    repeats AS (
+        SELECT doc_id, k FROM windows
+        QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, k) > 1),
+    covered AS (
+        SELECT DISTINCT doc_id, k + d AS k FROM repeats, unnest([0, 1, 2]) AS u(d)),
+    gone AS (SELECT doc_id, i, k FROM full_lines JOIN covered USING (doc_id, k)),
+    -- A line without a word goes if it stands between two covered lines that follow each other.
+    kept AS (
+        SELECT doc_id, i, l FROM lines
+        WHERE (doc_id, i) NOT IN (SELECT (doc_id, i) FROM gone)
+          AND (t <> '' OR NOT EXISTS (
+              SELECT 1 FROM gone a JOIN gone b ON a.doc_id = b.doc_id AND b.k = a.k + 1
+              WHERE a.doc_id = lines.doc_id AND a.i < lines.i AND lines.i < b.i)))
+    SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+           coalesce(n.n_lines, 0) AS n_lines, coalesce(g.n_removed, 0) AS n_removed
+    FROM documents d
+    LEFT JOIN (SELECT doc_id, string_agg(l, chr(10) ORDER BY i) AS text FROM kept GROUP BY 1) k
+        USING (doc_id)
+    LEFT JOIN (SELECT doc_id, count(*) AS n_lines FROM full_lines GROUP BY 1) n USING (doc_id)
+    LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1) g USING (doc_id)
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     base, rules = (
         " OR ".join(f"({condition})" for condition in some.values())
@@ -133,5 +174,6 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "op1_license_scan": _license_sql(),
+        "op4_line_dedup": _LINES_SQL,
         "op7_quality_rules": _QUALITY_SQL.replace("{base}", base).replace("{rules}", rules),
     }
