@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, line_dedup, mixing, quality, token_files
+from tapeline.llm import bpe, jaccard, line_dedup, mixing, quality, token_files
 from tapeline.llm import license as licenses
 
 # Tokenizer files have to lie at the same place on every executor.
@@ -48,6 +48,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(_documents(spark, sf_dir)).select(*columns)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicate_groups(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -56,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op4_line_dedup": op4_line_dedup,
         "op5_bpe": op5_bpe,
         "op7_quality_rules": op7_quality_rules,
+        "op9_jaccard_join": op9_jaccard_join,
     }
 
 
