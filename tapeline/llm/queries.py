@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, jaccard, line_dedup, mixing, quality, token_files
+from tapeline.llm import bpe, jaccard, line_dedup, mixing, quality, token_files, toxicity
 from tapeline.llm import license as licenses
 
 # Tokenizer files have to lie at the same place on every executor.
@@ -43,6 +43,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_documents(spark, sf_dir), WORD_BPE, digests=True)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    columns = ["doc_id", "held_out", "score", "predicted"]
+    return toxicity.toxicity(_documents(spark, sf_dir), labels).select(*columns)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", *quality.MEASURES, "base_failed", "kept"]
     return quality.quality_verdicts(_documents(spark, sf_dir)).select(*columns)
@@ -59,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op3_token_files": op3_token_files,
         "op4_line_dedup": op4_line_dedup,
         "op5_bpe": op5_bpe,
+        "op6_toxicity": op6_toxicity,
         "op7_quality_rules": op7_quality_rules,
         "op9_jaccard_join": op9_jaccard_join,
     }
