@@ -33,72 +33,108 @@ MOST_BITS = 16
 BLOCK = 256
 SEGMENT = 1_000_000
 PART_DOCS = 8_000
-REMEMBERED = 600_000
+# Pieces that a worker remembers before it starts anew.
+REMEMBERED = 1_000_000
 
-# White space is cut so that every piece encodes as it does in its text: a word takes one space
-# before it, and a run of white space leaves its last character to what follows.
-_PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s")
+# Fixed value: the pattern by which a byte-level tokenizer of this kind cuts a text.
+_CUT = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+# The same for texts of characters up to U+024F, where letters and digits can be listed; several
+# times as fast. Python counts four control characters as white space, so they are left out here.
+_LETTERS, _DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_LATIN = re.compile(r"[\x00-\x1b\x20-ɏ]*").fullmatch
+_LATIN_CUT = re.compile(
+    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s{_LETTERS}{_DIGITS}]+|\s+(?!\S)|\s"
+).findall
 
 
 class ByteBpe:
-    """The library's tokenizer, asked once for every piece that a worker has not seen."""
+    """The library's tokenizer, asked once for every piece of a text that a worker has not seen."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.of_pieces = Tokenizer.from_file(path)
+        self.of_pieces.pre_tokenizer = pre_tokenizers.ByteLevel(
+            add_prefix_space=False, use_regex=False
+        )
+        self.cut = regex.compile(_CUT).findall
         with open(path, encoding="utf-8") as file:
             special = [added["content"] for added in json.load(file)["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
         self.pieces: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, np.uint16).tobytes() for c in coded]
+    def learn(self, new: list[str]) -> None:
+        for first in range(0, len(new), 2000):
+            some = new[first : first + 2000]
+            coded = self.of_pieces.encode(some, is_pretokenized=True, add_special_tokens=False)
+            raw = np.array(coded.ids, np.uint16).tobytes()
+            ends = 2 * np.searchsorted(np.array(coded.word_ids), np.arange(len(some)), side="right")
+            ends = ends.tolist()
+            self.pieces.update(
+                (piece, raw[x:y]) for piece, x, y in zip(some, [0, *ends], ends, strict=False)
+            )
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text as little-endian 16-bit numbers, and the end id."""
         if len(self.pieces) > REMEMBERED:
             self.pieces = {}
-        # Special tokens may touch words, and some control characters count as space for one of the
-        # two pattern engines only: such texts go to the library whole.
-        whole = [bool(self.special.search(t) or _ODD_SPACE.search(t)) for t in texts]
+        # Texts with a special token in them go to the library whole.
+        whole = [self.special(text) is not None for text in texts]
         split = [
-            [] if w else _PIECES.findall(t) for t, w in zip(texts, whole, strict=True)
+            [] if w else (_LATIN_CUT if _LATIN(t) else self.cut)(t)
+            for t, w in zip(texts, whole, strict=True)
         ]
-        new = [p for p in {p for pieces in split for p in pieces} if p not in self.pieces]
-        self.pieces.update(zip(new, self._ids(new), strict=True))
-        known, tail = self.pieces.__getitem__, np.uint16(end).tobytes()
-        direct = iter(self._ids([t for t, w in zip(texts, whole, strict=True) if w]))
-        return [
-            (next(direct) if w else b"".join(map(known, pieces))) + tail
-            for w, pieces in zip(whole, split, strict=True)
-        ]
-
-
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+        known = self.pieces
+        self.learn(list({p for pieces in split for p in pieces if p not in known}))
+        ids_of, tail = known.__getitem__, np.uint16(end).tobytes()
+        coded = []
+        for text, w, pieces in zip(texts, whole, split, strict=True):
+            if w:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                coded.append(np.array(ids, np.uint16).tobytes() + tail)
+            else:
+                coded.append(b"".join(map(ids_of, pieces)) + tail)
+        return coded
 
 
 def token_ids(docs: DataFrame, path: str, end: int, text: str = "text") -> DataFrame:
-    """`doc_id`, `n_tokens` and `ids` of every text, null as empty, with the end id."""
+    """`doc_id`, `n_tokens` and `ids` of every text, null as empty, with the end id.
+
+    Each task adds one row whose `counts` has how often each id came up, for the code; that column
+    is null in the rows of documents.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = worker_cache("byte_bpe")
         bpe = held.get(path) or held.setdefault(path, ByteBpe(path))
+        names = ["doc_id", "n_tokens", "ids", "counts"]
+        seen = np.zeros(1 << 16, np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in text_slices(texts):
                 ids = bpe.encode(texts[a:b], end)
+                seen += np.bincount(np.frombuffer(b"".join(ids), np.uint16), minlength=len(seen))
                 columns = [
                     batch.column(0).slice(a, b - a),
                     pa.array([len(i) // 2 for i in ids], pa.int64()),
                     pa.array(ids, pa.binary()),
+                    pa.nulls(b - a, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays(columns, names)
+        columns = [
+            pa.nulls(1, pa.int64()),
+            pa.nulls(1, pa.int64()),
+            pa.nulls(1, pa.binary()),
+            pa.array([seen.tobytes()], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.select("doc_id", F.col(text).alias("_text"))
-    return rows.mapInArrow(encode, f"doc_id {kind}, n_tokens bigint, ids binary")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col(text).alias("_text"))
+    return rows.mapInArrow(encode, "doc_id bigint, n_tokens bigint, ids binary, counts binary")
 
 
 def id_counts(tokens: DataFrame) -> dict[int, int]:
@@ -107,14 +143,14 @@ def id_counts(tokens: DataFrame) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen += np.bincount(np.frombuffer(ids.as_buffer(), np.uint16), minlength=1 << 16)
+            for counts in batch.column(0):
+                seen += np.frombuffer(counts.as_buffer(), np.int64)
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32)), pa.array(seen[found])], ["id", "n"]
         )
 
-    rows = tokens.select("ids").mapInArrow(count, "id int, n bigint")
+    rows = tokens.where("counts IS NOT NULL").select("counts").mapInArrow(count, "id int, n bigint")
     return {r["id"]: r["n"] for r in rows.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -246,6 +282,7 @@ def write_token_files(tokens: DataFrame, folder: str) -> None:
         if held:
             yield _segment(coder, number, held)
 
+    tokens = tokens.where("counts IS NULL")
     parts = max(1, -(-tokens.count() // PART_DOCS))
     (
         tokens.repartitionByRange(parts, "doc_id", "n_tokens")
