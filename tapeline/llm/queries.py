@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, jaccard, line_dedup, mixing, quality, token_files, toxicity
+from tapeline.llm import bpe, html, jaccard, line_dedup, mixing, quality, token_files, toxicity, vectors
 from tapeline.llm import license as licenses
 
 # Tokenizer files have to lie at the same place on every executor.
@@ -54,10 +54,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(_documents(spark, sf_dir)).select(*columns)
 
 
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(_documents(spark, sf_dir))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -67,7 +75,9 @@ def queries() -> dict[str, Query]:
         "op5_bpe": op5_bpe,
         "op6_toxicity": op6_toxicity,
         "op7_quality_rules": op7_quality_rules,
+        "op8_nearest_vectors": op8_nearest_vectors,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_html_text": op10_html_text,
     }
 
 
