@@ -312,7 +312,7 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where(a != b).drop("_label_a", "_label_b")
 
 
-def near_duplicate_groups(
+def labelled_rows(
     docs: DataFrame,
     id_column: str = "doc_id",
     text: str = "text",
@@ -320,13 +320,9 @@ def near_duplicate_groups(
     percent: int = 90,
     say: Callable[[str, DataFrame], None] = lambda name, rows: None,
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id.
+    """Per row: doc_id, text_hash, n_shingles, `label` of its component, and its smallest id.
 
-    The component is the smallest id reachable by links, the document's own included. Documents
-    without words (or with a null text) have an empty set and are linked with nothing. Equal texts
-    are linked. A document without an id links others but has no name: its component is the smallest
-    id among them, or null. Rows that share an id count as one document in the components. Other
-    columns are not read. `say` is told the tables of each step.
+    Rows without words have a null label. `say` is told the tables of each step.
     """
     rows = stored(document_sets(docs, id_column, text, n, percent), "sets")
     # A class is named by its smallest id; one that has none, by its hash.
@@ -407,9 +403,58 @@ def near_duplicate_groups(
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = named.select("class", "label").join(smallest, "label").select("class", "component_id")
-    return rows.select("doc_id", "n", "class").join(named, "class", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    named = named.select("class", "label").join(smallest, "label")
+    return rows.select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "class"
+    ).join(named, "class", "left").drop("class")
+
+
+def near_duplicate_groups(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    n: int = SHINGLE,
+    percent: int = 90,
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id.
+
+    The component is the smallest id reachable by links, the document's own included. Documents
+    without words (or with a null text) have an empty set and are linked with nothing. Equal texts
+    are linked. A document without an id links others but has no name: its component is the smallest
+    id among them, or null. Rows that share an id count as one document in the components. Other
+    columns are not read, and an empty table gives no rows.
+    """
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    rows = labelled_rows(docs, id_column, text, n, percent)
+    return rows.select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    n: int = SHINGLE,
+    percent: int = 90,
+) -> DataFrame:
+    """`docs` with one row of each group, the one with the smallest id. Columns stay as they are.
+
+    Rows without words belong to no group and all stay. Rows without an id are last in their group;
+    of equal rows one stays.
+    """
+    def key(identity: Column, text_hash: Column) -> dict[str, Column]:
+        last = F.lit(2**63 - 1)
+        return {"_key1": F.coalesce(identity.cast("bigint"), last), "_key2": text_hash}
+
+    chosen = (
+        labelled_rows(docs, id_column, text, n, percent)
+        .where("n_shingles > 0")
+        .withColumns(key(F.col("doc_id"), F.col("text_hash")))
+        .groupBy("label")
+        .agg(F.min(F.struct("_key1", "_key2")).alias("_row"))
+        .select("_row.*")
+        .distinct()
     )
+    has_words = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = docs.where(has_words).withColumns(key(F.col(id_column), F.xxhash64(text)))
+    kept = kept.join(chosen, ["_key1", "_key2"]).dropDuplicates(["_key1", "_key2"])
+    return kept.select(*docs.columns).unionByName(docs.where(~has_words))

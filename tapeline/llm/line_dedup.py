@@ -68,8 +68,10 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     return later.groupBy("_doc").agg(F.collect_set(F.struct("a", "b")).alias("_later"))
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without repeated lines, and `n_lines`, `n_removed` (bigint, lines with a word).
+def dedup_lines(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", counts: bool = True
+) -> DataFrame:
+    """`docs` without repeated lines; with `counts` also `n_lines` and `n_removed` (with a word).
 
     A document with fewer than three lines with a word has no windows and stays as it is, as does a
     null text. Rows that share an id count as one document: they are not repeats of each other.
@@ -97,10 +99,10 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
                    s -> s.i))"""
         ),
     )
-    return _without(rows, docs.columns, text)
+    return _without(rows, docs.columns, text, counts)
 
 
-def _without(rows: DataFrame, columns: list[str], text: str) -> DataFrame:
+def _without(rows: DataFrame, columns: list[str], text: str, counts: bool) -> DataFrame:
     """Remove the lines that the windows at `_repeat` cover, blank lines between them included."""
     begins = F.expr(
         f"filter(_repeat, (r, j) -> j = 0 OR r > get(_repeat, j - 1) + {WINDOW})"
@@ -133,8 +135,9 @@ def _without(rows: DataFrame, columns: list[str], text: str) -> DataFrame:
         chars = F.length("_new").cast(dict(rows.dtypes)["n_chars"])
         values["n_chars"] = F.when(changed, chars).otherwise(F.col("n_chars"))
     removed = F.expr("aggregate(_spans, 0L, (n, s) -> n + s.b - s.a)")
-    return rows.select(
-        *[values.get(name, F.col(name)).alias(name) for name in columns],
+    added = [
         F.size("_full").cast("bigint").alias("n_lines"),
         F.coalesce(F.when(changed, removed), F.lit(0).cast("bigint")).alias("n_removed"),
-    )
+    ]
+    kept_columns = [values.get(name, F.col(name)).alias(name) for name in columns]
+    return rows.select(*kept_columns, *(added if counts else []))
