@@ -38,6 +38,14 @@ def content_key(text: Column) -> list[Column]:
 KEY = ["_key1", "_key2"]
 
 
+def sealed(value: Column) -> Column:
+    """A struct as column `_sealed`, through a generator, which no filter is pushed below.
+
+    Without it a filter on a result gets a copy of the whole expression of every step before.
+    """
+    return F.explode(F.array(value)).alias("_sealed")
+
+
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, shared by the tasks it runs."""
     import sys

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import stored, whole_text
+from tapeline.llm.common import sealed, stored, whole_text
 
 WINDOW = 3
 _BLANK = r"^[\\x20\\x09-\\x0D]*$"
@@ -139,5 +139,8 @@ def _without(rows: DataFrame, columns: list[str], text: str, counts: bool) -> Da
         F.size("_full").cast("bigint").alias("n_lines"),
         F.coalesce(F.when(changed, removed), F.lit(0).cast("bigint")).alias("n_removed"),
     ]
-    kept_columns = [values.get(name, F.col(name)).alias(name) for name in columns]
-    return rows.select(*kept_columns, *(added if counts else []))
+    made = [*[v.alias(name) for name, v in values.items()], *(added if counts else [])]
+    others = [name for name in columns if name not in values]
+    rows = rows.select(*others, sealed(F.struct(*made)))
+    order = [F.col(f"_sealed.{n}") if n in values else F.col(n) for n in columns]
+    return rows.select(*order, *[f"_sealed.{n}" for n in ("n_lines", "n_removed") if counts])

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import SPACE, split_words, whole_text
+from tapeline.llm.common import SPACE, sealed, split_words, whole_text
 
 WINDOW = 8
 SAMPLE_ROWS = 500
@@ -88,8 +88,7 @@ def text_measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ())
     def kept(pattern: str) -> Column:
         return F.length(F.regexp_replace("_text", pattern, "")).cast("bigint")
 
-    return rows.select(
-        *keep,
+    measures = F.struct(
         F.size("_words").cast("bigint").alias("n_words"),
         kept(SPACE).alias("word_chars"),
         kept("[^#*$%&|<>]+").alias("n_symbols"),
@@ -98,6 +97,7 @@ def text_measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ())
         "n_repeat_words",
         kept("[^A-Z]+").alias("n_capitals"),
     )
+    return rows.select(*keep, sealed(measures)).select(*keep, "_sealed.*")
 
 
 def rule_order(

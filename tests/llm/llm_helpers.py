@@ -1,0 +1,37 @@
+"""Documents with everything that may go wrong, and plain readings of them."""
+
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+# Extra columns named like columns that operators make.
+CLASHING = DOCUMENTS + ", n string, label string, node string, size string, score string, a string"
+
+
+def frame(spark, rows, clashing=False):
+    """Rows (doc_id, text[, source]) as a table of documents."""
+    full = []
+    for row in rows:
+        doc_id, text, source = (*row, "s")[:3]
+        chars = None if text is None else len(text)
+        full.append((doc_id, text, "en", source, chars, *(["x"] * 6 if clashing else [])))
+    return spark.createDataFrame(full, CLASHING if clashing else DOCUMENTS)
+
+
+def odd_documents():
+    """Nulls, empty, blank and long texts, repeated rows, ties."""
+    long_text = " ".join(f"w{i % 977}x{i % 31}" for i in range(20_000))
+    same = "one two three four five\nsix seven eight\nnine ten eleven\ntwelve thirteen"
+    return [
+        (1, None), (2, ""), (3, " \t\n "), (4, long_text), (5, same), (5, same), (6, same),
+        (None, same), (None, None), (7, "word"), (8, "a\x00b \U0001f600 K é́ Σ"),
+        (9, "x" * 50_000), (10, same.upper()), (11, same, None), (12, "two words"),
+    ]
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def rows_of(frame, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
