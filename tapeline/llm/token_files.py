@@ -34,7 +34,7 @@ BLOCK = 256
 SEGMENT = 1_000_000
 PART_DOCS = 8_000
 # Pieces that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 # Fixed value: the pattern by which a byte-level tokenizer of this kind cuts a text.
 _CUT = (
@@ -89,7 +89,7 @@ class ByteBpe:
             for t, w in zip(texts, whole, strict=True)
         ]
         known = self.pieces
-        self.learn(list({p for pieces in split for p in pieces if p not in known}))
+        self.learn(list(set().union(*split).difference(known)))
         ids_of, tail = known.__getitem__, np.uint16(end).tobytes()
         coded = []
         for text, w, pieces in zip(texts, whole, split, strict=True):
