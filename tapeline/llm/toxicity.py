@@ -11,8 +11,8 @@ A document's score is a logistic function of its largest marginal and of the sum
 the training documents at the rate at which toxic ones occur. Offending words are those with a
 marginal of one half or more.
 
-Fitted on the driver from at most `SAMPLE` toxic and as many other documents, chosen by hash among
-the labelled rows that may be used; everything is scored.
+Fitted on the driver from a bounded sample, `SAMPLE` documents of each label at most, chosen by hash
+among the labelled rows that may be used; everything is scored.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,13 +31,13 @@ from pyspark.sql.types import StructField, StructType
 
 from tapeline.llm.common import text_slices
 
-SAMPLE = 3_000
+SAMPLE = {1: 1_500, 0: 4_500}
 FEATURE_BITS = 18
 CHAIN = 64
 ROUNDS = 120
 THRESHOLD = 0.7
 # Training sentences, most of them from toxic documents.
-MOST_CHAINS = 60_000
+MOST_CHAINS = 40_000
 REMEMBERED = 500_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -125,48 +124,46 @@ def marginals(model: Model, emission: np.ndarray, chain_of: np.ndarray) -> np.nd
     return ratio / (1 + ratio)
 
 
-def offending_words(toxic: list[set], other: list[set]) -> tuple[set, set]:
-    """Words and five-letter beginnings that stand in far more toxic documents than others."""
-
-    def marked(shorten) -> set:
-        bad, good = (
-            Counter(w for words in some for w in {shorten(w) for w in words})
-            for some in (toxic, other)
-        )
-        n, m = max(len(toxic), 1), max(len(other), 1)
-        return {
-            w
-            for w, count in bad.items()
-            if len(w) > 2 and count >= 3 and count / n >= 30 * (good[w] + 0.5) / m
-        }
-
-    return marked(lambda w: w), {w for w in marked(lambda w: w[:5]) if len(w) == 5}
+def offending(coded: list[np.ndarray], toxic: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which groups of tokens stand in far more of the toxic documents than of the others."""
+    seen = np.zeros((2, int(group.max(initial=-1)) + 1))
+    for tokens, y in zip(coded, toxic.tolist(), strict=True):
+        seen[y, np.unique(group[tokens])] += 1
+    n, m = max(int((toxic == 1).sum()), 1), max(int((toxic == 0).sum()), 1)
+    return (seen[1] >= 3) & (seen[1] / n >= 30 * (seen[0] + 0.5) / m)
 
 
 def fit(texts: list[str], toxic: list[int], base_rate: float) -> Model:
     """Fit the field and the document score. Without documents of both kinds the score is constant."""
     toxic = np.array(toxic, np.int64)
-    tokens = [[t.lower() for t in _TOKENS.findall(text)] for text in texts]
-    sets = [{t for t in doc if t not in _ENDS} for doc in tokens]
-    words, beginnings = offending_words(
-        [s for s, y in zip(sets, toxic, strict=True) if y],
-        [s for s, y in zip(sets, toxic, strict=True) if not y],
-    )
+    # Every text as numbers of its tokens.
+    number: dict[str, int] = {}
+    coded = [
+        np.array([number.setdefault(t.lower(), len(number)) for t in _TOKENS.findall(text)], np.int32)
+        for text in texts
+    ]
+    tokens = list(number)
+    beginning: dict[str, int] = {}
+    of_beginning = np.array([beginning.setdefault(t[:5], len(beginning)) for t in tokens], np.int32)
+    by_word = offending(coded, toxic, np.arange(len(tokens)))
+    by_beginning = offending(coded, toxic, of_beginning)[of_beginning]
+    size = np.array([0 if t in _ENDS else len(t) for t in tokens])
+    marked = (by_word & (size > 2)) | (by_beginning & (size >= 5))
     model = Model(np.zeros(1 << FEATURE_BITS), -6.0, np.zeros((2, 2)), -3.0, (0.0, 0.0, 0.0))
     rate = min(max(base_rate, 1e-6), 1 - 1e-6)
     model.document = (math.log(rate / (1 - rate)), 0.0, 0.0)
-    if not words and not beginnings:
+    if not marked.any():
         return model
 
-    flat = [t for doc in tokens for t in doc]
-    doc = np.repeat(np.arange(len(tokens)), [len(d) for d in tokens])
-    is_end = np.array([t in _ENDS for t in flat], bool)
+    flat = np.concatenate(coded)
+    doc = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
+    is_end = np.array([t in _ENDS for t in tokens], bool)[flat]
     all_chains = _cut(is_end, doc)
-    kept = [t for t in flat if t not in _ENDS]
-    known: dict[str, list[int]] = {}
-    features = np.array([known.setdefault(t, word_features(t)) for t in kept])
-    marked = {t: t in words or t[:5] in beginnings for t in known}
-    label = np.array([marked[t] for t in kept], bool) & (toxic[doc[~is_end]] == 1)
+    kept, doc = flat[~is_end], doc[~is_end]
+    features = np.fromiter(
+        (f for t in tokens for f in word_features(t)), np.int32, 4 * len(tokens)
+    ).reshape(-1, 4)
+    label = marked[kept] & (toxic[doc] == 1)
 
     # All chains with an offending word, and an even choice of the others.
     has = np.bincount(all_chains, weights=label) > 0
@@ -174,13 +171,15 @@ def fit(texts: list[str], toxic: list[int], base_rate: float) -> Model:
     step = max(1, math.ceil(len(plain) / max(1, MOST_CHAINS - int(has.sum()))))
     has[plain[::step]] = True
     use = has[all_chains]
-    model = _fit_chains(model, features[use], label[use].astype(float), all_chains[use])
+    model = _fit_chains(model, features[kept[use]], label[use].astype(float), all_chains[use])
 
     # The document's score.
     emission = model.weights[features].sum(axis=1) + model.bias
-    p = marginals(model, emission, all_chains)
-    most, total = _aggregate(p, doc[~is_end], len(tokens))
-    x = np.stack([np.ones(len(tokens)), *_evidence(most, total)], axis=1)
+    is_end = np.array([t in _ENDS for t in tokens], bool)
+    parts = [_evidence(*_totals(model, emission, is_end, coded[i : i + 200]))
+             for i in range(0, len(coded), 200)]
+    evidence = np.concatenate(parts, axis=1)
+    x = np.stack([np.ones(len(coded)), *evidence], axis=1)
     weight = np.where(toxic == 1, rate / max(toxic.mean(), 1e-9),
                       (1 - rate) / max(1 - toxic.mean(), 1e-9))
     beta = np.zeros(3)
@@ -193,6 +192,17 @@ def fit(texts: list[str], toxic: list[int], base_rate: float) -> Model:
     return model
 
 
+def _totals(
+    model: Model, emission: np.ndarray, is_end: np.ndarray, coded: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Largest marginal and sum of marginals of some documents, given as numbers of tokens."""
+    flat = np.concatenate(coded)
+    doc = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
+    ends = is_end[flat]
+    p = marginals(model, emission[flat[~ends]], _cut(ends, doc))
+    return _aggregate(p, doc[~ends], len(coded))
+
+
 def _fit_chains(model: Model, features: np.ndarray, label: np.ndarray, chain: np.ndarray) -> Model:
     """Adam on the likelihood of the labelled chains, with a small pull of all weights to zero."""
     place, column, lengths = _chains(chain)
@@ -249,7 +259,9 @@ def _evidence(most: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.log(clipped / (1 - clipped)) / 4 + 2.3, np.log1p(total)
 
 
-def fit_from_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit_from_labels(
+    docs: DataFrame, labels: DataFrame, sample: Mapping[int, int] = SAMPLE
+) -> Model:
     """Fit on a bounded sample of the labelled documents that are not held out.
 
     Labels other than 0 and 1 do not count; of several labels of one document the highest does.
@@ -263,11 +275,12 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     chosen = None
     for value in (0, 1):
         some = usable.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id")
-        chosen = some.limit(sample) if chosen is None else chosen.unionByName(some.limit(sample))
-    # At most 2 * sample rows of two numbers.
+        some = some.limit(sample[value])
+        chosen = some if chosen is None else chosen.unionByName(some)
+    # As many rows of two numbers as the sample has documents.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
-    texts = [t or "" for t in rows["text"]]
+    texts = [t or "" for t in rows.pop("text")]
     total = sum(counts.values())
     return fit(texts, rows["toxic"].tolist(), counts.get(1, 0) / total if total else 0.0)
 
