@@ -359,8 +359,9 @@ def labelled_rows(
         .where("n > 1")
         .drop("n")
     )
-    starred = index.join(pivots, "token").where("node <> a")
-    pairs = starred.select("a", F.col("node").alias("b")).distinct()
+    # Most shingles are in one list entry only; what is left is a small part of the index.
+    lists = stored(index.join(pivots, "token"), "lists")
+    pairs = lists.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     likely = stored(links.likely(pairs), "likely")
     say("likely", likely)
     sets = stored(links.sets_of(likely), "whole-sets")
@@ -373,7 +374,7 @@ def labelled_rows(
     say("linked", found)
 
     # Lists with members in several components: all their pairs across components.
-    in_lists = index.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    in_lists = lists.drop("a").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
         in_lists.groupBy("token")
         .agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
