@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tapeline.functions.trades import date_bucket
 from tapeline.functions.uuids import time_uuid, uuid_millis
-from tapeline.operators.frames import classify_frames, count_kinds, quarantine_of, trades_of
+from tapeline.operators.frames import classify_frames, count_kinds, quarantine_of, service_messages, trades_of
 from tapeline.operators.normalize import assign_window, keep_sides, normalize_trades
 from tapeline.operators.records import decode_records, decoded_trades, encode_records
 from tapeline.operators.served import as_totals, latest_rows, rows_of_date
 from tapeline.operators.subscriptions import subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.plans.jobs import feed_to_topic, topic_to_table
-from tapeline.schemas import TOTALS
+from tapeline.schemas import TOTALS, TRADE
 from tapeline.sources.files import read_lines, read_trades
 from tapeline.sources.tables import (
     events_as_frames,
@@ -29,11 +29,14 @@ from tapeline.sources.tables import (
     events_as_trades,
     lineitem_as_trades,
 )
-from tapeline.streaming.runs import start, work_folder
+from tapeline.streaming.runs import STATE_SETTINGS, start, work_folder
 from tapeline.streaming.sinks import (
     append_to_log,
+    drop_folded,
     fold_log,
+    keep_table,
     read_log,
+    read_served,
     read_table,
     with_row_ids,
 )
@@ -41,8 +44,10 @@ from tapeline.streaming.stateful import stateful_totals
 
 HOUR = 3_600
 DAY = 86_400
+DECADE = 3650 * DAY
 SERVED_DAY = "2024-01-02"
-CHANNELS = ("0~Coinbase~BTC~USD", "0~Binance~BTC~USDT", "0~Gemini~BTC~USD")
+# The last is not a channel of trades and matches nothing.
+CHANNELS = ("0~Coinbase~BTC~USD", "0~Binance~BTC~USDT", "0~Gemini~BTC~USD", "2~Kraken~BTC~USD")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +198,83 @@ def trade_window_agg_stateful_lineitem(spark: SparkSession, sf_dir: str) -> Data
     return _rounded(_streamed(spark, totals, "stateful-daily"))
 
 
+def _slices(
+    spark: SparkSession, sf_dir: str, make: Callable, held: str = "false"
+) -> DataFrame:
+    """Totals of the events in four micro-batches, each a run of its own from one checkpoint.
+
+    Batches without trades are off, as one of them would make the stateful variant forget the groups
+    of the slice before. Ids are in the order of time. Trades for which `held` holds come only with the last slice, long
+    after the watermark has passed them; the last slice also has on-time trades of its own.
+    """
+    trades = events_as_trades(_events(spark, sf_dir), keep=("event_id",))
+    n = trades.agg(F.max("event_id")).first()[0] + 1
+    turn = F.when(F.expr(held), 3).otherwise(F.floor(F.col("event_id") * 4 / n)).cast("int")
+    cut = trades.withColumn("_slice", turn)
+    landing, log, state = (work_folder(spark, f"slices-{x}") for x in ("in", "log", "state"))
+    for i in range(4):
+        some = cut.where(F.col("_slice") == i).select(*TRADE.fieldNames())
+        some.write.mode("append").parquet(landing)
+        totals = make(read_trades(spark, landing, file_format="parquet"))
+        writer = with_row_ids(totals).writeStream.outputMode("update")
+        writer = writer.foreachBatch(append_to_log(log))
+        settings = {**STATE_SETTINGS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+        start(spark, writer, state, once=True, state_settings=settings).awaitTermination()
+    return _rounded(as_totals(latest_rows(read_log(spark, log))))
+
+
+def _held(spark: SparkSession, sf_dir: str) -> str:
+    """One in 13 of the first eighth of the ids, whose windows have long been closed at the end."""
+    n = _events(spark, sf_dir).agg(F.max("event_id")).first()[0] + 1
+    return f"event_id % 13 = 0 AND event_id < {n} / 8"
+
+
+def slices_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slices(spark, sf_dir, window_totals)
+
+
+def slices_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slices(spark, sf_dir, lambda t: stateful_totals(t, buckets=_buckets(spark)))
+
+
+def late_open_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late trades of windows that are open, as they last ten years: taken."""
+    return _slices(spark, sf_dir, lambda t: window_totals(t, DECADE), _held(spark, sf_dir))
+
+
+def late_open_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trades, judged by their own time: dropped."""
+    make = lambda t: stateful_totals(t, DECADE, buckets=_buckets(spark))
+    return _slices(spark, sf_dir, make, _held(spark, sf_dir))
+
+
+def late_closed_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late trades of closed windows: dropped."""
+    return _slices(spark, sf_dir, window_totals, _held(spark, sf_dir))
+
+
+def late_closed_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    make = lambda t: stateful_totals(t, buckets=_buckets(spark))
+    return _slices(spark, sf_dir, make, _held(spark, sf_dir))
+
+
+def trade_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored trades, some with a field missing or a time out of range, in two formats."""
+    trades = events_as_trades(_events(spark, sf_dir), keep=("event_id",))
+    broken = trades.withColumn("Q", F.when(F.col("event_id") % 7 != 0, F.col("Q"))).withColumn(
+        "TS", F.when(F.col("event_id") % 11 == 0, 10**15 + F.col("TS")).otherwise(F.col("TS"))
+    )
+    read = []
+    for file_format in ("json", "parquet"):
+        path = work_folder(spark, f"accept-{file_format}")
+        broken.select(*TRADE.fieldNames()).write.format(file_format).save(path)
+        some = read_trades(
+            spark, path, file_format=file_format, stream=False, metric=f"decode_{file_format}"
+        )
+        read.append(_rounded(window_totals(some, HOUR)).withColumn("format", F.lit(file_format)))
+    return read[0].unionByName(read[1])
+
+
 # --- frames and records ---------------------------------------------------------------------
 
 
@@ -222,6 +304,10 @@ def frame_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades_of(_classified(spark, sf_dir))
 
 
+def service_messages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return service_messages(_classified(spark, sf_dir))
+
+
 def kafka_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_trades(decode_records(events_as_records(_events(spark, sf_dir))))
 
@@ -244,27 +330,35 @@ def subscription_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks, serving, jobs -------------------------------------------------------------------
 
 
-def _logged_totals(spark: SparkSession, sf_dir: str) -> str:
-    """A change log with batches 0 and 1, of which batch 1 was run twice.
+def _logged_totals(spark: SparkSession, sf_dir: str, parts: int = 1) -> list[str]:
+    """Change logs of totals as trades come in: batch 0 has half of the trades, batch 1 has all and
+    is run twice. With two parts each batch has a log of its own, as folded batches are dropped.
 
     The totals are stored first, so that they are computed once.
     """
-    stored, log = work_folder(spark, "totals"), work_folder(spark, "log")
-    window_totals(_event_trades(spark, sf_dir)).write.parquet(stored)
-    totals = spark.read.schema(TOTALS).parquet(stored).withColumn("uuid", F.lit(""))
-    write = append_to_log(log)
-    for batch_id in (0, 1, 1):
-        write(totals.withColumn("batch_ms", F.lit(1000 * batch_id).cast("bigint")), batch_id)
-    return log
+    trades = _event_trades(spark, sf_dir)
+    half = trades.where("CAST(ID AS BIGINT) % 2 = 0")
+    logs = [work_folder(spark, "log") for _ in range(parts)]
+    for batch_id, some in ((0, half), (1, trades), (1, trades)):
+        stored = work_folder(spark, "totals")
+        window_totals(some).write.parquet(stored)
+        totals = spark.read.schema(TOTALS).parquet(stored).withColumn("uuid", F.lit(""))
+        rows = totals.withColumn("batch_ms", F.lit(1000 * batch_id).cast("bigint"))
+        append_to_log(logs[min(batch_id, parts - 1)])(rows, batch_id)
+    return logs
 
 
 def sink_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(as_totals(latest_rows(read_log(spark, _logged_totals(spark, sf_dir)))))
+    (log,) = _logged_totals(spark, sf_dir)
+    return _rounded(as_totals(latest_rows(read_log(spark, log))))
 
 
 def serve_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folds with the folded batch dropped between them; the second changes some rows only."""
     table = work_folder(spark, "table")
-    fold_log(spark, _logged_totals(spark, sf_dir), table, "0001-01-01", "9999-12-31")
+    log, later = _logged_totals(spark, sf_dir, parts=2)
+    drop_folded(spark, log, fold_log(spark, log, table))
+    fold_log(spark, later, table, "0001-01-01", SERVED_DAY)
     return _rounded(as_totals(rows_of_date(read_table(spark, table), SERVED_DAY)))
 
 
@@ -278,10 +372,11 @@ def trade_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_to_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with broken values among them, through decoding, totals and the table."""
     records = events_as_records(_stream(spark, sf_dir, "events"))
-    log = work_folder(spark, "job-log")
+    log, table = work_folder(spark, "job-log"), work_folder(spark, "job-table")
     state = work_folder(spark, "job-state")
-    topic_to_table(records, append_to_log(log), state, once=True).awaitTermination()
-    return _rounded(as_totals(latest_rows(read_log(spark, log))))
+    write = keep_table(log, table, every=1)
+    topic_to_table(records, write, state, once=True).awaitTermination()
+    return _rounded(as_totals(read_served(spark, log, table)))
 
 
 def feed_to_topic_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,6 +421,14 @@ def queries() -> dict[str, Query]:
         "trade_window_agg_stream_lineitem": trade_window_agg_stream_lineitem,
         "trade_window_agg_stateful": trade_window_agg_stateful,
         "trade_window_agg_stateful_lineitem": trade_window_agg_stateful_lineitem,
+        "slices_native": slices_native,
+        "slices_stateful": slices_stateful,
+        "late_open_native": late_open_native,
+        "late_open_stateful": late_open_stateful,
+        "late_closed_native": late_closed_native,
+        "late_closed_stateful": late_closed_stateful,
+        "trade_acceptance": trade_acceptance,
+        "service_messages": service_messages_query,
         "frame_classify": frame_classify,
         "frame_kind_counts": frame_kind_counts,
         "frame_quarantine": frame_quarantine,
@@ -415,6 +518,10 @@ def oracle_sql() -> dict[str, str]:
     minute = _totals_sql(_EVENT_TRADES, 60)
     daily = _totals_sql(_LINE_TRADES, DAY)
     subscribed = "\"M\" IN ('Coinbase', 'Binance', 'Gemini')"
+    on_time = (
+        "NOT (event_id % 13 = 0 AND event_id < (SELECT (max(event_id) + 1) / 8 FROM events))"
+    )
+    accepted = _totals_sql(_EVENT_TRADES, HOUR, "event_id % 7 <> 0 AND event_id % 11 <> 0")
     training = {} if llm is None else dict(llm.oracle_sql())
     if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
         training["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -446,6 +553,20 @@ def oracle_sql() -> dict[str, str]:
         "trade_window_agg_stream_lineitem": daily,
         "trade_window_agg_stateful": minute,
         "trade_window_agg_stateful_lineitem": daily,
+        "slices_native": minute,
+        "slices_stateful": minute,
+        "late_open_native": _totals_sql(_EVENT_TRADES, DECADE),
+        "late_open_stateful": _totals_sql(_EVENT_TRADES, DECADE, on_time),
+        "late_closed_native": _totals_sql(_EVENT_TRADES, 60, on_time),
+        "late_closed_stateful": _totals_sql(_EVENT_TRADES, 60, on_time),
+        "trade_acceptance": f"""
+            SELECT *, unnest(['json', 'parquet']) AS format FROM ({accepted})""",
+        "service_messages": """
+            SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'start' ELSE 'wrong_api_key' END AS kind,
+                   CASE WHEN event_id % 50 = 0 THEN 'welcome' ELSE 'refused' END AS text,
+                   CASE WHEN event_id % 50 <> 0 THEN 'api_key' END AS parameter,
+                   CASE WHEN event_id % 50 <> 0 THEN 'The key is not valid' END AS info
+            FROM events WHERE event_type = 'signup' AND event_id % 50 IN (0, 25)""",
         "frame_classify": f"SELECT event_id, {_KIND} AS kind FROM events",
         "frame_kind_counts": f"SELECT {_KIND} AS kind, count(*) AS frames FROM events GROUP BY 1",
         "frame_quarantine": """

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from tapeline import schemas
 
@@ -39,11 +41,18 @@ def only_document(documents: Column) -> Column:
 def is_message(documents: Column, message: StructType) -> Column:
     """True for a single document that holds every field of the message with a usable value."""
     document = F.get(documents, F.lit(0))
-    fits = F.size(documents) == 1
+    return (F.size(documents) == 1) & has_fields(document.getField, message)
+
+
+def has_fields(field_of: Callable[[str], Column], message: StructType) -> Column:
+    """Whether every field is there and usable: the one rule for text and for stored rows."""
+    fits = F.lit(True)
     for field in message:
-        fits = fits & document.getField(field.name).isNotNull()
+        fits = fits & field_of(field.name).isNotNull()
+        if isinstance(field.dataType, DoubleType):
+            fits = fits & ~F.isnan(field_of(field.name))
     if message is schemas.TRADE:
-        fits = fits & document.getField("TS").between(_MIN_SECONDS, _MAX_SECONDS)
+        fits = fits & field_of("TS").between(_MIN_SECONDS, _MAX_SECONDS)
     return fits
 
 

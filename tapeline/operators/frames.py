@@ -44,6 +44,19 @@ def quarantine_of(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("kind") == MALFORMED).drop("message")
 
 
+def service_messages(classified: DataFrame) -> DataFrame:
+    """Start messages and refused keys, with their text; `info` says why a key was refused."""
+    kinds = F.col("kind").isin("start", "wrong_api_key")
+    others = [name for name in classified.columns if name not in ("kind", "message", "value")]
+    return classified.where(kinds).select(
+        *others,
+        "kind",
+        F.col("message.MESSAGE").alias("text"),
+        F.col("message.PARAMETER").alias("parameter"),
+        F.col("message.INFO").alias("info"),
+    )
+
+
 def count_kinds(classified: DataFrame) -> DataFrame:
     """Frames per kind. A kind with most of the frames is combined before the shuffle."""
     return classified.groupBy("kind").agg(F.count("*").alias("frames"))

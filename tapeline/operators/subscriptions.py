@@ -16,42 +16,37 @@ DEFAULT_CHANNELS = (
     "0~Gemini~BTC~USD",
 )
 
-# A channel is three short names; this many of them are some tens of megabytes.
-BROADCAST_CHANNELS = 500_000
-
-# Parts that a market is split into when the channels are too many to broadcast.
-SALTS = 32
-
 _CHANNEL = ["M", "FSYM", "TSYM"]
+_TRADES = "0"
 
 
 def channel_table(channels: DataFrame) -> DataFrame:
-    """Channel names (column `channel`) as distinct market, coin and currency."""
+    """Trade channels (column `channel`) as distinct market, coin and currency.
+
+    Channels of another type than trades, and names without four parts, match nothing.
+    """
     part = F.split("channel", "~")
-    return channels.select(
-        *[F.get(part, F.lit(i + 1)).alias(name) for i, name in enumerate(_CHANNEL)]
-    ).distinct()
+    named = channels.where(F.size(part) == 4).select(
+        F.get(part, F.lit(0)).alias("_type"),
+        *[F.get(part, F.lit(i + 1)).alias(name) for i, name in enumerate(_CHANNEL)],
+    )
+    whole = " AND ".join(f"{name} <> ''" for name in _CHANNEL)
+    return named.where(f"_type = '{_TRADES}' AND {whole}").drop("_type").distinct()
 
 
 def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) -> DataFrame:
     """Trades whose market, coin and currency are in `channels`.
 
-    The channel table is broadcast when it is counted to be small: trades then stay where they
-    are, whatever their skew. A larger one is joined by shuffle, with a copy of it for every salt:
-    the salt of a trade is the partition it lies in, so that a market with a third of all trades,
-    or of all copies of one trade, goes to many tasks, and a task run again sends the same rows to
-    the same place.
+    A semi join without hints: Spark broadcasts the channels if its own threshold allows it, and
+    otherwise shuffles both sides and splits the partition of a hot market when it sees its size.
+    A name in a list of names that does not have four parts is an error.
     """
-    if isinstance(channels, DataFrame):
-        table = channel_table(channels)
-        size = table.limit(BROADCAST_CHANNELS + 1).count()
-    else:
+    if not isinstance(channels, DataFrame):
         names = sorted(set(channels))
-        size = len(names)
-        rows = [(name,) for name in names]
-        table = channel_table(trades.sparkSession.createDataFrame(rows, "channel string"))
-    if size <= BROADCAST_CHANNELS:
-        return trades.join(F.broadcast(table), _CHANNEL, "left_semi")
-    salted = trades.withColumn("_salt", F.spark_partition_id() % SALTS)
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*_CHANNEL, "_salt"], "left_semi").select(*trades.columns)
+        broken = [name for name in names if len([p for p in name.split("~") if p]) != 4]
+        if broken:
+            raise ValueError(f"not type~market~coin~currency: {broken}")
+        channels = trades.sparkSession.createDataFrame(
+            [(name,) for name in names], "channel string"
+        )
+    return trades.join(channel_table(channels), _CHANNEL, "left_semi").select(*trades.columns)

@@ -13,6 +13,7 @@ from tapeline.operators.frames import (
     classify_frames,
     observe_kinds,
     quarantine_of,
+    service_messages,
     trades_of,
 )
 from tapeline.operators.normalize import WINDOW_SECONDS
@@ -23,7 +24,7 @@ from tapeline.operators.records import (
     observe_decode,
     rejected_records,
 )
-from tapeline.operators.subscriptions import subscribed_trades
+from tapeline.operators.subscriptions import DEFAULT_CHANNELS, subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.streaming.runs import start
 from tapeline.streaming.sinks import BatchFunction, console_writer, topic_writer, with_row_ids
@@ -32,9 +33,12 @@ Totals = Callable[[DataFrame, int], DataFrame]
 
 
 def feed_records(
-    frames: DataFrame, channels: Sequence[str] | DataFrame | None = None
+    frames: DataFrame, channels: Sequence[str] | DataFrame | None = DEFAULT_CHANNELS
 ) -> DataFrame:
-    """Feed frames to topic records: `key`, `value` for every trade, by default of any channel."""
+    """Feed frames to topic records: `key`, `value` for every trade of the channels.
+
+    The channels are the default subscription unless others are given; None means all.
+    """
     trades = trades_of(observe_kinds(classify_frames(frames)))
     if channels is not None:
         trades = subscribed_trades(trades, channels)
@@ -68,7 +72,7 @@ def feed_to_topic(
     sink: Callable[[DataFrame], DataStreamWriter],
     checkpoint: str,
     *,
-    channels: Sequence[str] | DataFrame | None = None,
+    channels: Sequence[str] | DataFrame | None = DEFAULT_CHANNELS,
     **run: Any,
 ) -> StreamingQuery:
     """Feed frames to a topic; `sink` makes the writer, see `to_topic`."""
@@ -102,7 +106,7 @@ def topic_to_table(
 
 
 def set_aside(rejected: DataFrame, path: str, checkpoint: str, **run: Any) -> StreamingQuery:
-    """Keep malformed frames or records, as they came, in a Parquet folder.
+    """Keep malformed frames or records, as they came, or service messages, in a Parquet folder.
 
     A query of its own: the totals have one output, and this one needs no state. Start it next
     to a job on the same source, or now and then with `once=True`.
@@ -122,3 +126,8 @@ def malformed_frames(frames: DataFrame) -> DataFrame:
 
 def malformed_records(records: DataFrame) -> DataFrame:
     return rejected_records(decode_records(records))
+
+
+def service_frames(frames: DataFrame) -> DataFrame:
+    """Start messages and refused keys of the feed, to be kept with `set_aside`."""
+    return service_messages(classify_frames(frames))

@@ -52,6 +52,7 @@ FRAME = StructType(
     list({field.name: field for message in MESSAGES.values() for field in message}.values())
 )
 
+# Names and types of normalised trades and of results.
 NORMAL_TRADE = StructType([
     StructField("id", StringType()),
     StructField("fromcoin", StringType()),
@@ -78,11 +79,15 @@ TOTALS = StructType([
     StructField("counttxns", LongType()),
 ])
 
-# Stored rows keep `date` as a DATE: it names the folder, free of any time zone.
+# Stored rows keep `date` as a DATE: it names the folder, free of any time zone. They keep the order
+# in which they were written, so that later rows can be told from earlier ones wherever they lie.
 SERVED = StructType(
     [field for field in TOTALS if field.name != "date"]
-    + [StructField("uuid", StringType()), StructField("date", DateType())]
+    + [StructField("uuid", StringType())]
+    + [StructField("batch_ms", LongType()), StructField("batch_id", LongType())]
+    + [StructField("date", DateType())]
 )
 CHANGE_LOG = StructType(
-    list(SERVED) + [StructField("batch_ms", LongType()), StructField("batch_id", LongType())]
+    [field for field in SERVED if not field.name.startswith("batch_")]
+    + [StructField("batch_ms", LongType()), StructField("batch_id", LongType())]
 )

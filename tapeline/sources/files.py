@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapeline.operators.records import decode_records, decoded_trades
+from tapeline.functions.json_text import has_fields
+from tapeline.operators.records import decode_records, decoded_trades, observe_decode
 from tapeline.schemas import TRADE
 
 
@@ -25,15 +27,33 @@ def read_trades(
     *,
     file_format: str = "json",
     stream: bool = True,
+    metric: str = "decode",
     **options: str | int,
 ) -> DataFrame:
-    """Trade rows from JSON lines, Parquet or ORC.
+    """Trade rows from JSON lines, Parquet or ORC, by one rule: all fields there and usable.
 
-    JSON goes through the strict decoder, so a broken line is left out rather than read as nulls;
-    `read_lines` and `rejected_records` give the lines left out.
+    Rows that are not are left out and counted, as the query metrics `accepted` and `rejected` under
+    the name `metric`. `read_lines` and `rejected_records`, or `rejected_trades`, give the rows left out.
     """
     if file_format == "json":
         lines = read_lines(spark, path, stream=stream, **options)
-        return decoded_trades(decode_records(lines))
+        return decoded_trades(observe_decode(decode_records(lines), metric))
+    rows = _stored_trades(spark, path, file_format, stream, **options)
+    return decoded_trades(observe_decode(rows, metric))
+
+
+def rejected_trades(
+    spark: SparkSession, path: str, *, file_format: str, stream: bool = True, **options: str | int
+) -> DataFrame:
+    """Rows of Parquet or ORC files that are no complete trade, as they are."""
+    rows = _stored_trades(spark, path, file_format, stream, **options)
+    return rows.where(F.col("trade").isNull()).drop("trade")
+
+
+def _stored_trades(
+    spark: SparkSession, path: str, file_format: str, stream: bool, **options: str | int
+) -> DataFrame:
     reader = spark.readStream if stream else spark.read
-    return reader.schema(TRADE).options(**options).format(file_format).load(path)
+    rows = reader.schema(TRADE).options(**options).format(file_format).load(path)
+    usable = has_fields(F.col, TRADE)
+    return rows.withColumn("trade", F.when(usable, F.struct(*TRADE.fieldNames())))

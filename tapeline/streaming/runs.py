@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -76,12 +75,9 @@ def run_for(query: StreamingQuery, seconds: float = RUN_SECONDS) -> bool:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for checkpoints and logs, in the folder the cluster shares.
 
-    That is `spark.checkpoint.dir`. A local session without it gets a temporary folder; on a
-    cluster there is no safe default, as executors do not see the driver's disk.
+    That is `spark.checkpoint.dir`, else a folder in the warehouse, which executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="tapeline-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{shared.rstrip('/')}/tapeline/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,22 +99,106 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHANGE_LOG).parquet(path)
 
 
-def fold_log(spark: SparkSession, log: str, table: str, first: str, last: str) -> None:
-    """Write the latest rows of the dates `first` to `last` to the served table.
-
-    Each of those dates is replaced as a whole, so this can be repeated, and must be after more
-    rows of a date have come in.
+def fold_log(
+    spark: SparkSession,
+    log: str,
+    table: str,
+    first: str | None = None,
+    last: str | None = None,
+) -> int | None:
+    """Bring the served table up to date with the log, for the dates `first` to `last` or for all.
+
+    Of every date that the log has rows of, the latest rows of log and table together are written as
+    a new generation of that date; then its older generations are removed. Nothing is read and
+    replaced at the same place, and a generation has all that the older ones had, so whenever the
+    job stops, no row is lost, and it can be run again. Returns the time of the last batch that is
+    now in the table: after a fold of all dates, `drop_folded` may remove the log up to there.
     """
-    dates = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    rows = read_log(spark, log)
+    if first is not None:
+        rows = rows.where(F.col("date") >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.where(F.col("date") <= F.lit(last).cast("date"))
+    upto = rows.agg(F.max("batch_ms")).first()[0]
+    if upto is None:
+        return None
+    new = rows.where(F.col("batch_ms") <= upto)
+    if _paths(spark, f"{table}/generation=*"):
+        # One row per date that changed.
+        changed = new.select("date").distinct()
+        kept = _generations(spark, table).join(changed, "date", "left_semi")
+        new = new.unionByName(kept.select(*CHANGE_LOG.fieldNames()))
+    generation = f"{table}/generation={upto:020d}-{uuid.uuid4().hex}"
     (
-        latest_rows(read_log(spark, log).where(dates))
+        latest_rows(new)
         .hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(table)
+        .write.partitionBy("date")
+        .parquet(generation)
     )
+    dates = [path.rpartition("/")[2] for path in _paths(spark, f"{generation}/date=*")]
+    for date in dates:
+        for path in _paths(spark, f"{table}/generation=*/{date}"):
+            if f"/{generation.rpartition('/')[2]}/" not in path:
+                _remove(spark, path)
+    return upto
+
+
+def drop_folded(spark: SparkSession, log: str, upto: int) -> None:
+    """Remove the batches of a log up to a time, once all their dates are in the table."""
+    for path in [*_paths(spark, f"{log}/batch_ms=*"), *_paths(spark, f"{log}/date=*/batch_ms=*")]:
+        if int(path.rpartition("=")[2]) <= upto:
+            _remove(spark, path)
+
+
+def keep_table(log: str, table: str, every: int = 40) -> BatchFunction:
+    """Batch function that keeps a served table: a log, folded into the table every few batches.
+
+    `read_served` has the latest rows at any time, folded or not. The log never holds more than
+    `every` batches, and a fold reads those and the dates that they change.
+    """
+    append = append_to_log(log)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append(batch, batch_id)
+        if batch_id % every == every - 1:
+            spark = batch.sparkSession
+            upto = fold_log(spark, log, table)
+            if upto is not None:
+                drop_folded(spark, log, upto)
+
+    return write
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SERVED).parquet(path)
+    """The rows as of the last fold."""
+    return latest_rows(_generations(spark, path))
+
+
+def read_served(spark: SparkSession, log: str, table: str) -> DataFrame:
+    """The latest rows of table and unfolded log. A filter on `date` reaches both."""
+    parts = []
+    if _paths(spark, f"{table}/generation=*"):
+        parts.append(_generations(spark, table))
+    if _paths(spark, f"{log}/*=*"):
+        parts.append(read_log(spark, log))
+    if not parts:
+        return spark.createDataFrame([], SERVED)
+    rows = [part.select(*CHANGE_LOG.fieldNames()) for part in parts]
+    return latest_rows(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1]))
+
+
+def _generations(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema(SERVED).parquet(table).select(*SERVED.fieldNames())
+
+
+def _paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match, by Spark's own file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = files.globStatus(path)
+    return [status.getPath().toString() for status in found or [] if status.isDirectory()]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
