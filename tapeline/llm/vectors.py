@@ -10,7 +10,8 @@ share of neighbours in them reaches `RECALL`.
 Equal vectors form a class that is searched as one and known by its smallest ids, as many as an answer
 can name. A leaf is split by hash into blocks of about `BLOCK` classes, its queries as well, and every
 pair of blocks is compared in a task of its own, so neither a common vector nor a full leaf grows a
-task.
+task. A search is first compared with `BOUND` sampled vectors: whatever is farther than as many of
+them as the answer holds cannot be in the answer, and is not passed on.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import stored
+from tapeline.llm.common import hashed_sample, stored
 
 SAMPLE = 20_000
 BRANCHES = 16
@@ -33,6 +34,8 @@ MOST_LEAVES = 4_096
 PROBES = 200
 RECALL = 0.97
 BLOCK = 2_000
+# Sampled vectors that each search is compared with first, for a bound on its answer.
+BOUND = 8_000
 
 
 @dataclass
@@ -242,7 +245,9 @@ def nearest_vectors(
     spark = vectors.sparkSession
     # A query can lose one id of a class to itself, and its own class of one to itself.
     classes = stored(vector_classes(vectors, k + 1, id_column, column), "vector-classes")
-    sample = classes.select("vector").orderBy(F.xxhash64("key", F.lit(3)), "key").limit(SAMPLE).toArrow()
+    every = classes.count()
+    sample = hashed_sample(classes.select("key", "vector"), F.col("key"), SAMPLE, every)
+    sample = sample.select("vector").toArrow()
     lengths = np.array([len(v) for v in sample.column("vector")], np.int64)
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if not len(lengths):
@@ -289,18 +294,30 @@ def nearest_vectors(
     ).distinct()
     asked = placed.join(asking.select("key").distinct(), "key", "left_semi").select("key", "vector")
 
+    near = _unit(_matrix(sample.column("vector").slice(0, BOUND), dimension)).astype(np.float32)
+    sent_near = spark.sparkContext.broadcast(near)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree(**sent.value)
+        tree, near = Tree(**sent.value), sent_near.value
         for batch in batches:
             unit = _unit(_matrix(batch.column(1), dimension))
+            floor = np.full(len(unit), -2.0)
+            for i in range(0, len(unit) if len(near) > k else 0, 500):
+                scores = unit[i : i + 500].astype(np.float32) @ near.T
+                # Single precision is good to far less than the margin.
+                floor[i : i + 500] = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)] - 1e-4
             found = [tree.leaves(u, visits) for u in unit]
             sizes = [len(f) for f in found]
             some = batch.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
             leaf = pa.array([x for f in found for x in f], pa.int64())
-            yield pa.RecordBatch.from_arrays([*some.columns, leaf], ["key", "vector", "leaf"])
+            columns = [*some.columns, leaf, pa.array(np.repeat(floor, sizes))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "vector", "leaf", "floor"])
 
     asked = stored(
-        asked.mapInArrow(search, "key struct<a: bigint, b: bigint>, vector array<double>, leaf bigint"),
+        asked.mapInArrow(
+            search,
+            "key struct<a: bigint, b: bigint>, vector array<double>, leaf bigint, floor double",
+        ),
         "vector-searches",
     )
 
@@ -327,7 +344,7 @@ def nearest_vectors(
         asked.join(n_blocks, "leaf")
         .withColumn("q", block_of("_askers"))
         .withColumn("m", F.explode(F.expr("sequence(0, _members - 1)")))
-        .select("leaf", "m", "q", "key", "vector")
+        .select("leaf", "m", "q", "key", "vector", "floor")
     )
 
     def compare(askers: pa.Table, members: pa.Table) -> pa.Table:
@@ -338,11 +355,14 @@ def nearest_vectors(
         more = min(few + 3, near.shape[1])
         top = np.argpartition(-near, more - 1, axis=1)[:, :more] if more else np.empty((len(a), 0), int)
         left, right = np.repeat(np.arange(len(a)), more), top.ravel()
+        score = _cosines(a[left], b[right])
+        keep = score >= askers.column("floor").to_numpy()[left]
+        left, right, score = left[keep], right[keep], score[keep]
         return pa.table(
             {
                 "asker": askers.column("key").take(pa.array(left)),
                 "key": members.column("key").take(pa.array(right)),
-                "score": pa.array(_cosines(a[left], b[right]), pa.float64()),
+                "score": pa.array(score, pa.float64()),
             }
         )
 
