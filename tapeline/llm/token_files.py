@@ -30,8 +30,8 @@ from tapeline.llm.common import stored, text_slices, worker_cache
 from tapeline.streaming.runs import work_folder
 
 MOST_BITS = 16
-BLOCK = 256
-SEGMENT = 1_000_000
+BLOCK = 128
+SEGMENT = 250_000
 PART_DOCS = 8_000
 # Pieces that a worker remembers before it starts anew.
 REMEMBERED = 1_500_000
