@@ -65,3 +65,15 @@ def text_slices(texts: list, most: int = 4_000_000):
             first, held = i + 1, 0
     if first < len(texts):
         yield first, len(texts)
+
+
+def hashed_sample(rows: DataFrame, key: Column, most: int, total: int) -> DataFrame:
+    """At most `most` rows, those with the smallest hashes of a key, of a table of `total` rows.
+
+    Tasks hold back rows whose hash is beyond what is needed, so what they pass on does not grow with
+    their number. Rows of equal keys count in `total` but are passed on together.
+    """
+    share = min(1.0, 2 * most / max(total, 1))
+    hashed = rows.withColumn("_hash", F.xxhash64(key, F.lit(17)))
+    near = hashed.where(F.col("_hash") / F.lit(2.0**64) + 0.5 <= share)
+    return near.dropDuplicates(["_hash"]).orderBy("_hash").limit(most).drop("_hash")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import text_slices
+from tapeline.llm.common import hashed_sample, text_slices
 
 SAMPLE = 400
 FEATURE_BITS = 14
@@ -356,8 +356,9 @@ def fit(pages: list[str]) -> Model:
 
 
 def fit_from_pages(pages: DataFrame, page: str = "html", sample: int = SAMPLE) -> Model:
-    rows = pages.where(F.col(page).isNotNull()).select(F.xxhash64(page).alias("_h"), page)
-    return fit([r[page] for r in rows.orderBy("_h", page).limit(sample).collect()])
+    rows = pages.where(F.col(page).isNotNull()).select(page)
+    chosen = hashed_sample(rows, F.col(page), sample, rows.count())
+    return fit([r[page] for r in chosen.collect()])
 
 
 def main_text(

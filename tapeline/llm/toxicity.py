@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tapeline.llm.common import text_slices
+from tapeline.llm.common import hashed_sample, text_slices
 
 SAMPLE = {1: 1_500, 0: 4_500}
 FEATURE_BITS = 18
@@ -151,7 +151,9 @@ def fit(texts: list[str], toxic: list[int], base_rate: float) -> Model:
     marked = (by_word & (size > 2)) | (by_beginning & (size >= 5))
     model = Model(np.zeros(1 << FEATURE_BITS), -6.0, np.zeros((2, 2)), -3.0, (0.0, 0.0, 0.0))
     rate = min(max(base_rate, 1e-6), 1 - 1e-6)
-    model.document = (math.log(rate / (1 - rate)), 0.0, 0.0)
+    # Where nothing can be learned nothing is called toxic.
+    constant = min(rate, 0.5)
+    model.document = (math.log(constant / (1 - constant)), 0.0, 0.0)
     if not marked.any():
         return model
 
@@ -264,18 +266,19 @@ def fit_from_labels(
 ) -> Model:
     """Fit on a bounded sample of the labelled documents that are not held out.
 
-    Labels other than 0 and 1 do not count; of several labels of one document the highest does.
+    Labels other than 0 and 1, or without an id, do not count; of several labels of one document the highest does.
     """
     usable = (
-        labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
+        .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
     counts = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for value in (0, 1):
-        some = usable.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id")
-        some = some.limit(sample[value])
+        some = usable.where(F.col("toxic") == value)
+        some = hashed_sample(some, F.col("doc_id"), sample[value], counts.get(value, 0))
         chosen = some if chosen is None else chosen.unionByName(some)
     # As many rows of two numbers as the sample has documents.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

@@ -1,0 +1,83 @@
+"""Main text: exact texts, exact marginals, odd pages."""
+
+import itertools
+
+import numpy as np
+import pytest
+
+from tapeline.llm.html import Forest, Model, extract_pages, fit, prior_model
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head>
+<body><nav><ul><li><a href="/a">Menu</a></li></ul></nav><!-- c --><div class="ad">Buy now.</div>
+<div id="cookie-notice">We use cookies.</div><article><header>By someone</header><h1>Head &amp; line</h1>
+<p><b>First  para.<br><p>Second&nbsp;one, with <a href="/x">a link</a> in it.</p>{more}
+<aside class="sidebar">Related</aside><form><input><button>Send</button></form></article>
+<div class="comments"><p>Nice, said a reader.</p></div><footer>&copy; foot</footer></body></html>"""
+TEXT = "Head & line\nFirst para.\nSecond one, with a link in it."
+
+
+def pages(spark, sources):
+    return spark.createDataFrame(
+        [(i, f"u{i}", s, "x") for i, s in enumerate(sources)],
+        "page_id bigint, url string, html string, text string",
+    )
+
+
+def test_article_without_its_surroundings(spark):
+    sources = [PAGE.format(more=f"<p>More {i}.</p>") for i in range(30)]
+    got = {r["page_id"]: r for r in extract_pages(pages(spark, sources)).collect()}
+    for i in range(30):
+        assert got[i]["text"] == f"{TEXT}\nMore {i}."
+        assert got[i]["n_chars"] == len(got[i]["text"])
+
+
+def test_odd_pages(spark):
+    good = PAGE.format(more="")
+    long_page = PAGE.format(more="<p>" + "long words " * 100_000 + "</p>")
+    sources = [
+        good, good, None, "", "   ", "<p>", "<article><p>cut &am", "<article><p>cut<a href=\"/x y",
+        "<article><p>a<!-- never closed", "< 3 > 2 & 1", "</div></p></article>", "<" * 5000,
+        "<div>" * 3000 + "deep", long_page, "<article><p>a<p>b<li>c<td>d</article>",
+        "<article>\x00<p>\U0001f600 &#128512;&#x41;&lt;b&gt;</p></article>",
+    ]
+    got = {r["page_id"]: r["text"] for r in extract_pages(pages(spark, sources)).collect()}
+    assert len(got) == len(sources)
+    assert got[0] == got[1] == TEXT
+    assert [got[i] for i in (2, 3, 4, 5, 10)] == [""] * 5
+    assert got[6] == "cut &am" and got[7] == "cut" and got[8] == "a"
+    assert len(got[13]) > 1_000_000
+    assert got[14] == "a\nb\nc\nd"
+    assert got[15].endswith("\U0001f600 \U0001f600A<b>")
+    assert extract_pages(pages(spark, ["x"]).limit(0)).collect() == []
+
+
+def test_marginals_equal_the_sum_over_states():
+    rng = np.random.default_rng(1)
+    forest = Forest(["<div><p>a<b>b</b></p>c</div>", "<p>x</p>"], {})
+    model = Model(rng.normal(size=len(prior_model().weights)), rng.normal(size=(3, 2, 2)))
+    n = len(forest.parent)
+    field = np.bincount(forest.nodes, weights=model.weights[forest.features], minlength=n)
+    total, weight = 0.0, np.zeros(n)
+    for states in itertools.product((0, 1), repeat=n):
+        s = np.array(states)
+        child = np.flatnonzero(forest.depth > 0)
+        score = (field * s).sum() + model.pairs[
+            forest.kind[child], s[forest.parent[child]], s[child]
+        ].sum()
+        total += np.exp(score)
+        weight += np.exp(score) * s
+    assert forest.passes(model)[0] == pytest.approx(weight / total)
+
+
+def test_held_out_layout_without_article():
+    """A layout that no training page has."""
+    trained = fit([PAGE.format(more=f"<p>More {i}.</p>") for i in range(20)])
+    page = (
+        "<body><div class='menu'><a href='/'>Home</a> <a href='/b'>B</a></div><div id='content'>"
+        "<h1>Title of it</h1><p>" + "A sentence of the text. " * 8 + "</p></div>"
+        "<div class='sidebar'><a href='/c'>Other pages</a></div></body>"
+    )
+    forest = Forest([page], {})
+    (text,) = forest.main_texts(forest.passes(trained)[0])
+    assert "A sentence of the text." in text
+    assert "Home" not in text and "Other pages" not in text

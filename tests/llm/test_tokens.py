@@ -1,0 +1,132 @@
+"""BPE against the library; token files against a plain encoding."""
+
+import hashlib
+import heapq
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_helpers import frame, odd_documents, rows_of
+from tokenizers import Tokenizer
+
+from tapeline.llm.bpe import WordBpe, encode_documents
+from tapeline.llm.token_files import ByteBpe, Code, code_lengths, token_files
+
+WORD = public_tokenizers.path("word_bpe_49k.json")
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+
+ODD = [
+    "", " ", "  \n\n\t ", "<|endoftext|>a <|startoftext|>b<|endoftext|>", "<|endoftext|", "a  b\n c ",
+    "it's I'LL we've'd ''s", "x²½Ⅷ १२३ ¼a", "\x1c\x1d a\x85b　c\xa0d", "\U0001f600 \U0001f44d\U0001f3fd",
+    "日本語 テスト", "İstanbul ǅ ß ﬀ ΑΣ ΣΑΣ ας", "é é K Å", "a_b__c 1_2", "\x00 \x1f\x0b", "aaaaaaaaa",
+]
+
+
+def random_texts(n, seed=5):
+    rng = random.Random(seed)
+    letters = "abTé1² \n\t'st_!×\xa0\x85\x1c½日٣<|>"
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(n)]
+
+
+def test_word_bpe_equals_the_library():
+    library, own = Tokenizer.from_file(WORD), WordBpe(WORD)
+    texts = ODD + random_texts(3000)
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids == " ".join(map(str, expected)), repr(text)
+        assert own.decode(ids) == library.decode(expected, skip_special_tokens=False)
+
+
+def test_cuts_are_certain():
+    """No token has a byte pair inside that counts as a cut."""
+    own = WordBpe(WORD)
+    for token in random.Random(1).sample(sorted(own.token_of.values()), 2000):
+        if not token.startswith("<|"):
+            raw = [c for c in token.removesuffix("</w>")]
+            codes = [ord(c) for c in raw]
+            if all(33 <= c < 127 for c in codes):
+                assert not own.never[codes[:-1], codes[1:]].any()
+
+
+def test_encoded_documents(spark):
+    docs = frame(spark, odd_documents(), clashing=True)
+    library = Tokenizer.from_file(WORD)
+    rows = encode_documents(docs, WORD).collect()
+    digests = encode_documents(docs, WORD, digests=True).collect()
+    texts = sorted(((d, t or "") for d, t, *_ in odd_documents()), key=repr)
+    expected = []
+    for doc_id, text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        expected.append((doc_id, len(ids), " ".join(map(str, ids)), decoded))
+    assert sorted(map(tuple, rows), key=repr) == sorted(expected, key=repr)
+    assert sorted((r["ids_sha256"], r["decoded_sha256"]) for r in digests) == sorted(
+        tuple(hashlib.sha256(x.encode()).hexdigest() for x in e[2:]) for e in expected
+    )
+    assert encode_documents(docs.limit(0), WORD).collect() == []
+
+
+def test_byte_bpe_equals_the_library():
+    library, own = Tokenizer.from_file(BYTE), ByteBpe(BYTE)
+    texts = ODD + random_texts(5000)
+    for text, ids in zip(texts, own.encode(texts, 2), strict=True):
+        expected = [*library.encode(text, add_special_tokens=False).ids, 2]
+        assert np.frombuffer(ids, np.uint16).tolist() == expected, repr(text)
+
+
+@pytest.mark.parametrize("n", [2, 3, 17, 400])
+def test_code_lengths_are_optimal_under_the_limit(n):
+    rng = random.Random(n)
+    counts = {i: rng.randint(1, 1000) for i in range(n)}
+    heap, total, k = [(c, i) for i, c in counts.items()], 0, n
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        total += a[0] + b[0]
+        heapq.heappush(heap, (a[0] + b[0], k))
+        k += 1
+    lengths = code_lengths(counts)
+    assert sum(counts[i] * lengths[i] for i in counts) == total
+
+
+def test_code_lengths_at_the_limit():
+    counts = {i: 2**i for i in range(40)}
+    lengths = code_lengths(counts)
+    assert max(lengths.values()) == 16
+    assert sum(2.0**-n for n in lengths.values()) <= 1
+    assert code_lengths({}) == {} and code_lengths({7: 3}) == {7: 1}
+
+
+def test_blocks_are_decoded_from_their_checkpoints():
+    rng = np.random.default_rng(1)
+    ids = rng.zipf(1.3, 5000).clip(max=60_000).astype(np.uint16)
+    counts = np.array([1, 0, 255, 256, 257, 1231, 3000])
+    values, n = np.unique(ids, return_counts=True)
+    code = Code(code_lengths(dict(zip(values.tolist(), n.tolist(), strict=True))))
+    data, blocks = code.encode(ids, counts)
+    # The third document's second block by itself.
+    first = np.cumsum([0, *counts])
+    sizes = [-(-int(c) // 128) for c in counts]
+    place = sum(sizes[:4])
+    before = [sum(blocks[sum(sizes[:i]) : sum(sizes[: i + 1])]) for i in range(4)]
+    start = 8 * sum(-(-int(b) // 8) for b in before)
+    got = code.decode(data, np.array([start + blocks[place]]), np.array([1]))
+    assert got.tolist() == [ids[first[4] + 128]]
+
+
+def test_token_files(spark):
+    docs = frame(spark, odd_documents(), clashing=True)
+    library = Tokenizer.from_file(BYTE)
+    expected, start = [], 0
+    coded = [
+        (d, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, *_ in odd_documents()
+    ]
+    order = sorted(coded, key=lambda x: (x[0] is not None, x[0] or 0, len(x[1])))
+    for doc_id, ids in order:
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = rows_of(token_files(spark, docs, BYTE, 2), "doc_id", "start", "n_tokens", "ids_crc32")
+    assert got == sorted(expected, key=repr)
+    assert token_files(spark, docs.limit(0), BYTE, 2).collect() == []

@@ -1,0 +1,99 @@
+"""Toxicity: held-out accuracy, exact marginals, odd rows."""
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_helpers import frame, odd_documents
+
+from tapeline.llm.toxicity import (
+    Model, fit, marginals, score_documents, toxicity, without_toxic,
+)
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def plain_marginals(emission, steps, start):
+    """Sum over all paths."""
+    n = len(emission)
+    weight = np.zeros(n)
+    total = 0.0
+    for path in itertools.product((0, 1), repeat=n):
+        score = start * path[0] + sum(e for e, s in zip(emission, path, strict=True) if s)
+        score += sum(steps[a][b] for a, b in zip(path, path[1:], strict=False))
+        total += np.exp(score)
+        weight += np.exp(score) * np.array(path)
+    return weight / total
+
+
+def test_marginals_equal_the_sum_over_paths():
+    rng = np.random.default_rng(2)
+    model = Model(np.zeros(4), 0.0, rng.normal(size=(2, 2)), -0.5, (0.0, 0.0, 0.0))
+    lengths = [1, 7, 3, 5]
+    chain = np.repeat(np.arange(4), lengths)
+    emission = rng.normal(size=len(chain))
+    got = marginals(model, emission, chain)
+    expected = np.concatenate(
+        [plain_marginals(emission[chain == i], model.steps, model.start) for i in range(4)]
+    )
+    assert got == pytest.approx(expected)
+
+
+def corpus(n=400, seed=4):
+    rng = random.Random(seed)
+    clean = [f"word{i}" for i in range(300)]
+    bad = ["scumbag", "vermin", "dolt"]
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 4 == 0
+        words = rng.choices(clean, k=rng.randint(5, 60))
+        if toxic:
+            for _ in range(rng.randint(1, 4)):
+                words.insert(rng.randrange(len(words)), rng.choice(bad))
+        rows.append((i, " ".join(words) + "."))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def test_held_out_accuracy_and_spans(spark):
+    rows, labels = corpus()
+    docs, table = frame(spark, rows), spark.createDataFrame(labels, LABELS)
+    got = {r["doc_id"]: r for r in toxicity(docs, table).collect()}
+    toxic = {i: y for i, _, y in labels}
+    for i, text in rows:
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+        assert got[i]["predicted"] == toxic[i] == int(got[i]["score"] >= 0.7)
+        found = {text[s["start"] : s["end"]] for s in got[i]["spans"]}
+        assert bool(found) == bool(toxic[i]) and found <= {"scumbag", "vermin", "dolt"}
+    kept = without_toxic(docs, table)
+    assert kept.schema == docs.schema
+    assert {r["doc_id"] for r in kept.collect()} == {i for i in toxic if not toxic[i]}
+
+
+def test_held_out_labels_change_nothing(spark):
+    rows, labels = corpus(120)
+    flipped = [
+        (i, q, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, q, y in labels
+    ]
+    docs = frame(spark, rows)
+    scores = [
+        {r["doc_id"]: r["score"] for r in toxicity(docs, spark.createDataFrame(some, LABELS)).collect()}
+        for some in (labels, flipped)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_odd_rows_and_no_labels(spark):
+    docs = frame(spark, odd_documents(), clashing=True)
+    none = spark.createDataFrame([], LABELS)
+    odd = spark.createDataFrame([(None, 1, 1), (5, None, None), (5, 1, 7), (6, 1, 0), (6, 1, 0)], LABELS)
+    for labels in (none, odd):
+        got = toxicity(docs, labels)
+        assert got.count() == docs.count()
+        assert got.where("score IS NULL OR score < 0 OR score > 1 OR predicted <> 0").count() == 0
+        assert without_toxic(docs, labels).count() == docs.count()
+    assert toxicity(docs.limit(0), odd).collect() == []
+    assert fit([], [], 0.0).document[1:] == (0.0, 0.0)
+    assert score_documents(docs, fit([], [], 0.0), score="_s").columns == [*docs.columns, "_s"]

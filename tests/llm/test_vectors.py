@@ -1,0 +1,79 @@
+"""Nearest vectors against brute force."""
+
+import numpy as np
+import pytest
+
+from tapeline.llm.vectors import fit_tree, nearest_vectors
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, key string, leaf string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 0, "k", "l") for i, v in rows], SCHEMA)
+
+
+def brute(rows, k=5, every=50):
+    good = [
+        (i, np.array(v, np.float32).astype(float)) for i, v in dict.fromkeys((i, tuple(v)) for i, v in rows
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v))
+    ]
+    found = {}
+    for i, v in good:
+        if i % every == 0:
+            near = [
+                (-(v @ w) / (np.sqrt(v @ v) * np.sqrt(w @ w)), j) for j, w in good if j != i
+            ]
+            found[i] = sorted((round(s, 9), j) for s, j in near)[:k]
+    return found
+
+
+def answers(got):
+    found = {}
+    for r in sorted(got.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((round(-r["score"], 9), r["vec_id"]))
+    return found
+
+
+def test_small_tables_are_searched_whole(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(150)]
+    rows += [(i, rows[3][1]) for i in range(200, 260)] + [rows[7], rows[7]]
+    rows += [(300, None), (301, [0.0] * 8), (302, [None] + [1.0] * 7), (350, [float("nan")] * 8),
+             (400, [float("inf")] * 8), (None, rows[0][1])]
+    assert answers(nearest_vectors(table(spark, rows))) == brute(rows)
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (50, [1.0, 1.0])]
+    assert answers(nearest_vectors(table(spark, rows))) == brute(rows)
+    assert nearest_vectors(table(spark, rows).limit(0)).collect() == []
+    assert nearest_vectors(table(spark, [(0, [1.0, 0.0])])).collect() == []
+
+
+def test_recall_with_many_leaves(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 16))
+    rows = [
+        (i, (centres[i % 12] + 0.5 * rng.normal(size=16)).astype(np.float32).tolist())
+        for i in range(3000)
+    ]
+    got, expected = answers(nearest_vectors(table(spark, rows))), brute(rows)
+    share = np.mean([len({j for _, j in got[q]} & {j for _, j in expected[q]}) / 5 for q in expected])
+    assert set(got) == set(expected) and share >= 0.9
+
+
+def test_best_bin_first_reaches_every_leaf():
+    rng = np.random.default_rng(3)
+    unit = rng.normal(size=(2000, 6))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    tree = fit_tree(unit, 40, branches=4)
+    assert tree.n_leaves == 40
+    order = tree.leaves(unit[0], 40)
+    assert sorted(order) == list(range(40))
+    assert len(np.unique(tree.assign(unit))) == 40
+    assert tree.leaves(unit[0], 7) == order[:7]
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_trees_of_equal_vectors(n):
+    assert fit_tree(np.ones((5, 3)) / np.sqrt(3), n).n_leaves == 1
