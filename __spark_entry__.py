@@ -268,9 +268,7 @@ def trade_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     for file_format in ("json", "parquet"):
         path = work_folder(spark, f"accept-{file_format}")
         broken.select(*TRADE.fieldNames()).write.format(file_format).save(path)
-        some = read_trades(
-            spark, path, file_format=file_format, stream=False, metric=f"decode_{file_format}"
-        )
+        some = read_trades(spark, path, file_format=file_format, stream=False)
         read.append(_rounded(window_totals(some, HOUR)).withColumn("format", F.lit(file_format)))
     return read[0].unionByName(read[1])
 

@@ -32,14 +32,18 @@ def read_trades(
 ) -> DataFrame:
     """Trade rows from JSON lines, Parquet or ORC, by one rule: all fields there and usable.
 
-    Rows that are not are left out and counted, as the query metrics `accepted` and `rejected` under
-    the name `metric`. `read_lines` and `rejected_records`, or `rejected_trades`, give the rows left out.
+    Rows that are not are left out; `read_lines` and `rejected_records`, or `rejected_trades`, give
+    them. A stream counts them, as the query metrics `accepted` and `rejected` under the name
+    `metric`. A batch does not, as filters could then not reach the files.
     """
     if file_format == "json":
-        lines = read_lines(spark, path, stream=stream, **options)
-        return decoded_trades(observe_decode(decode_records(lines), metric))
-    rows = _stored_trades(spark, path, file_format, stream, **options)
-    return decoded_trades(observe_decode(rows, metric))
+        rows = decode_records(read_lines(spark, path, stream=stream, **options))
+    elif stream:
+        rows = _stored_trades(spark, path, file_format, stream, **options)
+    else:
+        rows = spark.read.schema(TRADE).options(**options).format(file_format).load(path)
+        return rows.where(has_fields(F.col, TRADE))
+    return decoded_trades(observe_decode(rows, metric) if stream else rows)
 
 
 def rejected_trades(

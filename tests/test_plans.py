@@ -7,14 +7,13 @@ import pytest
 from helpers import trade, trades_frame
 from pyspark.sql import functions as F
 
-from tapeline.operators import subscriptions
 from tapeline.operators.frames import classify_frames, count_kinds, trades_of
 from tapeline.operators.records import decode_records, decoded_trades, encode_records
 from tapeline.operators.served import latest_rows, rows_of_date
 from tapeline.operators.subscriptions import subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.plans.jobs import feed_records, topic_trades
-from tapeline.schemas import CHANGE_LOG, SERVED
+from tapeline.schemas import CHANGE_LOG, SERVED, TRADE
 from tapeline.sources.files import read_lines, read_trades
 from tapeline.streaming.runs import session_settings
 from tapeline.streaming.sinks import read_log
@@ -46,6 +45,16 @@ def test_totals_read_what_they_need(trade_files):
     assert "In(F, [1,2])" in text
     (schema,) = re.findall(r"ReadSchema: struct<(.*)>", text)
     names = {column.split(":")[0] for column in schema.split(",")}
+    # A stored trade counts if all its fields are there, so all are read.
+    assert names == set(TRADE.fieldNames())
+    assert "IsNotNull(TSYM)" in text
+
+
+def test_totals_of_any_rows_read_what_they_need(spark, tmp_path):
+    trades_frame(spark, [trade()]).write.parquet(str(tmp_path / "t"))
+    text = plan(window_totals(spark.read.schema(TRADE).parquet(str(tmp_path / "t"))))
+    (schema,) = re.findall(r"ReadSchema: struct<(.*)>", text)
+    names = {column.split(":")[0] for column in schema.split(",")}
     assert names == {"M", "FSYM", "F", "TS", "Q", "P", "TOTAL"}
 
 
@@ -67,12 +76,11 @@ def test_text_is_parsed_once(spark, tmp_path, make):
     assert text.count("from_json(") == 1
 
 
-def test_channels_are_broadcast_only_up_to_a_counted_bound(spark, trade_files, monkeypatch):
+def test_small_channel_tables_are_broadcast_by_the_threshold(spark, trade_files):
     names = ["0~Coinbase~BTC~USD", "0~Kraken~BTC~USD"]
     table = spark.createDataFrame([(name,) for name in names], "channel string")
     for channels in (names, table):
         assert "BroadcastHashJoin" in plan(subscribed_trades(trade_files, channels))
-    monkeypatch.setattr(subscriptions, "BROADCAST_CHANNELS", 1)
     with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         for channels in (names, table):
             kept = subscribed_trades(trade_files, channels)
@@ -82,25 +90,38 @@ def test_channels_are_broadcast_only_up_to_a_counted_bound(spark, trade_files, m
             assert subscribed_trades(trade_files, ["0~A~B~C", "0~A~B~D"]).count() == 0
 
 
-def test_a_hot_market_is_spread_when_channels_are_many(spark, tmp_path, monkeypatch):
-    """All trades are copies of one; the join still has more than one busy task."""
-    monkeypatch.setattr(subscriptions, "BROADCAST_CHANNELS", 0)
-    copies = trades_frame(spark, [trade()] * 4_000).repartition(16)
-    quiet = {
+def test_no_job_runs_while_the_join_is_planned(spark, trade_files):
+    table = spark.createDataFrame([("0~Coinbase~BTC~USD",)], "channel string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planned", "planned")
+    subscribed_trades(trade_files, table)
+    assert list(tracker.getJobIdsForGroup("planned")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_hot_market_is_split_when_channels_are_shuffled(spark, tmp_path):
+    """All trades are of one market; the join still has more than one busy task."""
+    path = str(tmp_path / "hot")
+    rows = trades_frame(spark, [trade()]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(60_000))))
+    rows.withColumn("ID", F.col("n").cast("string")).drop("n").repartition(16).write.parquet(path)
+    split = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }
-    with session_settings(spark, quiet):
-        kept = subscribed_trades(copies, ["0~Coinbase~BTC~USD"])
-        parts = kept.groupBy(F.spark_partition_id().alias("part")).count()
-        sizes = [row["count"] for row in parts.collect()]
-    assert sum(sizes) == 4_000
-    assert len(sizes) > 2
+    with session_settings(spark, split):
+        trades = read_trades(spark, path, file_format="parquet", stream=False)
+        kept = subscribed_trades(trades, ["0~Coinbase~BTC~USD"])
+        parts = kept.select(F.spark_partition_id().alias("part")).collect()
+    assert len(parts) == 60_000
+    assert len({row["part"] for row in parts}) > 2
 
 
 def test_one_date_reads_one_folder(spark, tmp_path):
     day = datetime(2021, 1, 8)
-    row = (day, day, "M", "BUY", "BTC", "USD", 1.0, 1.0, 1.0, 1, "u", day.date())
+    row = (day, day, "M", "BUY", "BTC", "USD", 1.0, 1.0, 1.0, 1, "u", 1, 0, day.date())
     spark.createDataFrame([row], SERVED).write.partitionBy("date").parquet(str(tmp_path / "table"))
     table = spark.read.schema(SERVED).parquet(str(tmp_path / "table"))
     text = plan(rows_of_date(table, "2021-01-08"))

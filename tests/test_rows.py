@@ -113,3 +113,13 @@ def test_subscribed_channels(spark):
     assert subscribed_trades(rows, []).count() == 0
 
 
+def test_only_channels_of_trades_count(spark):
+    rows = trades_frame(spark, [trade()])
+    assert subscribed_trades(rows, ["2~Coinbase~BTC~USD"]).count() == 0
+    with pytest.raises(ValueError, match="BTC"):
+        subscribed_trades(rows, ["Coinbase~BTC~USD"])
+    names = ["Coinbase~BTC~USD", "0~Coinbase~BTC~USD~x", "0~~BTC~USD", "0~Coinbase", None, ""]
+    table = spark.createDataFrame([(name,) for name in names], "channel string")
+    assert subscribed_trades(rows, table).count() == 0
+
+

@@ -4,11 +4,10 @@ import json
 import uuid
 
 import pytest
-from helpers import seconds, trade, trades_frame, write_batches
+from helpers import seconds, text_frame, trade, trades_frame, write_batches
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tapeline.operators import subscriptions
 from tapeline.operators.records import encode_records
 from tapeline.operators.served import (
     MARKET_KEY,
@@ -22,18 +21,23 @@ from tapeline.plans.jobs import (
     live_view,
     malformed_frames,
     malformed_records,
+    service_frames,
     set_aside,
     topic_to_table,
 )
 from tapeline.schemas import TOTALS
-from tapeline.sources.files import read_lines, read_trades
+from tapeline.sources.files import read_lines, read_trades, rejected_trades
 from tapeline.sources.kafka import read_topic, topic_options
+from tapeline.streaming import sinks
 from tapeline.streaming.runs import run_for, session_settings, start, work_folder
 from tapeline.streaming.sinks import (
     append_to,
     append_to_log,
+    drop_folded,
     fold_log,
+    keep_table,
     read_log,
+    read_served,
     read_table,
     topic_writer,
     with_row_ids,
@@ -348,9 +352,9 @@ def test_topic_to_table(spark, tmp_path, totals):
     assert sorted(bytes(row.value) for row in kept.collect()) == [b"x", b'{"TYPE":']
 
 
-@pytest.mark.parametrize("bound", [0, 500_000])
-def test_feed_to_topic_of_some_channels(spark, tmp_path, monkeypatch, bound):
-    monkeypatch.setattr(subscriptions, "BROADCAST_CHANNELS", bound)
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_feed_to_topic_of_some_channels(spark, tmp_path, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     write_batches(tmp_path / "in", [on_time(20)])
     out = str(tmp_path / "out")
     feed_to_topic(
@@ -361,6 +365,7 @@ def test_feed_to_topic_of_some_channels(spark, tmp_path, monkeypatch, bound):
         once=True,
     ).awaitTermination()
     records = spark.read.parquet(out).collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(int(json.loads(row.value)["ID"]) for row in records) == list(range(0, 20, 2))
 
 
@@ -428,10 +433,110 @@ def test_settings_are_put_back(spark):
     assert spark.conf.get("tapeline.x", None) is None
 
 
-def test_work_folder(spark, monkeypatch):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+def test_work_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
     folder = work_folder(spark, "x")
     assert folder != work_folder(spark, "x")
-    assert shared is None or folder.startswith(shared)
+    assert folder.startswith(shared)
+
+
+def test_work_folder_without_a_setting_is_in_the_warehouse(spark):
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(name, default=None):
+                return "/w" if name == "spark.sql.warehouse.dir" else default
+
+    assert work_folder(Session, "x").startswith("/w/_work/tapeline/x-")
+
+
+def stamped_log(spark, path, batch_id, rows):
+    totals = window_totals(trades_frame(spark, rows)).withColumn("uuid", F.lit("u"))
+    stamped = totals.withColumn("batch_ms", F.lit(1_000 + batch_id).cast("bigint"))
+    append_to_log(path)(stamped, batch_id)
+
+
+def test_folds_lose_no_row_when_folded_batches_are_dropped(spark, tmp_path):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    stamped_log(spark, log, 0, [trade(), trade(M="Kraken"), trade(day="2021-01-09")])
+    drop_folded(spark, log, fold_log(spark, log, table))
+    assert not list((tmp_path / "log").glob("batch_ms=*"))
+    # A late trade of one key, and a key that is new.
+    stamped_log(spark, log, 1, [trade(), trade(price=7.0), trade(M="Gemini")])
+    fold_log(spark, log, table)
+    served = {(r.market, str(r.date)): r.counttxns for r in read_table(spark, table).collect()}
+    assert served == {
+        ("Coinbase", "2021-01-08"): 2, ("Kraken", "2021-01-08"): 1,
+        ("Gemini", "2021-01-08"): 1, ("Coinbase", "2021-01-09"): 1,
+    }
+    # Folding once more changes nothing, and only one generation of each date is left.
+    fold_log(spark, log, table)
+    assert read_table(spark, table).count() == 4
+    dates = [p.name for p in (tmp_path / "table").glob("generation=*/date=*")]
+    assert sorted(dates) == sorted(set(dates))
+
+
+def test_a_fold_that_stops_before_it_cleans_up(spark, tmp_path, monkeypatch):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    stamped_log(spark, log, 0, [trade(), trade(M="Kraken")])
+    fold_log(spark, log, table)
+    stamped_log(spark, log, 1, [trade(), trade()])
+
+    def stop(*args):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(sinks, "_remove", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        fold_log(spark, log, table)
+    monkeypatch.undo()
+    for _ in range(2):
+        served = {r.market: r.counttxns for r in read_served(spark, log, table).collect()}
+        assert served == {"Coinbase": 2, "Kraken": 1}
+        fold_log(spark, log, table)
+
+
+@pytest.mark.parametrize("every", [1, 2, 40])
+def test_a_table_kept_current(spark, tmp_path, every):
+    rows = sorted(on_time(120), key=lambda row: row["TS"])
+    write_batches(tmp_path / "in", [rows[n : n + 40] for n in range(0, 120, 40)])
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    assert read_served(spark, log, table).count() == 0
+    totals = with_row_ids(window_totals(read_trades(spark, str(tmp_path / "in"), maxFilesPerTrigger=1)))
+    writer = totals.writeStream.outputMode("update").foreachBatch(keep_table(log, table, every))
+    start(spark, writer, str(tmp_path / "state"), once=True).awaitTermination()
+    assert rows_of(as_totals(read_served(spark, log, table))) == rows_of(
+        window_totals(trades_frame(spark, rows))
+    )
 
 
+@pytest.mark.parametrize("file_format", ["json", "parquet", "orc"])
+def test_one_rule_for_stored_trades(spark, tmp_path, file_format):
+    rows = [trade(ID="good"), trade(ID="q", Q=None), trade(ID="m", M=None),
+            trade(ID="late", TS=10**17), trade(ID="nan", P=float("nan"))]
+    path = str(tmp_path / "t")
+    stored = trades_frame(spark, rows)
+    if file_format == "json":
+        stored.selectExpr("to_json(struct(*)) AS value").write.text(path)
+    else:
+        stored.write.format(file_format).save(path)
+    read = read_trades(spark, path, file_format=file_format, stream=False)
+    assert [row.ID for row in read.collect()] == ["good"]
+    out = str(tmp_path / "out")
+    streamed = read_trades(spark, path, file_format=file_format)
+    writer = streamed.writeStream.format("parquet").option("path", out)
+    query = start(spark, writer, str(tmp_path / "state"), once=True)
+    query.awaitTermination()
+    counts = [p.observedMetrics["decode"] for p in query.recentProgress if p.numInputRows]
+    assert (sum(c.accepted for c in counts), sum(c.rejected for c in counts)) == (1, 4)
+    if file_format != "json":
+        left = rejected_trades(spark, path, file_format=file_format, stream=False)
+        assert {row.ID for row in left.collect()} == {"q", "m", "late", "nan"}
+
+
+def test_service_messages(spark):
+    texts = [
+        json.dumps({"TYPE": "401", "MESSAGE": "refused", "PARAMETER": "api_key", "INFO": "no"}),
+        json.dumps(trade()), "{}",
+    ]
+    (row,) = service_frames(text_frame(spark, texts)).collect()
+    assert (row.kind, row.text, row.parameter, row.info) == ("wrong_api_key", "refused", "api_key", "no")
