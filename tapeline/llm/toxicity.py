@@ -11,7 +11,7 @@ A document's score is a logistic function of its largest marginal and of the sum
 the training documents at the rate at which toxic ones occur. Offending words are those with a
 marginal of one half or more.
 
-Fitted on the driver from a bounded sample, `SAMPLE` documents of each label at most, chosen by hash
+Fitted in one task on a bounded sample, `SAMPLE` documents of each label at most, chosen by hash
 among the labelled rows that may be used; everything is scored.
 """
 
@@ -280,12 +280,32 @@ def fit_from_labels(
         some = usable.where(F.col("toxic") == value)
         some = hashed_sample(some, F.col("doc_id"), sample[value], counts.get(value, 0))
         chosen = some if chosen is None else chosen.unionByName(some)
-    # As many rows of two numbers as the sample has documents.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
-    texts = [t or "" for t in rows.pop("text")]
     total = sum(counts.values())
-    return fit(texts, rows["toxic"].tolist(), counts.get(1, 0) / total if total else 0.0)
+    rate = counts.get(1, 0) / total if total else 0.0
+    # As many rows of two numbers as the sample has documents; the fit is one task's work.
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.dropDuplicates(["doc_id"]).repartition(1).select("doc_id", "text", "toxic")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(
+            ((i, t or "", y) for batch in batches for i, t, y in zip(
+                *[column.to_pylist() for column in batch.columns], strict=True)),
+            key=lambda row: row[0],
+        )
+        model = fit([t for _, t, _ in found], [y for _, _, y in found], rate)
+        numbers = [model.bias, model.start, *model.steps.ravel(), *model.document]
+        columns = [
+            pa.array([model.weights.tobytes()], pa.binary()),
+            pa.array([[float(x) for x in numbers]], pa.list_(pa.float64())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["weights", "numbers"])
+
+    fitted = rows.mapInArrow(run, "weights binary, numbers array<double>").first()
+    if fitted is None:
+        return fit([], [], rate)
+    bias, start, *rest = fitted["numbers"]
+    weights = np.frombuffer(fitted["weights"], np.float64)
+    return Model(weights, bias, np.array(rest[:4]).reshape(2, 2), start, tuple(rest[4:]))
 
 
 class _Scorer:
