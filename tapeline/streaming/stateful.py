@@ -8,23 +8,24 @@
   the full one in a keyed table. In the first micro-batch the watermark is still 0, so the groups
   of that batch expire in the next one unless they are updated again.
 
-State calls cost far more than the sums they keep, so state is kept per bucket of groups, not per
-group. Every group in a bucket has its own timeout; the bucket's is the earliest of them, so the
-bucket is called in every micro-batch in which one of its groups is updated or expires.
+Every group is an entry of the engine's own map state, and a micro-batch reads and writes the entries
+of the groups that it updates or that expire, no others. Groups are dealt out to buckets, which are
+the grouping key: a bucket has one timer per micro-batch that updated any of its groups, and the list
+of those groups.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tapeline.operators.normalize import (
     WINDOW_SECONDS,
@@ -38,7 +39,7 @@ from tapeline.operators.totals import CURRENCY, WATERMARK, total_columns
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 IDLE_MS = 5 * 60 * 1000
-BUCKETS = 256
+BUCKETS_PER_TASK = 4
 
 _KEY = ["market", "fromcoin", "direction", "window_seconds"]
 _SUMS = ["vol", "price", "quantity", "n"]
@@ -46,25 +47,12 @@ _PARTIAL = (
     "market string, fromcoin string, direction string, seconds bigint, "
     "vol double, price double, quantity double, n bigint"
 )
-_STATE = "groups binary"
 _OUTPUT = (
     "market string, fromcoin string, direction string, window_seconds bigint, "
     "totalvol double, avgprice double, totalquantity double, counttxns bigint"
 )
-_GROUPS = pa.schema(
-    [
-        ("market", pa.string()),
-        ("fromcoin", pa.string()),
-        ("direction", pa.string()),
-        ("window_seconds", pa.int64()),
-        ("vol", pa.float64()),
-        ("price", pa.float64()),
-        ("quantity", pa.float64()),
-        ("n", pa.int64()),
-        ("timeout_ms", pa.int64()),
-        ("updated", pa.bool_()),
-    ]
-)
+_GROUP = "market string, fromcoin string, direction string, window_seconds bigint"
+_TOTALS = "vol double, price double, quantity double, n bigint, timeout_ms bigint"
 
 # Rows a task holds before it combines them.
 _HELD_ROWS = 200_000
@@ -101,67 +89,53 @@ def combine_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield from combined.to_batches()
 
 
-def merge_groups(kept: pa.Table, new: pa.Table, watermark_ms: int) -> pa.Table:
-    """Add new partial rows to the groups of a bucket and drop those past their timeout.
-
-    A group updated now is never dropped, even if its timeout has passed.
-    """
-    kept = kept.set_column(
-        kept.schema.get_field_index("updated"), "updated", pa.repeat(False, kept.num_rows)
-    )
-    functions = {**dict.fromkeys(_SUMS, "sum"), "timeout_ms": "max", "updated": "max"}
-    merged = _grouped(pa.concat_tables([kept, new]), _KEY, functions)
-    alive = pc.or_(merged["updated"], pc.greater_equal(merged["timeout_ms"], watermark_ms))
-    return merged.filter(alive)
-
-
-def _read(groups: bytes) -> pa.Table:
-    with pa.ipc.open_stream(groups) as reader:
-        return reader.read_all()
-
-
-def _write(groups: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, groups.schema) as writer:
-        writer.write_table(groups.combine_chunks())
-    return sink.getvalue().to_pybytes()
-
-
-def _arrived(rows: pd.DataFrame, timeout_ms: int) -> pa.Table:
-    marked = rows.assign(timeout_ms=timeout_ms, updated=True)
-    table = pa.Table.from_pandas(marked[_GROUPS.names], schema=_GROUPS, preserve_index=False)
-    return _grouped(
-        table, _KEY, {**dict.fromkeys(_SUMS, "sum"), "timeout_ms": "max", "updated": "max"}
-    )
-
-
-def _update_bucket(
-    partials: Iterator[pd.DataFrame], state: GroupState, idle_ms: int
-) -> Iterator[pd.DataFrame]:
-    watermark_ms = state.getCurrentWatermarkMs()
-    kept = _read(bytes(state.get[0])) if state.exists else _GROUPS.empty_table()
-    new = _GROUPS.empty_table()
-    if not state.hasTimedOut:
-        for rows in partials:
-            new = pa.concat_tables([new, _arrived(rows, watermark_ms + idle_ms)])
-    groups = merge_groups(kept, new, watermark_ms)
-    if groups.num_rows == 0:
-        state.remove()
-        return
-    state.update((_write(groups),))
-    earliest = pc.min(groups["timeout_ms"]).as_py()
-    state.setTimeoutTimestamp(max(earliest, watermark_ms + 1))
-    updated = groups.filter(groups["updated"])
-    if updated.num_rows:
-        yield pd.DataFrame(
-            {
-                **{name: updated[name].to_pandas() for name in _KEY},
-                "totalvol": updated["vol"].to_pandas(),
-                "avgprice": pc.divide(updated["price"], updated["n"]).to_pandas(),
-                "totalquantity": updated["quantity"].to_pandas(),
-                "counttxns": updated["n"].to_pandas(),
-            }
-        )
+class GroupTotals(StatefulProcessor):
+    """Totals of the groups of a bucket, each kept until `idle_ms` after its last update."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.groups = handle.getMapState("groups", _GROUP, _TOTALS)
+        # The groups that were last updated under a timeout, as JSON; some may be so no more.
+        self.due = handle.getMapState("due", "timeout_ms bigint", "groups string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        timeout_ms = timerValues.getCurrentWatermarkInMs() + self.idle_ms
+        new = pd.concat([part[[*_KEY, *_SUMS]] for part in rows]).groupby(_KEY)[_SUMS].sum()
+        updated = []
+        for group, sums in zip(new.index.tolist(), new.to_numpy().tolist(), strict=True):
+            if self.groups.containsKey(group):
+                held = self.groups.getValue(group)
+                sums = [x + y for x, y in zip(sums, held[:4], strict=True)]
+            vol, price, quantity, n = sums
+            self.groups.updateValue(group, (vol, price, quantity, int(n), timeout_ms))
+            updated.append((*group, vol, price / n, quantity, int(n)))
+        known = []
+        if self.due.containsKey((timeout_ms,)):
+            known = json.loads(self.due.getValue((timeout_ms,))[0])
+        groups = [list(group) for group in new.index.tolist()]
+        self.due.updateValue((timeout_ms,), (json.dumps(known + groups),))
+        # A timer is due at its time; a group is forgotten once the watermark is past its timeout.
+        self.handle.registerTimer(timeout_ms + 1)
+        yield pd.DataFrame(updated, columns=_OUTPUT_NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        timeout_ms = expiredTimerInfo.getExpiryTimeInMs() - 1
+        for group in json.loads(self.due.getValue((timeout_ms,))[0]):
+            group = tuple(group)
+            # Updated since, in this micro-batch or an earlier one: it has a later timeout.
+            if self.groups.containsKey(group) and self.groups.getValue(group)[4] <= timeout_ms:
+                self.groups.removeKey(group)
+        self.due.removeKey((timeout_ms,))
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+_OUTPUT_NAMES = [column.split()[0] for column in _OUTPUT.split(", ")]
 
 
 def stateful_totals(
@@ -171,15 +145,19 @@ def stateful_totals(
     watermark: str = WATERMARK,
     idle_ms: int = IDLE_MS,
     currency: str = CURRENCY,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     max_partitions: int | None = None,
 ) -> DataFrame:
     """The rows of `window_totals`, kept in explicit state. Streams only, update mode.
 
     Groups are spread over `buckets` by their whole key, window included, so a busy market is
-    spread as well. Take a few per task of the shuffle, and more if that leaves over some ten
-    thousand open groups in each. Never change it under a checkpoint: groups would lose their state.
+    spread as well. There are a few per task of the shuffle unless their number is given; never
+    change it, or the shuffle width it is taken from, under a checkpoint: groups would lose their
+    state.
     """
+    if buckets is None:
+        width = int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = BUCKETS_PER_TASK * width
     if max_partitions is not None:
         trades = trades.coalesce(max_partitions)
     normalized = normalize_trades(keep_sides(trades))
@@ -203,11 +181,11 @@ def stateful_totals(
         *_SUMS,
     ).withWatermark("timestamp", watermark)
 
-    def update(key, rows, state):
-        return _update_bucket(rows, state, idle_ms)
-
-    totals = partials.groupBy("bucket").applyInPandasWithState(
-        update, _OUTPUT, _STATE, "update", GroupStateTimeout.EventTimeTimeout
+    totals = partials.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=GroupTotals(idle_ms),
+        outputStructType=_OUTPUT,
+        outputMode="Update",
+        timeMode="EventTime",
     )
     return total_columns(
         totals.withColumn("window_start", F.timestamp_seconds("window_seconds")).withColumn(

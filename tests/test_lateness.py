@@ -11,7 +11,7 @@ from tapeline.operators.totals import window_totals
 from tapeline.sources.files import read_trades
 from tapeline.streaming import stateful
 from tapeline.streaming.runs import start
-from tapeline.streaming.stateful import combine_partials, merge_groups, stateful_totals
+from tapeline.streaming.stateful import combine_partials, stateful_totals
 
 MINUTES_5 = 300
 
@@ -82,32 +82,13 @@ def test_random_micro_batches(spark, tmp_path, seed, row_time):
     assert [sorted(seen[n]) for n in range(len(batches))] == expected(batches, row_time)
 
 
-def groups(*rows):
-    names = stateful._GROUPS.names
-    columns = [list(column) for column in zip(*rows)] or [[] for _ in names]
-    return pa.table(dict(zip(names, columns)), schema=stateful._GROUPS)
-
-
-def group(window, price, n, timeout, updated):
-    return ("M", "BTC", "BUY", window, 2 * price, price, 2.0 * n, n, timeout, updated)
-
-
-def test_merge_adds_keeps_and_forgets():
-    kept = groups(group(0, 5.0, 1, 99, True), group(60, 5.0, 1, 100, True),
-                  group(120, 5.0, 1, 10, True))
-    new = groups(group(120, 7.0, 2, 400, True))
-    merged = merge_groups(kept, new, 100).to_pylist()
-    found = {row["window_seconds"]: row for row in merged}
-    assert set(found) == {60, 120}
-    assert (found[60]["updated"], found[60]["n"]) == (False, 1)
-    assert (found[120]["updated"], found[120]["n"], found[120]["price"]) == (True, 3, 12.0)
-    assert found[120]["timeout_ms"] == 400
-
-
 def test_combine_partials_bounds_what_it_holds(monkeypatch):
     monkeypatch.setattr(stateful, "_HELD_ROWS", 10)
-    fields = list(stateful._GROUPS)
-    schema = pa.schema([*fields[:3], ("seconds", pa.int64()), *fields[4:8]])
+    names = ["market", "fromcoin", "direction"]
+    schema = pa.schema(
+        [(n, pa.string()) for n in names] + [("seconds", pa.int64())]
+        + [(n, pa.float64()) for n in ("vol", "price", "quantity")] + [("n", pa.int64())]
+    )
 
     def batch(second, count):
         columns = [["M"] * count, ["BTC"] * count, ["BUY"] * count,
