@@ -38,7 +38,7 @@ ROUNDS = 120
 THRESHOLD = 0.7
 # Training sentences, most of them from toxic documents.
 MOST_CHAINS = 40_000
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
 _ENDS = frozenset(".!?\n")
@@ -367,7 +367,7 @@ def score_documents(
         scorer = _Scorer(Model(**sent.value))
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
-            for a, b in text_slices(texts):
+            for a, b in text_slices(texts, 1_000_000):
                 scores, offending = scorer.score(texts[a:b])
                 added = [pa.array(scores, pa.float64())]
                 if spans:
