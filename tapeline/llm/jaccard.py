@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tapeline.llm.common import stored, worker_cache
 from tapeline.llm.components import connected
+from tapeline.streaming.runs import session_settings
 
 SHINGLE = 3
 BUCKET_BITS = 18
@@ -41,7 +42,10 @@ LIGHT_MOST = 24
 # What one comparison of two sets costs, in rows shuffled.
 COMPARE_COST = 10
 REMEMBERED = 500_000
+# Rows that Spark and a Python worker hand each other at a time.
+BATCH_ROWS = 500
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xD6E8FEB86659FD93)
@@ -101,11 +105,11 @@ def bucket_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            hashes = [shingle_hashes(t, n) for t in batch.column(0).to_pylist()]
-            for first in range(0, len(hashes), 1000):
-                some = np.concatenate(hashes[first : first + 1000])
-                bucket = (some >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-                seen += np.bincount(bucket, minlength=len(seen))
+            texts = batch.column(0)
+            for first in range(0, len(texts), 100):
+                some = [shingle_hashes(t, n) for t in texts.slice(first, 100).to_pylist()]
+                bucket = np.concatenate(some) >> np.uint64(64 - BUCKET_BITS)
+                seen += np.bincount(bucket.astype(np.int64), minlength=len(seen))
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32)), pa.array(seen[found])], ["bucket", "n"]
@@ -278,8 +282,10 @@ class _Links:
                     [batch.column(0), pa.array(found, pa.binary())], ["node", "set"]
                 )
 
-        # Equal rows have the same id and text, so one of them is enough.
+        # Stored, so that its size is known before the texts would be shuffled for it. Equal rows have
+        # the same id and text, so one of them is enough.
         wanted = self.classes.join(nodes, "node").select("node", "_id", "_hash")
+        wanted = stored(wanted, "wanted")
         texts = self.texts.join(wanted, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
         return texts.select("node", "text").mapInArrow(whole, "node bigint, set binary")
 
@@ -324,6 +330,19 @@ def labelled_rows(
 
     Rows without words have a null label. `say` is told the tables of each step.
     """
+    # Rows here hold whole texts or whole sets; all work on them is done before this returns.
+    with session_settings(docs.sparkSession, {_BATCH_ROWS: str(BATCH_ROWS)}):
+        return _labelled_rows(docs, id_column, text, n, percent, say)
+
+
+def _labelled_rows(
+    docs: DataFrame,
+    id_column: str,
+    text: str,
+    n: int,
+    percent: int,
+    say: Callable[[str, DataFrame], None],
+) -> DataFrame:
     rows = stored(document_sets(docs, id_column, text, n, percent), "sets")
     # A class is named by its smallest id; one that has none, by its hash.
     classes = stored(
