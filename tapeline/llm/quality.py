@@ -101,20 +101,25 @@ def text_measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ())
 
 
 def rule_order(
-    measured: DataFrame, rules: Mapping[str, str] = RULES, sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame,
+    text: str = "text",
+    rules: Mapping[str, str] = RULES,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> list[str]:
     """Names of the rules, most rejections per second first, as measured on a sample.
 
-    The sample is at most `sample_rows` rows. Each rule is timed on its own, from the text on, so
-    that the cost has the measures that the rule needs and no others. An empty table gives the
-    order in which the rules stand.
+    The sample is the first `sample_rows` rows, fetched once and from as few files as hold them. Each
+    rule is timed on its own, from the text on, so that the cost has the measures that the rule needs
+    and no others. An empty table gives the order in which the rules stand.
     """
+    texts = docs.select(text)
+    sample = docs.sparkSession.createDataFrame(texts.take(sample_rows), texts.schema)
+    measured = text_measures(sample, text)
     rate = {}
     for name, condition in rules.items():
         began = time.perf_counter()
         failed = F.count_if(F.coalesce(F.expr(condition), F.lit(False)))
-        rejected = measured.limit(sample_rows).agg(failed).first()[0]
-        rate[name] = rejected / (time.perf_counter() - began)
+        rate[name] = measured.agg(failed).first()[0] / (time.perf_counter() - began)
     return sorted(rules, key=lambda name: -rate[name])
 
 
@@ -129,7 +134,7 @@ def cascade(order: Sequence[str], rules: Mapping[str, str] = RULES) -> Column:
 def quality_verdicts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Measures, `base_failed`, `kept` and `rejected_by` (null if kept) for every document."""
     measured = text_measures(docs, keep=[id_column])
-    order = rule_order(text_measures(docs))
+    order = rule_order(docs)
     base = " OR ".join(f"({condition})" for condition in BASE_RULES.values())
     return (
         measured.withColumn("base_failed", F.expr(base))
