@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) ->
         broken = [name for name in names if len([p for p in name.split("~") if p]) != 4]
         if broken:
             raise ValueError(f"not type~market~coin~currency: {broken}")
-        channels = trades.sparkSession.createDataFrame(
-            [(name,) for name in names], "channel string"
-        )
+        # From Arrow, so that the planner knows its size.
+        named = pa.table({"channel": pa.array(names, pa.string())})
+        channels = trades.sparkSession.createDataFrame(named)
     return trades.join(channel_table(channels), _CHANNEL, "left_semi").select(*trades.columns)
