@@ -55,7 +55,7 @@ def worker_cache(name: str) -> dict:
     return held.__dict__.setdefault(name, {})
 
 
-def text_slices(texts: list, most: int = 4_000_000):
+def text_slices(texts: list, most: int = 1_000_000):
     """Bounds of runs of texts that together have about `most` characters; a long text is whole."""
     first = held = 0
     for i, text in enumerate(texts):

@@ -377,7 +377,7 @@ def main_text(
         trained, cache = Model(*sent.value), {}
         for batch in batches:
             sources = [s or "" for s in batch.column(len(kept)).to_pylist()]
-            for a, b in text_slices(sources, 2_000_000):
+            for a, b in text_slices(sources):
                 forest = Forest(sources[a:b], cache)
                 texts = forest.main_texts(forest.passes(trained)[0])
                 added = [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]

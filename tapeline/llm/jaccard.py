@@ -41,7 +41,7 @@ PARITY_WORDS = 8
 LIGHT_MOST = 24
 # What one comparison of two sets costs, in rows shuffled.
 COMPARE_COST = 10
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 # Rows that Spark and a Python worker hand each other at a time.
 BATCH_ROWS = 500
 

@@ -31,14 +31,14 @@ from pyspark.sql.types import StructField, StructType
 
 from tapeline.llm.common import hashed_sample, text_slices
 
-SAMPLE = {1: 1_500, 0: 4_500}
+SAMPLE = {1: 800, 0: 2_400}
 FEATURE_BITS = 18
 CHAIN = 64
 ROUNDS = 120
 THRESHOLD = 0.7
 # Training sentences, most of them from toxic documents.
-MOST_CHAINS = 40_000
-REMEMBERED = 300_000
+MOST_CHAINS = 20_000
+REMEMBERED = 200_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
 _ENDS = frozenset(".!?\n")
@@ -367,7 +367,7 @@ def score_documents(
         scorer = _Scorer(Model(**sent.value))
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
-            for a, b in text_slices(texts, 1_000_000):
+            for a, b in text_slices(texts):
                 scores, offending = scorer.score(texts[a:b])
                 added = [pa.array(scores, pa.float64())]
                 if spans:
