@@ -17,7 +17,7 @@ of near copies costs about as many comparisons as it has members, and no link is
 pass a length filter and a filter on 512 parity bits (a bound on the symmetric difference) before
 their whole sets are compared.
 
-The order of shingles is by a count of 2**18 hashed buckets over the whole corpus, then by hash: any
+The order of shingles is by a count of 2**20 hashed buckets over the whole corpus, then by hash: any
 total order gives the same links, a good one gives short lists. Its size does not depend on the data.
 """
 
@@ -36,7 +36,7 @@ from tapeline.llm.components import connected
 from tapeline.streaming.runs import session_settings
 
 SHINGLE = 3
-BUCKET_BITS = 18
+BUCKET_BITS = 20
 PARITY_WORDS = 8
 LIGHT_MOST = 24
 # What one comparison of two sets costs, in rows shuffled.
@@ -118,7 +118,7 @@ def bucket_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
     rows = docs.select(F.col(text).cast("binary")).mapInArrow(count, "bucket int, n bigint")
     summed = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(1 << BUCKET_BITS, np.int64)
-    table[summed["bucket"].to_numpy(np.int64)] = summed["n"].to_numpy(np.int64)
+    table[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
     return table
 
 
@@ -270,7 +270,7 @@ class _Links:
             .select("a", "b", "d")
         )
 
-    def sets_of(self, pairs: DataFrame) -> DataFrame:
+    def sets_of(self, pairs: DataFrame, hint: str | None = None) -> DataFrame:
         """Whole sets of the classes that stand in the pairs, from the text of one document each."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         n = self.n
@@ -286,6 +286,7 @@ class _Links:
         # the same id and text, so one of them is enough.
         wanted = self.classes.join(nodes, "node").select("node", "_id", "_hash")
         wanted = stored(wanted, "wanted")
+        wanted = wanted.hint(hint) if hint else wanted
         texts = self.texts.join(wanted, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
         return texts.select("node", "text").mapInArrow(whole, "node bigint, set binary")
 
@@ -383,7 +384,9 @@ def _labelled_rows(
     pairs = lists.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     likely = stored(links.likely(pairs), "likely")
     say("likely", likely)
-    sets = stored(links.sets_of(likely), "whole-sets")
+    # Near copies are a share of all documents, so they are joined alike at every size; what is left
+    # to compare across components is not, and is joined as its size allows.
+    sets = stored(links.sets_of(likely, "merge"), "whole-sets")
     nearest = likely.groupBy("b").agg(F.min_by("a", "d").alias("a"))
     found = stored(light.unionByName(links.verified(nearest, sets)), "linked")
     labels = stored(connected(found), "labels")
