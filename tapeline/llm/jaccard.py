@@ -37,6 +37,7 @@ from tapeline.streaming.runs import session_settings
 
 SHINGLE = 3
 BUCKET_BITS = 20
+CHUNK_BITS = 14
 PARITY_WORDS = 8
 LIGHT_MOST = 24
 # What one comparison of two sets costs, in rows shuffled.
@@ -116,10 +117,25 @@ def bucket_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
         )
 
     rows = docs.select(F.col(text).cast("binary")).mapInArrow(count, "bucket int, n bigint")
-    summed = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros(1 << BUCKET_BITS, np.int64)
-    table[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
-    return table
+    summed = rows.groupBy("bucket").agg(F.sum("n").alias("n"))
+
+    def pack(buckets: pa.Table) -> pa.Table:
+        at = buckets.column("bucket").to_numpy()
+        counts = np.zeros(1 << CHUNK_BITS, np.int64)
+        counts[at & ((1 << CHUNK_BITS) - 1)] = buckets.column("n").to_numpy()
+        return pa.table(
+            {
+                "chunk": pa.array([int(at[0]) >> CHUNK_BITS], pa.int32()),
+                "counts": pa.array([counts.tobytes()], pa.binary()),
+            }
+        )
+
+    # As bytes, a fixed number of rows of a fixed size, so that the driver holds little else.
+    chunks = summed.withColumn("chunk", F.shiftright("bucket", CHUNK_BITS)).groupBy("chunk")
+    table = np.zeros((1 << (BUCKET_BITS - CHUNK_BITS), 1 << CHUNK_BITS), np.int64)
+    for row in chunks.applyInArrow(pack, "chunk int, counts binary").collect():
+        table[row["chunk"]] = np.frombuffer(row["counts"], np.int64)
+    return table.ravel()
 
 
 _SETS = (
