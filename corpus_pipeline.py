@@ -32,8 +32,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return one_of_each_group(docs)
+    """One document of each group of near copies stays: five-word shingles, Jaccard 0.8 or more."""
+    return one_of_each_group(docs, n=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

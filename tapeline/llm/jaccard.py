@@ -247,7 +247,7 @@ def light_most(classes: DataFrame, percent: int) -> int:
     most = 0
     for size in range(1, LIGHT_MOST + 1):
         subsets = 0
-        for lo, hi, c in subset_sizes(size, size + size // 9, percent):
+        for lo, hi, c in subset_sizes(size, 100 * size // percent, percent):
             ways = 1
             for i in range(size - c):
                 ways = ways * (size - i) // (i + 1)
