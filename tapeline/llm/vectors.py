@@ -10,8 +10,9 @@ share of neighbours in them reaches `RECALL`.
 Equal vectors form a class that is searched as one and known by its smallest ids, as many as an answer
 can name. A leaf is split by hash into blocks of about `BLOCK` classes, its queries as well, and every
 pair of blocks is compared in a task of its own, so neither a common vector nor a full leaf grows a
-task. A search is first compared with `BOUND` sampled vectors: whatever is farther than as many of
-them as the answer holds cannot be in the answer, and is not passed on.
+task. A search is first compared with `BOUND` sampled vectors: the nearest of them are candidates like
+those found in leaves, and whatever is farther than as many of them as the answer holds cannot be in
+the answer, and is not passed on. So every answer is full, whatever leaves were visited.
 """
 
 from __future__ import annotations
@@ -247,7 +248,7 @@ def nearest_vectors(
     classes = stored(vector_classes(vectors, k + 1, id_column, column), "vector-classes")
     every = classes.count()
     sample = hashed_sample(classes.select("key", "vector"), F.col("key"), SAMPLE, every)
-    sample = sample.select("vector").toArrow()
+    sample = sample.select("key", "vector").toArrow()
     lengths = np.array([len(v) for v in sample.column("vector")], np.int64)
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if not len(lengths):
@@ -294,29 +295,50 @@ def nearest_vectors(
     ).distinct()
     asked = placed.join(asking.select("key").distinct(), "key", "left_semi").select("key", "vector")
 
-    near = _unit(_matrix(sample.column("vector").slice(0, BOUND), dimension)).astype(np.float32)
-    sent_near = spark.sparkContext.broadcast(near)
+    bound = sample.slice(0, BOUND).combine_chunks()
+    near_keys = bound.column("key").combine_chunks()
+    sent_near = spark.sparkContext.broadcast((_matrix(bound.column("vector"), dimension), near_keys))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, near = Tree(**sent.value), sent_near.value
+        tree, (near, near_keys) = Tree(**sent.value), sent_near.value
+        unit_near = _unit(near).astype(np.float32)
+        # As in blocks, a little more than is needed.
+        few = min(k + 4, len(near))
         for batch in batches:
-            unit = _unit(_matrix(batch.column(1), dimension))
+            rows = _matrix(batch.column(1), dimension)
+            unit = _unit(rows)
             floor = np.full(len(unit), -2.0)
-            for i in range(0, len(unit) if len(near) > k else 0, 500):
-                scores = unit[i : i + 500].astype(np.float32) @ near.T
-                # Single precision is good to far less than the margin.
-                floor[i : i + 500] = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)] - 1e-4
+            nearest, score = np.empty((len(unit), few), np.int64), np.empty((len(unit), few))
+            for i in range(0, len(unit), 500):
+                scores = unit[i : i + 500].astype(np.float32) @ unit_near.T
+                top = nearest[i : i + 500] = np.argpartition(-scores, few - 1, axis=1)[:, :few]
+                some = np.repeat(rows[i : i + 500], few, axis=0)
+                score[i : i + 500] = _cosines(some, near[top.ravel()]).reshape(-1, few)
+                if len(near) > k:
+                    # Single precision is good to far less than the margin.
+                    floor[i : i + 500] = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)] - 1e-4
             found = [tree.leaves(u, visits) for u in unit]
             sizes = [len(f) for f in found]
             some = batch.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
             leaf = pa.array([x for f in found for x in f], pa.int64())
-            columns = [*some.columns, leaf, pa.array(np.repeat(floor, sizes))]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "vector", "leaf", "floor"])
+            # Sampled candidates stand in the first row of each search, so that they count once.
+            held = np.zeros(len(leaf), np.int32)
+            held[np.cumsum([0, *sizes[:-1]])[: len(sizes)]] = few
+            sampled = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *held]), pa.int32()),
+                pa.StructArray.from_arrays(
+                    [near_keys.take(pa.array(nearest.ravel())), pa.array(score.ravel())],
+                    ["key", "score"],
+                ),
+            )
+            columns = [*some.columns, leaf, pa.array(np.repeat(floor, sizes)), sampled]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "vector", "leaf", "floor", "sampled"])
 
     asked = stored(
         asked.mapInArrow(
             search,
-            "key struct<a: bigint, b: bigint>, vector array<double>, leaf bigint, floor double",
+            "key struct<a: bigint, b: bigint>, vector array<double>, leaf bigint, floor double,"
+            " sampled array<struct<key: struct<a: bigint, b: bigint>, score: double>>",
         ),
         "vector-searches",
     )
@@ -375,6 +397,13 @@ def nearest_vectors(
             "asker struct<a: bigint, b: bigint>, key struct<a: bigint, b: bigint>, score double",
         )
     )
+    sampled = asked.select(F.col("key").alias("asker"), F.explode("sampled").alias("s"))
+    # Found in a leaf and in the sample, a class still counts once.
+    compared = (
+        compared.unionByName(sampled.select("asker", "s.key", "s.score"))
+        .groupBy("asker", "key")
+        .agg(F.max("score").alias("score"))
+    )
     names = classes.select("key", "ids", "first_id")
     best = Window.partitionBy("asker").orderBy(F.col("score").desc(), "first_id")
     top = (

@@ -62,6 +62,17 @@ def test_recall_with_many_leaves(spark):
     assert set(got) == set(expected) and share >= 0.9
 
 
+def test_every_answer_is_full_when_few_leaves_are_visited(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=24).astype(np.float32).tolist()) for i in range(4000)]
+    got, every = answers(nearest_vectors(table(spark, rows), recall=0.1)), brute(rows, k=len(rows))
+    assert set(got) == set(every)
+    for q, found in got.items():
+        true = {j: s for s, j in every[q]}
+        assert len(found) == len({j for _, j in found}) == 5
+        assert found == sorted((true[j], j) for _, j in found)
+
+
 def test_best_bin_first_reaches_every_leaf():
     rng = np.random.default_rng(3)
     unit = rng.normal(size=(2000, 6))
