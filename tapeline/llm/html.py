@@ -74,14 +74,23 @@ CONTENT_WORDS = frozenset(
     "article articlebody content entry main maincontent post postbody story".split()
 )
 
+# An attribute: its name, and after '=' its value. A quote begins a value only right after '='; any other
+# quote is a plain character of a name or of a value without quotes.
+_ATTRIBUTE = (
+    r"(?:[^\s/>][^\s/>=]*+)"
+    r"(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+"
+)
 # A comment, tag or quoted value that is not closed goes on to the end of the page.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
-_MARKS = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_MARKS = re.compile(_ATTRIBUTE)
+_NAMES = frozenset("class id role itemprop hidden aria-hidden".split())
+# Class names that hide what overflows, a back or a border, not the text.
+_CLIPS = re.compile(r"\b(overflow|backface|border)((?:[-_][a-z]+)*?)[-_]+hidden\b")
 _WORD = re.compile(r"[a-z]+|\d+")
 
 
@@ -162,13 +171,17 @@ class Tree:
 
 def _mark_words(marks: str) -> tuple:
     words: list[str] = []
-    for name, value in _MARKS.findall(marks):
+    for mark in _MARKS.findall(marks):
+        name, _, value = mark.partition("=")
+        name, value = name.strip().lower(), value.strip()
+        if name not in _NAMES:
+            continue
         if name in ("hidden", "aria-hidden"):
             if value.strip("\"'") != "false":
                 words.append("hidden")
         else:
             joined = value.strip("\"'").lower()
-            words += _WORD.findall(joined)
+            words += _WORD.findall(_CLIPS.sub(r"\1\2", joined))
             words.append(joined.replace("-", "").replace("_", "").replace(" ", ""))
     return tuple(dict.fromkeys(words))
 

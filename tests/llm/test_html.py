@@ -51,6 +51,23 @@ def test_odd_pages(spark):
     assert extract_pages(pages(spark, ["x"]).limit(0)).collect() == []
 
 
+def test_odd_attributes(spark):
+    """Stray quotes end with their tag; only an attribute of its own hides."""
+    sources = [
+        "<article><p class=\"a\"\">One para.</p><p>Two.</p></article>",
+        "<article><p title=don't>One para.</p><p>Two.</p></article>",
+        "<article><p ' \" a'b=\"x>y\">One para.</p><p =\" c = 'x>y'd/>Two.</p ''></article>",
+        "<article><p style=\"overflow:hidden\">One para.</p><p data-hidden title='hidden'>Two.</p></article>",
+        "<article><p class=\"overflow-hidden\">One para.</p><p class='md:overflow-x-hidden'>Two.</p></article>",
+        "<article><p>One para.</p><p hidden>Gone.</p><p aria-hidden=true>Gone.</p>"
+        "<p class='hidden'>Gone.</p><p hidden=''>Gone.</p><p aria-hidden = \"false\">Two.</p></article>",
+        "<article><p>One para.</p><p>Two.</p><p a=>Three.</p><p " + "a " * 50_000 + "\" " * 50_000,
+    ]
+    got = {r["page_id"]: r["text"] for r in extract_pages(pages(spark, sources)).collect()}
+    assert [got[i] for i in range(6)] == ["One para.\nTwo."] * 6
+    assert got[6] == "One para.\nTwo.\nThree."
+
+
 def test_marginals_equal_the_sum_over_states():
     rng = np.random.default_rng(1)
     forest = Forest(["<div><p>a<b>b</b></p>c</div>", "<p>x</p>"], {})
