@@ -36,7 +36,7 @@ FEATURE_BITS = 18
 CHAIN = 64
 ROUNDS = 120
 THRESHOLD = 0.7
-# Training sentences, most of them from toxic documents.
+# Training sentences: all with an offending word, and as many of the others as bring them to this number.
 MOST_CHAINS = 20_000
 REMEMBERED = 200_000
 
@@ -133,8 +133,14 @@ def offending(coded: list[np.ndarray], toxic: np.ndarray, group: np.ndarray) ->
     return (seen[1] >= 3) & (seen[1] / n >= 30 * (seen[0] + 0.5) / m)
 
 
-def fit(texts: list[str], toxic: list[int], base_rate: float) -> Model:
-    """Fit the field and the document score. Without documents of both kinds the score is constant."""
+def fit(
+    texts: list[str], toxic: list[int], base_rate: float, most_chains: int = MOST_CHAINS
+) -> Model:
+    """Fit the field and the document score. Without documents of both kinds the score is constant.
+
+    The field is fitted on all sentences with an offending word and an even choice of the others, about
+    `most_chains` in all; the document score on all texts, whole.
+    """
     toxic = np.array(toxic, np.int64)
     # Every text as numbers of its tokens.
     number: dict[str, int] = {}
@@ -170,7 +176,7 @@ def fit(texts: list[str], toxic: list[int], base_rate: float) -> Model:
     # All chains with an offending word, and an even choice of the others.
     has = np.bincount(all_chains, weights=label) > 0
     plain = np.flatnonzero(~has)
-    step = max(1, math.ceil(len(plain) / max(1, MOST_CHAINS - int(has.sum()))))
+    step = max(1, math.ceil(len(plain) / max(1, most_chains - int(has.sum()))))
     has[plain[::step]] = True
     use = has[all_chains]
     model = _fit_chains(model, features[kept[use]], label[use].astype(float), all_chains[use])
@@ -262,10 +268,15 @@ def _evidence(most: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def fit_from_labels(
-    docs: DataFrame, labels: DataFrame, sample: Mapping[int, int] = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: Mapping[int, int] = SAMPLE,
+    most_chains: int = MOST_CHAINS,
 ) -> Model:
     """Fit on a bounded sample of the labelled documents that are not held out.
 
+    `most_chains` bounds the sentences of the sample that the field is fitted on, see `fit`.
+
     Labels other than 0 and 1, or without an id, do not count; of several labels of one document the highest does.
     """
     usable = (
@@ -292,7 +303,7 @@ def fit_from_labels(
                 *[column.to_pylist() for column in batch.columns], strict=True)),
             key=lambda row: row[0],
         )
-        model = fit([t for _, t, _ in found], [y for _, _, y in found], rate)
+        model = fit([t for _, t, _ in found], [y for _, _, y in found], rate, most_chains)
         numbers = [model.bias, model.start, *model.steps.ravel(), *model.document]
         columns = [
             pa.array([model.weights.tobytes()], pa.binary()),

@@ -9,7 +9,7 @@ import pytest
 from llm_helpers import frame, odd_documents
 
 from tapeline.llm.toxicity import (
-    Model, fit, marginals, score_documents, toxicity, without_toxic,
+    Model, fit, fit_from_labels, marginals, score_documents, toxicity, without_toxic,
 )
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -72,6 +72,16 @@ def test_held_out_accuracy_and_spans(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in toxic if not toxic[i]}
 
 
+def test_bound_on_sentences_is_a_parameter(spark):
+    rows, labels = corpus()
+    docs, table = frame(spark, rows), spark.createDataFrame(labels, LABELS)
+    whole, same, few = (
+        fit_from_labels(docs, table, **given).weights
+        for given in ({}, {"most_chains": 10**9}, {"most_chains": 100})
+    )
+    assert (whole == same).all() and (whole != few).any()
+
+
 def test_held_out_labels_change_nothing(spark):
     rows, labels = corpus(120)
     flipped = [
