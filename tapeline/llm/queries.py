@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, html, jaccard, line_dedup, mixing, quality, token_files, toxicity, vectors
+from tapeline.llm import (
+    bpe,
+    html,
+    jaccard,
+    line_dedup,
+    mixing,
+    prefix_trie,
+    quality,
+    token_files,
+    toxicity,
+    vectors,
+)
 from tapeline.llm import license as licenses
 
 # Tokenizer files have to lie at the same place on every executor.
@@ -66,6 +77,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -78,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op8_nearest_vectors": op8_nearest_vectors,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_html_text": op10_html_text,
+        "op13_conversation_trie": op13_conversation_trie,
     }
 
 
@@ -189,6 +205,48 @@ _LINES_SQL = r"""
     """
 
 
+def _crc32_sql(code_units: str) -> str:
+    """Unsigned crc32 of a list of bytes, bit by bit: a byte enters at the first of its eight steps."""
+    steps = f"flatten(list_transform({code_units}, lambda b: [b, 0, 0, 0, 0, 0, 0, 0]))"
+    return f"""xor(4294967295, list_reduce(
+        list_transform({steps}, lambda b: b::BIGINT),
+        lambda r, b: xor(xor(r, b) >> 1, 3988292384 * (xor(r, b) & 1)), 4294967295::BIGINT))"""
+
+
+_ASCII = "list_transform(string_split({text}, ''), lambda ch: unicode(ch))"
+
+
+def _trie_sql() -> str:
+    """Every prefix of every conversation as a list; subtrees by comparing prefixes."""
+    h = _crc32_sql(_ASCII.format(text="conv_id::VARCHAR"))
+    return f"""
+    WITH own AS (
+        SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                             ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    heads AS (SELECT *, {h} % 9 AS h FROM own),
+    built AS (
+        SELECT c.conv_id, list_concat(coalesce(f.s, [])[1:c.h], c.s[c.h + 1:]) AS s
+        FROM heads c LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 5),
+    members AS (
+        SELECT conv_id, d, s[1:d] AS p, len(s) = d AS ends FROM built, unnest(range(0, len(s) + 1)) AS u(d)),
+    nodes AS (
+        SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+               coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+               (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(p[d].text) END AS saved
+        FROM members GROUP BY p, d),
+    children AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+    below AS (
+        SELECT p[1:i] AS p, sum(saved) AS saved, count(*) FILTER (p NOT IN (SELECT p FROM children)) AS n
+        FROM nodes, unnest(range(0, d + 1)) AS u(i) GROUP BY 1)
+    SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+           coalesce(c.n, 0) AS n_children, b.n AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+           sha256(n.ends) AS ends_sha256
+    FROM nodes n JOIN below b USING (p) LEFT JOIN children c USING (p)
+    LEFT JOIN nodes up ON n.d > 0 AND up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     base, rules = (
         " OR ".join(f"({condition})" for condition in some.values())
@@ -198,4 +256,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": _license_sql(),
         "op4_line_dedup": _LINES_SQL,
         "op7_quality_rules": _QUALITY_SQL.replace("{base}", base).replace("{rules}", rules),
+        "op13_conversation_trie": _trie_sql(),
     }
