@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeline.llm import (
     bpe,
+    classifier,
     html,
     jaccard,
     line_dedup,
@@ -77,6 +78,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classifier.quality_scores(_documents(spark, sf_dir), labels)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -93,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op8_nearest_vectors": op8_nearest_vectors,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_html_text": op10_html_text,
+        "op12_quality_classifier": op12_quality_classifier,
         "op13_conversation_trie": op13_conversation_trie,
     }
 
