@@ -16,6 +16,7 @@ from tapeline.llm import (
     mixing,
     prefix_trie,
     quality,
+    spelling,
     token_files,
     toxicity,
     vectors,
@@ -78,6 +79,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
 def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classifier.quality_scores(_documents(spark, sf_dir), labels)
@@ -99,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op8_nearest_vectors": op8_nearest_vectors,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_html_text": op10_html_text,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_quality_classifier": op12_quality_classifier,
         "op13_conversation_trie": op13_conversation_trie,
     }
@@ -223,6 +229,49 @@ def _crc32_sql(code_units: str) -> str:
 _ASCII = "list_transform(string_split({text}, ''), lambda ch: unicode(ch))"
 
 
+# Code points up to 255 as UTF-8.
+_LATIN = f"""flatten(list_transform({_ASCII}, lambda u:
+    CASE WHEN u < 128 THEN [u] ELSE [192 + (u >> 6), 128 + (u & 63)] END))"""
+
+
+def _spelling_sql() -> str:
+    """Words that are alike but for one place, or for one code point left out, by the rest of them."""
+    h = _crc32_sql(_LATIN.format(text="concat(doc_id, ':', run)"))
+    lower = f"translate(coalesce(text, ''), '{spelling.UPPER}', '{spelling.LOWER}')"
+    return rf"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, unnest(regexp_extract_all({lower}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+    hashed AS (SELECT run, count(*) AS n, {h} AS h FROM runs GROUP BY doc_id, run),
+    v AS (
+        SELECT CASE WHEN h % 199 = 0
+                    THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                    ELSE run END AS word,
+               sum(n)::BIGINT AS n
+        FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+    rests AS (
+        SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+        FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+    near AS (
+        SELECT x.word, y.word AS near, y.n FROM rests x JOIN rests y USING (i, a, b) WHERE x.word <> y.word
+        UNION SELECT r.word, v.word, v.n FROM rests r JOIN v ON r.a || r.b = v.word
+        UNION SELECT v.word, r.word, r.n FROM rests r JOIN v ON r.a || r.b = v.word),
+    best AS (
+        SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n
+        FROM near GROUP BY word),
+    formed AS (
+        SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+               CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+        FROM v LEFT JOIN best USING (word)),
+    walk AS (
+        SELECT word, word AS at FROM formed
+        UNION SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.at
+        WHERE formed.form IS NOT NULL)
+    SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+    FROM formed f JOIN walk w USING (word) JOIN formed last ON last.word = w.at AND last.form IS NULL
+    """
+
+
 def _trie_sql() -> str:
     """Every prefix of every conversation as a list; subtrees by comparing prefixes."""
     h = _crc32_sql(_ASCII.format(text="conv_id::VARCHAR"))
@@ -263,5 +312,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": _license_sql(),
         "op4_line_dedup": _LINES_SQL,
         "op7_quality_rules": _QUALITY_SQL.replace("{base}", base).replace("{rules}", rules),
+        "op11_spelling_variants": _spelling_sql(),
         "op13_conversation_trie": _trie_sql(),
     }
