@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ MOST_BITS = 16
 BLOCK = 128
 SEGMENT = 250_000
 PART_DOCS = 8_000
-# Pieces that a worker remembers before it starts anew.
+# Pieces that a worker remembers; those met in the last half of them at least.
 REMEMBERED = 1_500_000
 
 # Fixed value: the pattern by which a byte-level tokenizer of this kind cuts a text.
@@ -49,39 +50,47 @@ _LATIN_CUT = re.compile(
 ).findall
 
 
+def _byte_chars() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes each byte with: its own in Latin-1 if that
+    can be seen, else the next one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(256 + n) for n, byte in enumerate(hidden)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 class ByteBpe:
     """The library's tokenizer, asked once for every piece of a text that a worker has not seen."""
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.of_pieces = Tokenizer.from_file(path)
-        self.of_pieces.pre_tokenizer = pre_tokenizers.ByteLevel(
-            add_prefix_space=False, use_regex=False
-        )
+        self.model = self.tokenizer.model
         self.cut = regex.compile(_CUT).findall
         with open(path, encoding="utf-8") as file:
             special = [added["content"] for added in json.load(file)["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
         self.pieces: dict[str, bytes] = {}
-
-    def learn(self, new: list[str]) -> None:
-        for first in range(0, len(new), 2000):
-            some = new[first : first + 2000]
-            coded = self.of_pieces.encode(some, is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(coded.ids, np.uint16).tobytes()
-            ends = 2 * np.searchsorted(np.array(coded.word_ids), np.arange(len(some)), side="right")
-            ends = ends.tolist()
-            self.pieces.update(
-                (piece, raw[x:y]) for piece, x, y in zip(some, [0, *ends], ends, strict=False)
-            )
+        self.older: dict[str, bytes] = {}
+
+    def learn(self, new: set[str]) -> None:
+        """Ids of pieces, from what was known before or from the library's model."""
+        for piece in new & self.older.keys():
+            self.pieces[piece] = self.older[piece]
+            new.discard(piece)
+        tokenize, pieces = self.model.tokenize, self.pieces
+        for piece in new:
+            found = tokenize(piece.encode().decode("latin-1").translate(_BYTE_CHARS))
+            pieces[piece] = array("H", [token.id for token in found]).tobytes()
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text as little-endian 16-bit numbers, and the end id."""
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
+        if len(self.pieces) > REMEMBERED // 2:
+            self.pieces, self.older = {}, self.pieces
         # Texts with a special token in them go to the library whole.
         whole = [self.special(text) is not None for text in texts]
         split = [
@@ -89,7 +98,7 @@ class ByteBpe:
             for t, w in zip(texts, whole, strict=True)
         ]
         known = self.pieces
-        self.learn(list(set().union(*split).difference(known)))
+        self.learn(set().union(*split).difference(known))
         ids_of, tail = known.__getitem__, np.uint16(end).tobytes()
         coded = []
         for text, w, pieces in zip(texts, whole, split, strict=True):
