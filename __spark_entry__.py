@@ -17,7 +17,7 @@ from tapeline.functions.uuids import time_uuid, uuid_millis
 from tapeline.operators.frames import classify_frames, count_kinds, quarantine_of, service_messages, trades_of
 from tapeline.operators.normalize import assign_window, keep_sides, normalize_trades
 from tapeline.operators.records import decode_records, decoded_trades, encode_records
-from tapeline.operators.served import as_totals, latest_rows, rows_of_date
+from tapeline.operators.served import as_totals, latest_rows, rows_of_date, rows_of_windows
 from tapeline.operators.subscriptions import subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.plans.jobs import feed_to_topic, topic_to_table
@@ -46,6 +46,7 @@ HOUR = 3_600
 DAY = 86_400
 DECADE = 3650 * DAY
 SERVED_DAY = "2024-01-02"
+SERVED_WINDOWS = ("2024-01-02 18:00:00", "2024-01-04 06:00:00")
 # The last is not a channel of trades and matches nothing.
 CHANNELS = ("0~Coinbase~BTC~USD", "0~Binance~BTC~USDT", "0~Gemini~BTC~USD", "2~Kraken~BTC~USD")
 
@@ -357,7 +358,16 @@ def serve_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, later = _logged_totals(spark, sf_dir, parts=2)
     drop_folded(spark, log, fold_log(spark, log, table))
     fold_log(spark, later, table, "0001-01-01", SERVED_DAY)
-    return _rounded(as_totals(rows_of_date(read_table(spark, table), SERVED_DAY)))
+    return _rounded(as_totals(rows_of_date(read_table(spark, table, SERVED_DAY), SERVED_DAY)))
+
+
+def serve_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of windows over three dates, from a table folded twice."""
+    table = work_folder(spark, "table")
+    log, later = _logged_totals(spark, sf_dir, parts=2)
+    fold_log(spark, log, table)
+    fold_log(spark, later, table)
+    return _rounded(as_totals(rows_of_windows(read_table(spark, table), *SERVED_WINDOWS)))
 
 
 def trade_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +447,7 @@ def queries() -> dict[str, Query]:
         "subscription_filter": subscription_filter,
         "sink_latest": sink_latest,
         "serve_by_date": serve_by_date,
+        "serve_windows": serve_windows,
         "trade_file_stream": trade_file_stream,
         "topic_to_table": topic_to_table_job,
         "feed_to_topic": feed_to_topic_job,
@@ -584,6 +595,9 @@ def oracle_sql() -> dict[str, str]:
         "sink_latest": minute,
         "serve_by_date": f"""
             SELECT * FROM ({minute}) WHERE date = TIMESTAMP '{SERVED_DAY} 00:00:00'""",
+        "serve_windows": f"""
+            SELECT * FROM ({minute}) WHERE window_end > TIMESTAMP '{SERVED_WINDOWS[0]}'
+            AND window_end <= TIMESTAMP '{SERVED_WINDOWS[1]}'""",
         "trade_file_stream": daily,
         "topic_to_table": minute,
         "feed_to_topic": _totals_sql(_EVENT_TRADES, HOUR, subscribed),

@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tapeline.functions.uuids import time_uuid
-from tapeline.operators.served import latest_rows
+from tapeline.operators.served import latest_rows, served_order
 from tapeline.schemas import CHANGE_LOG, SERVED
+from tapeline.streaming import manifests
+from tapeline.streaming.runs import session_settings
 
 BatchFunction = Callable[[DataFrame, int], None]
 
+# How long a folder that is live no more stays for readers that have listed it.
+RETAIN_SECONDS = 3600
+
 _IDENTITY = ("window_end", "window_start", "direction", "market", "fromcoin")
 
 
@@ -105,41 +110,54 @@ def fold_log(
     table: str,
     first: str | None = None,
     last: str | None = None,
+    retain_seconds: float = RETAIN_SECONDS,
 ) -> int | None:
     """Bring the served table up to date with the log, for the dates `first` to `last` or for all.
 
     Of every date that the log has rows of, the latest rows of log and table together are written as
-    a new generation of that date; then its older generations are removed. Nothing is read and
-    replaced at the same place, and a generation has all that the older ones had, so whenever the
-    job stops, no row is lost, and it can be run again. Returns the time of the last batch that is
-    now in the table: after a fold of all dates, `drop_folded` may remove the log up to there.
+    a new generation of that date, which a manifest then makes the live one of all these dates at
+    once. Nothing is read and replaced at the same place, so whenever the job stops, no row is lost, and
+    it can be run again; if another fold commits first, this one starts again from what that left.
+    Folders that are live no more stay for readers that have listed them, `retain_seconds` long.
+
+    Rows of a date lie in the served order, in files and row groups that each hold a range of windows.
+    Returns the time of the last batch that is now in the table: after a fold of all dates,
+    `drop_folded` may remove the log up to there.
     """
     rows = read_log(spark, log)
     if first is not None:
         rows = rows.where(F.col("date") >= F.lit(first).cast("date"))
     if last is not None:
         rows = rows.where(F.col("date") <= F.lit(last).cast("date"))
-    upto = rows.agg(F.max("batch_ms")).first()[0]
+    # A date per day of the calendar that changed.
+    upto, changed = rows.agg(F.max("batch_ms"), F.collect_set(F.col("date").cast("string"))).first()
     if upto is None:
         return None
-    new = rows.where(F.col("batch_ms") <= upto)
-    if _paths(spark, f"{table}/generation=*"):
-        # One row per date that changed.
-        changed = new.select("date").distinct()
-        kept = _generations(spark, table).join(changed, "date", "left_semi")
-        new = new.unionByName(kept.select(*CHANGE_LOG.fieldNames()))
-    generation = f"{table}/generation={upto:020d}-{uuid.uuid4().hex}"
-    (
-        latest_rows(new)
-        .hint("rebalance", "date")
-        .write.partitionBy("date")
-        .parquet(generation)
-    )
-    dates = [path.rpartition("/")[2] for path in _paths(spark, f"{generation}/date=*")]
-    for date in dates:
-        for path in _paths(spark, f"{table}/generation=*/{date}"):
-            if f"/{generation.rpartition('/')[2]}/" not in path:
-                _remove(spark, path)
+    while True:
+        held = manifests.latest(spark, table)
+        new = rows.where(F.col("batch_ms") <= upto)
+        if held.version < 0 and _paths(spark, f"{table}/generation=*"):
+            # A table from before there were manifests: all its dates move to the first one.
+            new = new.unionByName(_generations(spark, table).select(*CHANGE_LOG.fieldNames()))
+        elif kept := held.folders(changed):
+            new = new.unionByName(_live(spark, table, kept).select(*CHANGE_LOG.fieldNames()))
+        name = f"generation={upto:020d}-{uuid.uuid4().hex}"
+        order = ["date", *served_order()]
+        with session_settings(spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+            (
+                latest_rows(new)
+                .repartitionByRange(*order)
+                .sortWithinPartitions(*order)
+                .write.partitionBy("date")
+                .parquet(f"{table}/{name}")
+            )
+        written = [path.rpartition("/")[2] for path in _paths(spark, f"{table}/{name}/date=*")]
+        live = {date.removeprefix("date="): f"{name}/{date}" for date in written}
+        everything = upto if first is None and last is None else None
+        if manifests.commit(spark, table, held.after(live, everything)):
+            break
+        manifests.remove(spark, f"{table}/{name}")
+    manifests.expire(spark, table, retain_seconds)
     return upto
 
 
@@ -147,14 +165,16 @@ def drop_folded(spark: SparkSession, log: str, upto: int) -> None:
     """Remove the batches of a log up to a time, once all their dates are in the table."""
     for path in [*_paths(spark, f"{log}/batch_ms=*"), *_paths(spark, f"{log}/date=*/batch_ms=*")]:
         if int(path.rpartition("=")[2]) <= upto:
-            _remove(spark, path)
+            manifests.remove(spark, path)
 
 
-def keep_table(log: str, table: str, every: int = 40) -> BatchFunction:
+def keep_table(
+    log: str, table: str, every: int = 40, retain_seconds: float = RETAIN_SECONDS
+) -> BatchFunction:
     """Batch function that keeps a served table: a log, folded into the table every few batches.
 
-    `read_served` has the latest rows at any time, folded or not. The log never holds more than
-    `every` batches, and a fold reads those and the dates that they change.
+    `read_served` has the latest rows at any time, folded or not. Batches leave the log once they have
+    been in the table for `retain_seconds`, so a reader that began before a fold can end after it.
     """
     append = append_to_log(log)
 
@@ -162,22 +182,29 @@ def keep_table(log: str, table: str, every: int = 40) -> BatchFunction:
         append(batch, batch_id)
         if batch_id % every == every - 1:
             spark = batch.sparkSession
-            upto = fold_log(spark, log, table)
+            fold_log(spark, log, table, retain_seconds=retain_seconds)
+            upto = manifests.expire(spark, table, retain_seconds)
             if upto is not None:
                 drop_folded(spark, log, upto)
 
     return write
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The rows as of the last fold."""
-    return latest_rows(_generations(spark, path))
+def read_table(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """The rows as of the last fold, of one date or of all: a scan, as every key is there once."""
+    held = manifests.latest(spark, path)
+    if held.version < 0:
+        return latest_rows(_generations(spark, path))
+    return _live(spark, path, held.folders(None if day is None else [day]))
 
 
 def read_served(spark: SparkSession, log: str, table: str) -> DataFrame:
     """The latest rows of table and unfolded log. A filter on `date` reaches both."""
     parts = []
-    if _paths(spark, f"{table}/generation=*"):
+    held = manifests.latest(spark, table)
+    if held.version >= 0:
+        parts.append(_live(spark, table, held.folders()))
+    elif _paths(spark, f"{table}/generation=*"):
         parts.append(_generations(spark, table))
     if _paths(spark, f"{log}/*=*"):
         parts.append(read_log(spark, log))
@@ -191,14 +218,17 @@ def _generations(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(SERVED).parquet(table).select(*SERVED.fieldNames())
 
 
+def _live(spark: SparkSession, table: str, folders: list[str]) -> DataFrame:
+    """Rows of some folders of a table. They are listed now, so later folds do not matter."""
+    if not folders:
+        return spark.createDataFrame([], SERVED)
+    read = spark.read.schema(SERVED).option("basePath", table)
+    return read.parquet(*[f"{table}/{folder}" for folder in folders]).select(*SERVED.fieldNames())
+
+
 def _paths(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match, by Spark's own file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     found = files.globStatus(path)
     return [status.getPath().toString() for status in found or [] if status.isDirectory()]
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

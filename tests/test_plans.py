@@ -139,4 +139,5 @@ def test_one_open_date_is_filtered_in_the_log_scan(spark, tmp_path):
 def test_latest_rows_combine_before_the_shuffle(spark):
     tree = plan(latest_rows(spark.createDataFrame([], CHANGE_LOG))).split("(1)")[0]
     assert len(re.findall(r"[-+] Exchange \(", tree)) == 1
-    assert tree.count("Aggregate (") == 2
+    assert tree.count("HashAggregate (") == tree.count("Aggregate (") == 2
+    assert "Sort" not in tree

@@ -28,7 +28,7 @@ from tapeline.plans.jobs import (
 from tapeline.schemas import TOTALS
 from tapeline.sources.files import read_lines, read_trades, rejected_trades
 from tapeline.sources.kafka import read_topic, topic_options
-from tapeline.streaming import sinks
+from tapeline.streaming import manifests
 from tapeline.streaming.runs import run_for, session_settings, start, work_folder
 from tapeline.streaming.sinks import (
     append_to,
@@ -470,7 +470,7 @@ def test_folds_lose_no_row_when_folded_batches_are_dropped(spark, tmp_path):
         ("Gemini", "2021-01-08"): 1, ("Coinbase", "2021-01-09"): 1,
     }
     # Folding once more changes nothing, and only one generation of each date is left.
-    fold_log(spark, log, table)
+    fold_log(spark, log, table, retain_seconds=0)
     assert read_table(spark, table).count() == 4
     dates = [p.name for p in (tmp_path / "table").glob("generation=*/date=*")]
     assert sorted(dates) == sorted(set(dates))
@@ -485,9 +485,9 @@ def test_a_fold_that_stops_before_it_cleans_up(spark, tmp_path, monkeypatch):
     def stop(*args):
         raise RuntimeError("stopped")
 
-    monkeypatch.setattr(sinks, "_remove", stop)
+    monkeypatch.setattr(manifests, "remove", stop)
     with pytest.raises(RuntimeError, match="stopped"):
-        fold_log(spark, log, table)
+        fold_log(spark, log, table, retain_seconds=0)
     monkeypatch.undo()
     for _ in range(2):
         served = {r.market: r.counttxns for r in read_served(spark, log, table).collect()}
