@@ -41,6 +41,7 @@ from tapeline.streaming.sinks import (
     with_row_ids,
 )
 from tapeline.streaming.stateful import stateful_totals
+from tapeline.streaming.states import open_groups
 
 HOUR = 3_600
 DAY = 86_400
@@ -199,10 +200,10 @@ def trade_window_agg_stateful_lineitem(spark: SparkSession, sf_dir: str) -> Data
     return _rounded(_streamed(spark, totals, "stateful-daily"))
 
 
-def _slices(
+def _run_slices(
     spark: SparkSession, sf_dir: str, make: Callable, held: str = "false"
-) -> DataFrame:
-    """Totals of the events in four micro-batches, each a run of its own from one checkpoint.
+) -> tuple[str, str]:
+    """Totals of the events in four micro-batches, each a run of its own from one checkpoint: log, checkpoint.
 
     Batches without trades are off, as one of them would make the stateful variant forget the groups
     of the slice before. Ids are in the order of time. Trades for which `held` holds come only with the last slice, long
@@ -221,9 +222,35 @@ def _slices(
         writer = writer.foreachBatch(append_to_log(log))
         settings = {**STATE_SETTINGS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
         start(spark, writer, state, once=True, state_settings=settings).awaitTermination()
+    return log, state
+
+
+def _slices(
+    spark: SparkSession, sf_dir: str, make: Callable, held: str = "false"
+) -> DataFrame:
+    log, _ = _run_slices(spark, sf_dir, make, held)
     return _rounded(as_totals(latest_rows(read_log(spark, log))))
 
 
+def _open_after_slices(spark: SparkSession, sf_dir: str, make: Callable) -> DataFrame:
+    """What the state holds after the last of the slices, read back from the checkpoint."""
+    _, state = _run_slices(spark, sf_dir, make)
+    found = open_groups(spark, state)
+    labelled = found.withColumn("date", date_bucket(F.col("window_end")))
+    return _rounded(labelled.withColumn("tocurrency", F.lit("USD")).select(*TOTALS.fieldNames()))
+
+
+def open_groups_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that the watermark of the last slice has not passed."""
+    return _open_after_slices(spark, sf_dir, window_totals)
+
+
+def open_groups_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups that the last slice changed; all others have been forgotten by then."""
+    make = lambda t: stateful_totals(t, buckets=_buckets(spark))
+    return _open_after_slices(spark, sf_dir, make)
+
+
 def _held(spark: SparkSession, sf_dir: str) -> str:
     """One in 13 of the first eighth of the ids, whose windows have long been closed at the end."""
     n = _events(spark, sf_dir).agg(F.max("event_id")).first()[0] + 1
@@ -431,6 +458,8 @@ def queries() -> dict[str, Query]:
         "trade_window_agg_stateful_lineitem": trade_window_agg_stateful_lineitem,
         "slices_native": slices_native,
         "slices_stateful": slices_stateful,
+        "open_groups_native": open_groups_native,
+        "open_groups_stateful": open_groups_stateful,
         "late_open_native": late_open_native,
         "late_open_stateful": late_open_stateful,
         "late_closed_native": late_closed_native,
@@ -530,6 +559,8 @@ def oracle_sql() -> dict[str, str]:
     on_time = (
         "NOT (event_id % 13 = 0 AND event_id < (SELECT (max(event_id) + 1) / 8 FROM events))"
     )
+    sliced = f"""
+        SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS slice FROM ({_EVENT_TRADES})"""
     accepted = _totals_sql(_EVENT_TRADES, HOUR, "event_id % 7 <> 0 AND event_id % 11 <> 0")
     training = {} if llm is None else dict(llm.oracle_sql())
     if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
@@ -564,6 +595,16 @@ def oracle_sql() -> dict[str, str]:
         "trade_window_agg_stateful_lineitem": daily,
         "slices_native": minute,
         "slices_stateful": minute,
+        # The watermark of the last slice comes from those before: five minutes less than their latest.
+        "open_groups_native": f"""
+            SELECT * FROM ({minute}) WHERE epoch_us(window_end) // 1000000 > (
+                SELECT max("TS") - 300 FROM ({sliced}) WHERE slice < 3 AND "F" IN ('1', '2'))""",
+        "open_groups_stateful": f"""
+            SELECT * FROM ({minute}) SEMI JOIN (
+                SELECT {_window_start(60)} AS window_start, "M" AS market,
+                       CASE "F" WHEN '1' THEN 'SELL' ELSE 'BUY' END AS direction
+                FROM ({sliced}) WHERE slice = 3 AND "F" IN ('1', '2'))
+            USING (window_start, market, direction)""",
         "late_open_native": _totals_sql(_EVENT_TRADES, DECADE),
         "late_open_stateful": _totals_sql(_EVENT_TRADES, DECADE, on_time),
         "late_closed_native": _totals_sql(_EVENT_TRADES, 60, on_time),
