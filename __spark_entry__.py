@@ -23,6 +23,7 @@ from tapeline.operators.totals import window_totals
 from tapeline.plans.jobs import feed_to_topic, topic_to_table
 from tapeline.schemas import TOTALS, TRADE
 from tapeline.sources.files import read_lines, read_trades
+from tapeline.sources.pushed import push_rows, pushed_trades
 from tapeline.sources.tables import (
     events_as_frames,
     events_as_records,
@@ -404,6 +405,20 @@ def trade_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_streamed(spark, window_totals(read_trades(spark, landing), DAY), "files"))
 
 
+def trade_push_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades pushed in three appends; the query is started again after each from its checkpoint."""
+    trades = events_as_trades(_events(spark, sf_dir), keep=("event_id",))
+    n = trades.agg(F.max("event_id")).first()[0] + 1
+    feed, log, state = (work_folder(spark, f"push-{x}") for x in ("feed", "log", "state"))
+    for i in range(3):
+        part = trades.where(F.floor(F.col("event_id") * 3 / n) == i)
+        push_rows(part.select(*TRADE.fieldNames()), feed)
+        totals = with_row_ids(window_totals(pushed_trades(spark, feed)))
+        writer = totals.writeStream.outputMode("update").foreachBatch(append_to_log(log))
+        start(spark, writer, state, once=True).awaitTermination()
+    return _rounded(as_totals(latest_rows(read_log(spark, log))))
+
+
 def topic_to_table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with broken values among them, through decoding, totals and the table."""
     records = events_as_records(_stream(spark, sf_dir, "events"))
@@ -478,6 +493,7 @@ def queries() -> dict[str, Query]:
         "serve_by_date": serve_by_date,
         "serve_windows": serve_windows,
         "trade_file_stream": trade_file_stream,
+        "trade_push_stream": trade_push_stream,
         "topic_to_table": topic_to_table_job,
         "feed_to_topic": feed_to_topic_job,
     }
@@ -640,6 +656,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM ({minute}) WHERE window_end > TIMESTAMP '{SERVED_WINDOWS[0]}'
             AND window_end <= TIMESTAMP '{SERVED_WINDOWS[1]}'""",
         "trade_file_stream": daily,
+        "trade_push_stream": minute,
         "topic_to_table": minute,
         "feed_to_topic": _totals_sql(_EVENT_TRADES, HOUR, subscribed),
     }
