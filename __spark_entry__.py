@@ -30,6 +30,7 @@ from tapeline.sources.tables import (
     events_as_trades,
     lineitem_as_trades,
 )
+from tapeline.streaming.accounts import Accounts, batch_accounts, observe_sides, read_counts
 from tapeline.streaming.runs import STATE_SETTINGS, start, work_folder
 from tapeline.streaming.sinks import (
     append_to_log,
@@ -241,6 +242,29 @@ def _open_after_slices(spark: SparkSession, sf_dir: str, make: Callable) -> Data
     return _rounded(labelled.withColumn("tocurrency", F.lit("USD")).select(*TOTALS.fieldNames()))
 
 
+def _accounts(spark: SparkSession, sf_dir: str, make: Callable) -> DataFrame:
+    """Trades of every slice by what became of them; the last slice has trades of windows long closed."""
+    folder = work_folder(spark, "accounts")
+    listener = Accounts(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        log, _ = _run_slices(spark, sf_dir, lambda t: make(observe_sides(t)), _held(spark, sf_dir))
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    found = batch_accounts(read_counts(spark, folder), read_log(spark, log))
+    # How many partial sums the late trades were in depends on tasks.
+    return found.withColumn("dropped", F.col("late_partials") > 0).drop("late_partials")
+
+
+def late_accounts_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _accounts(spark, sf_dir, window_totals)
+
+
+def late_accounts_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _accounts(spark, sf_dir, lambda t: stateful_totals(t, buckets=_buckets(spark)))
+
+
 def open_groups_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that the watermark of the last slice has not passed."""
     return _open_after_slices(spark, sf_dir, window_totals)
@@ -473,6 +497,8 @@ def queries() -> dict[str, Query]:
         "trade_window_agg_stateful_lineitem": trade_window_agg_stateful_lineitem,
         "slices_native": slices_native,
         "slices_stateful": slices_stateful,
+        "late_accounts_native": late_accounts_native,
+        "late_accounts_stateful": late_accounts_stateful,
         "open_groups_native": open_groups_native,
         "open_groups_stateful": open_groups_stateful,
         "late_open_native": late_open_native,
@@ -577,6 +603,14 @@ def oracle_sql() -> dict[str, str]:
     )
     sliced = f"""
         SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS slice FROM ({_EVENT_TRADES})"""
+    sided = """ "F" IN ('1', '2') """
+    accounts = f"""
+        SELECT CASE WHEN {on_time} THEN slice ELSE 3 END AS batch_id, count(*) AS input,
+               CAST(0 AS BIGINT) AS rejected, count(*) FILTER (NOT {sided}) AS other_side,
+               count(*) FILTER ({sided} AND {on_time}) AS taken,
+               count(*) FILTER ({sided} AND NOT {on_time}) AS late,
+               count(*) FILTER ({sided} AND NOT {on_time}) > 0 AS dropped
+        FROM ({sliced}) GROUP BY 1"""
     accepted = _totals_sql(_EVENT_TRADES, HOUR, "event_id % 7 <> 0 AND event_id % 11 <> 0")
     training = {} if llm is None else dict(llm.oracle_sql())
     if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
@@ -611,6 +645,8 @@ def oracle_sql() -> dict[str, str]:
         "trade_window_agg_stateful_lineitem": daily,
         "slices_native": minute,
         "slices_stateful": minute,
+        "late_accounts_native": accounts,
+        "late_accounts_stateful": accounts,
         # The watermark of the last slice comes from those before: five minutes less than their latest.
         "open_groups_native": f"""
             SELECT * FROM ({minute}) WHERE epoch_us(window_end) // 1000000 > (

@@ -1,0 +1,73 @@
+"""Accounts of what a query took in and left out."""
+
+import json
+import os
+
+import pytest
+from helpers import trade, write_batches
+from test_streams import on_time
+
+from tapeline.operators.totals import window_totals
+from tapeline.sources.files import read_trades
+from tapeline.streaming.accounts import Accounts, batch_accounts, observe_sides, read_counts
+from tapeline.streaming.runs import start
+from tapeline.streaming.sinks import append_to_log, read_log, with_row_ids
+from tapeline.streaming.stateful import stateful_totals
+
+
+@pytest.mark.parametrize("make", [window_totals, stateful_totals])
+def test_every_trade_is_accounted_for(spark, tmp_path, make):
+    batches = [
+        on_time(60),
+        [trade("10:30:00", M="Kraken"), trade("10:30:01", M="Kraken"), trade("10:30:02", F="4")],
+        [trade("10:31:00")],
+        # Of these two are late: their window is closed, and their own time is past.
+        [trade("10:00:05"), trade("10:00:06", M="Kraken"), trade("10:31:30"), trade("10:00:07", F="4")],
+    ]
+    write_batches(tmp_path / "in", batches)
+    second = tmp_path / "in" / "0001.json"
+    written = second.stat().st_mtime
+    second.write_text(second.read_text() + "no trade\n" + json.dumps({"TYPE": "0"}) + "\n")
+    # Files are taken in the order of their time.
+    os.utime(second, (written, written))
+    counts, log = str(tmp_path / "counts"), str(tmp_path / "log")
+    listener = Accounts(spark, counts)
+    spark.streams.addListener(listener)
+    try:
+        trades = observe_sides(read_trades(spark, str(tmp_path / "in"), maxFilesPerTrigger=1))
+        writer = with_row_ids(make(trades)).writeStream.outputMode("update")
+        query = start(spark, writer.foreachBatch(append_to_log(log)), str(tmp_path / "state"), once=True)
+        query.awaitTermination()
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    rows = batch_accounts(read_counts(spark, counts), read_log(spark, log)).collect()
+    found = sorted((r.input, r.rejected, r.other_side, r.taken, r.late) for r in rows)
+    assert found == sorted([(60, 0, 20, 40, 0), (5, 2, 1, 2, 0), (1, 0, 0, 1, 0), (4, 0, 1, 1, 2)])
+    assert all(r.input == r.rejected + r.other_side + r.taken + r.late for r in rows)
+    assert {r.late_partials > 0 for r in rows if r.late} == {True}
+
+
+def test_a_batch_reported_twice_counts_once_and_others_are_left_out(spark, tmp_path):
+    class Row(dict):
+        asDict = dict.copy  # noqa: N815
+
+    class Progress:
+        id, name, batchId, numInputRows = "q", "mine", 3, 7  # noqa: N815
+        observedMetrics = {"decode": Row(accepted=5, rejected=2, note="text")}  # noqa: N815, RUF012
+        stateOperators = []  # noqa: N815, RUF012
+
+    class Event:
+        progress = Progress()
+
+    listener = Accounts(spark, str(tmp_path), names=("mine",))
+    for _ in range(2):
+        listener.onQueryProgress(Event())
+    Event.progress.name = "other"
+    Event.progress.batchId = 4
+    listener.onQueryProgress(Event())
+    got = {r.metric: (r.query_id, r.batch_id, r.n) for r in read_counts(spark, str(tmp_path)).collect()}
+    assert got == {
+        "input": ("q", 3, 7), "decode.accepted": ("q", 3, 5), "decode.rejected": ("q", 3, 2),
+        "late_partials": ("q", 3, 0),
+    }
