@@ -18,7 +18,7 @@ from tapeline.operators.frames import classify_frames, count_kinds, quarantine_o
 from tapeline.operators.normalize import assign_window, keep_sides, normalize_trades
 from tapeline.operators.records import decode_records, decoded_trades, encode_records
 from tapeline.operators.served import as_totals, latest_rows, rows_of_date, rows_of_windows
-from tapeline.operators.subscriptions import subscribed_trades
+from tapeline.operators.subscriptions import subscribed_at, subscribed_trades
 from tapeline.operators.totals import window_totals
 from tapeline.plans.jobs import feed_to_topic, topic_to_table
 from tapeline.schemas import TOTALS, TRADE
@@ -378,6 +378,33 @@ def subscription_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades.select("ID", "M", "FSYM", "TSYM")
 
 
+def subscription_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams: trades, and subscriptions of which one begins midway and one ends."""
+    events = _events(spark, sf_dir)
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    names = spark.createDataFrame([(name,) for name in CHANNELS], "channel string")
+    middle = F.timestamp_seconds(F.lit((first + last) // 2))
+    late, ended = F.col("channel").contains("Binance"), F.col("channel").contains("Gemini")
+    periods = names.select(
+        "channel",
+        F.when(late, middle).otherwise(F.timestamp_seconds(F.lit(first - DAY))).alias("valid_from"),
+        F.when(ended, middle).alias("valid_to"),
+    )
+    feed, topic = work_folder(spark, "subscriptions"), work_folder(spark, "subscribed")
+    # Given twice, as if they had been renewed: a trade is kept once.
+    for _ in range(2):
+        periods.write.mode("append").parquet(feed)
+    kept = subscribed_at(
+        events_as_trades(_stream(spark, sf_dir, "events")),
+        spark.readStream.schema(periods.schema).parquet(feed),
+        longest="3650 days",
+    )
+    writer = kept.writeStream.format("parquet").option("path", topic)
+    start(spark, writer, work_folder(spark, "subscribed-state"), once=True).awaitTermination()
+    return spark.read.schema(TRADE).parquet(topic).select("ID", "M", "FSYM", "TSYM")
+
+
 # --- sinks, serving, jobs -------------------------------------------------------------------
 
 
@@ -515,6 +542,7 @@ def queries() -> dict[str, Query]:
         "kafka_encode_key": kafka_encode_key,
         "json_roundtrip": json_roundtrip,
         "subscription_filter": subscription_filter,
+        "subscription_added": subscription_added,
         "sink_latest": sink_latest,
         "serve_by_date": serve_by_date,
         "serve_windows": serve_windows,
@@ -685,6 +713,11 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip": f"SELECT {_TRADE_COLUMNS} FROM ({_LINE_TRADES})",
         "subscription_filter": f"""
             SELECT "ID", "M", "FSYM", "TSYM" FROM ({_EVENT_TRADES}) WHERE {subscribed}""",
+        "subscription_added": f"""
+            WITH middle AS (
+                SELECT (epoch_us(min(ts)) // 1000000 + epoch_us(max(ts)) // 1000000) // 2 AS mid FROM events)
+            SELECT "ID", "M", "FSYM", "TSYM" FROM ({_EVENT_TRADES}), middle
+            WHERE "M" = 'Coinbase' OR "M" = 'Binance' AND "TS" >= mid OR "M" = 'Gemini' AND "TS" < mid""",
         "sink_latest": minute,
         "serve_by_date": f"""
             SELECT * FROM ({minute}) WHERE date = TIMESTAMP '{SERVED_DAY} 00:00:00'""",

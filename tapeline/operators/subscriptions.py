@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeline.functions.trades import event_time
+
 # The channels subscribed to by default, as type~market~coin~currency.
 DEFAULT_CHANNELS = (
     "0~Coinbase~BTC~USD",
@@ -17,6 +20,10 @@ DEFAULT_CHANNELS = (
     "0~Gemini~BTC~USD",
 )
 
+# The longest time for which one subscription holds.
+LONGEST = "1 day"
+WATERMARK = "5 minutes"
+
 _CHANNEL = ["M", "FSYM", "TSYM"]
 _TRADES = "0"
 
@@ -26,13 +33,19 @@ def channel_table(channels: DataFrame) -> DataFrame:
 
     Channels of another type than trades, and names without four parts, match nothing.
     """
+    return _named(channels).select(*_CHANNEL).distinct()
+
+
+def _named(channels: DataFrame) -> DataFrame:
+    """Rows whose `channel` is one of trades, with market, coin and currency added."""
     part = F.split("channel", "~")
     named = channels.where(F.size(part) == 4).select(
+        "*",
         F.get(part, F.lit(0)).alias("_type"),
         *[F.get(part, F.lit(i + 1)).alias(name) for i, name in enumerate(_CHANNEL)],
     )
     whole = " AND ".join(f"{name} <> ''" for name in _CHANNEL)
-    return named.where(f"_type = '{_TRADES}' AND {whole}").drop("_type").distinct()
+    return named.where(f"_type = '{_TRADES}' AND {whole}").drop("_type")
 
 
 def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) -> DataFrame:
@@ -51,3 +64,40 @@ def subscribed_trades(trades: DataFrame, channels: Sequence[str] | DataFrame) ->
         named = pa.table({"channel": pa.array(names, pa.string())})
         channels = trades.sparkSession.createDataFrame(named)
     return trades.join(channel_table(channels), _CHANNEL, "left_semi").select(*trades.columns)
+
+
+def subscribed_at(
+    trades: DataFrame,
+    subscriptions: DataFrame,
+    *,
+    longest: str = LONGEST,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """Trades whose channel was subscribed to at the trade's own time; both sides may be streams.
+
+    `subscriptions`: `channel`, `valid_from` and `valid_to` (timestamps; the second is not part of the
+    period, and null stands for as long as there may be). No period is longer than `longest`; a channel that is
+    needed for longer is subscribed to again, and periods may overlap. A trade is kept once.
+
+    On streams, a trade waits in state until the watermark of the subscriptions is past it, as a period may
+    still come that has begun by then, and a period until the watermark of the trades is past its longest
+    end. Append mode, as for records of a topic. A hot channel has one period per subscription in state,
+    its trades are those since the watermark.
+    """
+    at = F.expr(f"valid_from + INTERVAL {longest}")
+    periods = _named(subscriptions).select(
+        *[F.col(name).alias(f"_{name}") for name in _CHANNEL],
+        F.col("valid_from").alias("_from"),
+        F.least(F.coalesce("valid_to", at), at).alias("_to"),
+    )
+    timed = trades.withColumn("_at", event_time(F.col("TS")))
+    if subscriptions.isStreaming:
+        periods = periods.withWatermark("_from", watermark)
+    if trades.isStreaming:
+        timed = timed.withWatermark("_at", watermark)
+    same = [F.col(name) == F.col(f"_{name}") for name in _CHANNEL]
+    inside = (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
+    # Follows from the above; it tells until when a period has to be kept.
+    bound = F.col("_at") < F.col("_from") + F.expr(f"INTERVAL {longest}")
+    condition = reduce(lambda x, y: x & y, [*same, inside, bound])
+    return timed.join(periods, condition, "left_semi").select(*trades.columns)
