@@ -31,7 +31,7 @@ from tapeline.sources.tables import (
     lineitem_as_trades,
 )
 from tapeline.streaming.accounts import Accounts, batch_accounts, observe_sides, read_counts
-from tapeline.streaming.runs import STATE_SETTINGS, start, work_folder
+from tapeline.streaming.runs import STATE_SETTINGS, run_for, start, work_folder
 from tapeline.streaming.sinks import (
     append_to_log,
     drop_folded,
@@ -59,8 +59,9 @@ try:
     import corpus_pipeline
     from tapeline.llm import queries as llm
 except ModuleNotFoundError as missing:
-    # The operators for training data are a part that can be left out.
-    if missing.name not in ("corpus_pipeline", "tapeline.llm"):
+    # The operators for training data are a part that can be left out, and is where their vocabulary
+    # files are not installed.
+    if missing.name not in ("corpus_pipeline", "tapeline.llm", "public_tokenizers"):
         raise
     llm = None
 
@@ -185,6 +186,27 @@ def trade_window_agg_stream_lineitem(spark: SparkSession, sf_dir: str) -> DataFr
     return _rounded(_streamed(spark, window_totals(trades, DAY), "daily"))
 
 
+def narrow_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of trades that are first brought into two partitions."""
+    return _rounded(window_totals(_line_trades(spark, sf_dir), DAY, max_partitions=2))
+
+
+def bounded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query on an interval, with a shuffle width of its own, stopped after its time."""
+    log, state = work_folder(spark, "bounded-log"), work_folder(spark, "bounded-state")
+    totals = window_totals(events_as_trades(_stream(spark, sf_dir, "events")))
+    writer = with_row_ids(totals).writeStream.outputMode("update").foreachBatch(append_to_log(log))
+    query = start(spark, writer, state, interval="1 second", shuffle_partitions=3)
+    query.processAllAvailable()
+    ended = run_for(query, 1)
+    (width,) = spark.read.format("state-metadata").load(state).select("numPartitions").first()
+    return _rounded(as_totals(latest_rows(read_log(spark, log)))).select(
+        "*",
+        F.lit(width).cast("bigint").alias("state_partitions"),
+        F.lit(not ended and not query.isActive).alias("stopped"),
+    )
+
+
 def _buckets(spark: SparkSession) -> int:
     """A few buckets per task of the shuffle. Each run has its own checkpoint, so this may vary."""
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -522,6 +544,8 @@ def queries() -> dict[str, Query]:
         "trade_window_agg_stream_lineitem": trade_window_agg_stream_lineitem,
         "trade_window_agg_stateful": trade_window_agg_stateful,
         "trade_window_agg_stateful_lineitem": trade_window_agg_stateful_lineitem,
+        "narrow_partitions": narrow_partitions,
+        "bounded_run": bounded_run,
         "slices_native": slices_native,
         "slices_stateful": slices_stateful,
         "late_accounts_native": late_accounts_native,
@@ -671,6 +695,8 @@ def oracle_sql() -> dict[str, str]:
         "trade_window_agg_stream_lineitem": daily,
         "trade_window_agg_stateful": minute,
         "trade_window_agg_stateful_lineitem": daily,
+        "narrow_partitions": daily,
+        "bounded_run": f"SELECT *, CAST(3 AS BIGINT) AS state_partitions, TRUE AS stopped FROM ({minute})",
         "slices_native": minute,
         "slices_stateful": minute,
         "late_accounts_native": accounts,
