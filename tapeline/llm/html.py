@@ -7,10 +7,16 @@ the leaves up and from the root down, give each node's marginal exactly, as the
 trees of a batch are passed at once, depth by depth. The main text is the text whose marginal is one
 half or more.
 
+Parts that are never content (scripts, forms, menus, adverts, comments) are evidence, not a guess: such a
+node is out, and all below it follows its parent. These nodes, and elements that hold no text, are tied
+to their parents one way, by the chance of their state given the parent's; they send nothing up, so
+a paragraph with ten scripts in it is what it is without them.
+
 Trained from labelled pages: those that mark their article themselves (an article or main element, or
-the like) label their nodes by it, without the parts that are never content. Weights start from, and
-are pulled to, what is known of tags and class words beforehand, so that parts which no training page
-has still count. The sample is at most `SAMPLE` pages, chosen by hash; all pages are extracted.
+the like) label the nodes that are not evidence by it. So what is learned is what the lists do not
+have: the class names and the shape of a site's own regions. Weights start from, and are pulled to, what
+is known of tags and class words beforehand. The sample is at most `SAMPLE` pages, chosen by hash, and is
+fitted in one task; all pages are extracted.
 """
 
 from __future__ import annotations
@@ -41,6 +47,13 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp"
     " small span strike strong sub sup time tt u var wbr".split()
 )
+# Elements that begin a line of their own; all others are part of the text around them.
+BLOCKS = frozenset(
+    "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt"
+    " fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html"
+    " legend li listing main menu nav ol optgroup option p plaintext pre search section summary table"
+    " tbody td tfoot th thead title tr ul xmp".split()
+)
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table"
@@ -114,7 +127,7 @@ class Tree:
             if name is None:
                 continue
             name = name.lower()
-            if name not in INLINE:
+            if name in BLOCKS:
                 block += 1
             if close:
                 self._end(open_nodes, name)
@@ -202,16 +215,31 @@ class Model:
     pairs: np.ndarray
 
 
-# Kinds of children: text, inline element, other element.
+# Kinds of children: text, inline element, block element; and what stands below an element that is out,
+# which is out as well.
+_BELOW_OUT = 3
+_FOLLOWS = np.array([[[60.0, 0.0], [0.0, 0.0]]])
+_OUT = -30.0
+
+
 def _kind(tag: str) -> int:
-    return 0 if tag == "#text" else 1 if tag in INLINE else 2
+    return 0 if tag == "#text" else 2 if tag in BLOCKS else 1
+
+
+def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
+    most = x.max(axis=axis, keepdims=True)
+    return most + np.log(np.exp(x - most).sum(axis=axis, keepdims=True))
 
 
 class Forest:
-    """Trees of several pages as arrays."""
+    """Trees of several pages as arrays.
+
+    With `twice` every page is there once more, its features without the marks of an article.
+    """
 
-    def __init__(self, pages: list[str], cache: dict[str, int]):
-        self.trees = [Tree(page) for page in pages]
+    def __init__(self, pages: list[str], cache: dict[str, int], twice: bool = False):
+        self.trees = [Tree(page) for page in pages] * (2 if twice else 1)
+        n_whole = len(pages)
         sizes = [len(t.tag) for t in self.trees]
         first = np.cumsum([0, *sizes])
         self.first = first
@@ -228,13 +256,17 @@ class Forest:
             linked[level] = np.where(in_link[level], total[level], linked[level])
             np.add.at(total, self.parent[level], total[level])
             np.add.at(linked, self.parent[level], linked[level])
+        self._evidence(total)
         share = np.round(4 * linked / np.maximum(total, 1)).astype(int)
         length = np.array([_bin(c) for c in total])
         nodes, features = [], []
         i = 0
-        for tree in self.trees:
-            for j, (tag, words) in enumerate(zip(tree.tag, tree.words, strict=True)):
-                parent = tree.tag[tree.parent[j]]
+        for number, tree in enumerate(self.trees):
+            seen = tree.tag if number < n_whole else ["div" if g in CONTENT_TAGS else g for g in tree.tag]
+            for j, (tag, words) in enumerate(zip(seen, tree.words, strict=True)):
+                parent = seen[tree.parent[j]]
+                if number >= n_whole:
+                    words = [w for w in words if w not in CONTENT_WORDS]
                 names = [
                     f"tag:{tag}",
                     f"in:{parent}:{tag}",
@@ -251,26 +283,61 @@ class Forest:
                 i += 1
         self.nodes, self.features = np.array(nodes, np.int64), np.array(features, np.int64)
 
+    def _evidence(self, chars: np.ndarray) -> None:
+        """`out`: nodes that are never content. `silent`: those, all below them, and what holds no text.
+
+        An element is not out by its name or class if it holds all of the marked articles of its page, as a
+        form or a "has-sidebar" around everything does, nor by its class if it holds most of the text.
+        """
+        n = len(self.parent)
+        tags = [g for t in self.trees for g in t.tag]
+        words = [w for t in self.trees for w in t.words]
+        by_tag = np.array([g in NEVER_TAGS for g in tags], bool)
+        by_word = np.array([g not in ("html", "body") and any(x in NEVER_WORDS for x in w)
+                            for g, w in zip(tags, words, strict=True)], bool)
+        marked = np.array([g in CONTENT_TAGS for g in tags], float)
+        below = marked.copy()
+        for level in reversed(self.levels):
+            np.add.at(below, self.parent[level], below[level])
+        page = np.repeat(self.first[:-1], np.diff(self.first))
+        holds_all = (below > marked) & (below == below[page]) if n else np.zeros(0, bool)
+        holds_most = 2 * chars > chars[page] if n else np.zeros(0, bool)
+        unmarked = below[page] == 0 if n else np.zeros(0, bool)
+        self.out = (by_tag | by_word & ~(holds_most & unmarked)) & ~holds_all
+        inside = np.zeros(n, bool)
+        for level in self.levels:
+            up = self.parent[level]
+            inside[level] = inside[up] | self.out[up]
+        self.kind[inside] = _BELOW_OUT
+        empty = np.array([g in VOID or g in RAW for g in tags], bool)
+        self.silent = self.out | inside | empty
+
     def passes(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Marginal of each node, and the beliefs of (parent, child) states, by sum-product."""
         n = len(self.parent)
         field = np.bincount(self.nodes, weights=model.weights[self.features], minlength=n)
+        field[self.out] = _OUT
         local = np.stack([np.zeros(n), np.clip(field, -40, 40)], axis=1)
         up = local.copy()
         message = np.zeros((n, 2))
-        potential = model.pairs[self.kind]
+        # By level: log potentials of (parent, child) states, with all that is known from the child down.
+        edges: list[np.ndarray] = []
+        pairs_of = np.concatenate([model.pairs, _FOLLOWS])
         for level in reversed(self.levels):
-            sent = np.logaddexp(
-                potential[level, :, 0] + up[level, :1], potential[level, :, 1] + up[level, 1:]
-            )
+            edge = pairs_of[self.kind[level]] + up[level][:, None, :]
+            silent = self.silent[level]
+            edge[silent] -= _log_sum(edge[silent], axis=2)
+            edges.append(edge)
+            sent = _log_sum(edge, axis=2)[:, :, 0]
             sent -= sent.max(axis=1, keepdims=True)
+            sent[silent] = 0.0
             message[level] = sent
             np.add.at(up, self.parent[level], sent)
         belief = up.copy()
         pairs = np.zeros((n, 2, 2))
-        for level in self.levels:
+        for level, edge in zip(self.levels, reversed(edges), strict=True):
             rest = belief[self.parent[level]] - message[level]
-            joint = rest[:, :, None] + potential[level] + up[level][:, None, :]
+            joint = rest[:, :, None] + edge
             joint -= joint.max(axis=(1, 2), keepdims=True)
             joint = np.exp(joint)
             joint /= joint.sum(axis=(1, 2), keepdims=True)
@@ -335,15 +402,20 @@ def prior_model() -> Model:
 
 
 def fit(pages: list[str]) -> Model:
-    """Maximum a posteriori by gradient ascent; exact gradients from the passes."""
+    """Maximum a posteriori by gradient ascent; exact gradients from the passes.
+
+    Every page is learned from twice, as it is and without the marks that its labels come from: what else
+    its article and its other parts are known by is learned from the second.
+    """
     prior, model = prior_model(), prior_model()
-    forest = Forest([p for p in pages if p], {})
+    forest = Forest([p for p in pages if p], {}, twice=True)
     labels, known = [], []
     for tree in forest.trees:
         found = known_labels(tree)
         known += [found is not None] * len(tree.tag)
         labels += found or [0] * len(tree.tag)
-    known, labels = np.array(known, bool), np.array(labels, np.int64)
+    # Evidence needs no learning, and teaches nothing.
+    known, labels = np.array(known, bool) & ~forest.silent, np.array(labels, np.int64)
     if not known.any():
         return model
     child = known & (forest.depth > 0)
@@ -369,9 +441,20 @@ def fit(pages: list[str]) -> Model:
 
 
 def fit_from_pages(pages: DataFrame, page: str = "html", sample: int = SAMPLE) -> Model:
-    rows = pages.where(F.col(page).isNotNull()).select(page)
-    chosen = hashed_sample(rows, F.col(page), sample, rows.count())
-    return fit([r[page] for r in chosen.collect()])
+    """Fit on a bounded sample of the pages, in one task; the model has a fixed size."""
+    rows = pages.where(F.col(page).isNotNull()).select(F.col(page).alias("_page"))
+    chosen = hashed_sample(rows, F.col("_page"), sample, rows.count()).select("_page").repartition(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fit(sorted(text for batch in batches for text in batch.column(0).to_pylist()))
+        columns = [pa.array([x.tobytes()], pa.binary()) for x in (model.weights, model.pairs)]
+        yield pa.RecordBatch.from_arrays(columns, ["weights", "pairs"])
+
+    fitted = chosen.mapInArrow(run, "weights binary, pairs binary").first()
+    if fitted is None:
+        return prior_model()
+    pairs = np.frombuffer(fitted["pairs"], np.float64).reshape(3, 2, 2)
+    return Model(np.frombuffer(fitted["weights"], np.float64), pairs)
 
 
 def main_text(

@@ -69,21 +69,88 @@ def test_odd_attributes(spark):
 
 
 def test_marginals_equal_the_sum_over_states():
+    """Over all states of all nodes; nodes that send nothing up have the chance of their state given the parent's."""
     rng = np.random.default_rng(1)
-    forest = Forest(["<div><p>a<b>b</b></p>c</div>", "<p>x</p>"], {})
+    sources = ["<div><p>a<b>b</b></p>c</div>", "<p>x</p>", "<p>a<script>b</script><i><u>c</u></i></p>",
+               "<form><i>d</i></form><img>"]
+    forest = Forest(sources, {})
     model = Model(rng.normal(size=len(prior_model().weights)), rng.normal(size=(3, 2, 2)))
-    n = len(forest.parent)
-    field = np.bincount(forest.nodes, weights=model.weights[forest.features], minlength=n)
-    total, weight = 0.0, np.zeros(n)
-    for states in itertools.product((0, 1), repeat=n):
-        s = np.array(states)
-        child = np.flatnonzero(forest.depth > 0)
-        score = (field * s).sum() + model.pairs[
-            forest.kind[child], s[forest.parent[child]], s[child]
-        ].sum()
-        total += np.exp(score)
-        weight += np.exp(score) * s
-    assert forest.passes(model)[0] == pytest.approx(weight / total)
+    pairs = np.concatenate([model.pairs, [[[60.0, 0.0], [0.0, 0.0]]]])
+    assert forest.out.sum() == 2 and (forest.kind == 3).sum() == 2 and forest.silent.sum() == 5
+    for first, end in itertools.pairwise(forest.first.tolist()):
+        total, weight = 0.0, np.zeros(end - first)
+        field = np.bincount(forest.nodes, weights=model.weights[forest.features], minlength=len(forest.parent))
+        field[forest.out] = -30
+        for states in itertools.product((0, 1), repeat=end - first):
+            score = field[first] * states[0]
+            for i in range(first + 1, end):
+                up, own = states[forest.parent[i] - first], states[i - first]
+                way = pairs[forest.kind[i], up] + np.array([0, field[i]])
+                score += way[own] - (np.logaddexp(*way) if forest.silent[i] else 0)
+            total += np.exp(score)
+            weight += np.exp(score) * np.array(states)
+        assert forest.passes(model)[0][first:end] == pytest.approx(weight / total)
+
+
+LONG = "A sentence of the article that is long enough to be one. " * 6
+
+
+def text_of(model, source):
+    forest = Forest([source], {})
+    return forest.main_texts(forest.passes(model)[0])[0]
+
+
+def test_elements_without_text_say_nothing_about_their_paragraph():
+    trained = fit([PAGE.format(more=f"<p>More {i}.</p>") for i in range(20)])
+    for many in ("<script>a</script>", "<svg><text>x</text></svg>", "<button>b</button>", "<img>", "<input>",
+                 "<style>p{}</style>", "<select><option>o</select>", "<template><p>t</p></template>"):
+        for n in (3, 4, 40):
+            for text in ("Short", LONG.strip()):
+                page = f"<article><p>{text} {many * n}</p><p>Last.</p></article>"
+                assert text_of(trained, page) == f"{text}\nLast.", (many, n)
+
+
+def test_only_block_elements_end_a_block():
+    trained = fit([PAGE.format(more=f"<p>More {i}.</p>") for i in range(20)])
+    inline = "One <script>x</script>two <label>L</label><input>three <picture><img></picture><math>4</math> <ruby>a<rt>b</rt></ruby><x-y>c</x-y>"
+    page = f"<article><p>{inline}</p><div>In <span>a</span> block</div><table><tr><td>a<td>b</table></article>"
+    assert text_of(trained, page) == "One two three 4 abc\nIn a block\na\nb"
+
+
+def test_what_is_out_takes_all_below_it_along():
+    trained = fit([PAGE.format(more=f"<p>More {i}.</p>") for i in range(20)])
+    inside = (
+        f"<div class='notice'><p>{LONG}</p></div><div class=ad><p>Buy this thing now.</p></div>"
+        f"<section class=comments><p>{LONG}</p></section><p class=notice>{LONG}</p><aside><article>{LONG}</article></aside>"
+    )
+    assert text_of(trained, f"<article><p>Kept.</p>{inside}</article>") == "Kept."
+    assert text_of(trained, f"<article><p>Kept.</p></article>{inside}") == "Kept."
+    # What is around everything is not out by its name.
+    around = "<body class='has-sidebar'><form><div class='has-sidebar'>{}</div></form>"
+    assert text_of(trained, around.format(f"<article><p>Kept.</p></article>{inside}")) == "Kept."
+    page = f"<div class='with-sidebar'><div id='content'><p>{LONG}</p></div><div class='sidebar'>No</div></div>"
+    assert text_of(trained, page) == LONG.strip()
+
+
+def test_training_learns_what_the_lists_do_not_have(spark):
+    """A site's own regions, learned where its articles are marked, used where they are not."""
+    body = "<div class='zx-body'><p>{}</p><p>{}</p></div><div class='zx-rail'><p>{}</p><p>{}</p></div>"
+    texts = [f"{LONG} Number {i} of many, with words of its own." for i in range(80)]
+    learned = [
+        "<body><article class='zx-body'><p>{}</p><p>{}</p></article><div class='zx-rail'><p>{}</p><p>{}</p></div>".format(
+            *texts[i : i + 4]
+        )
+        for i in range(0, 40, 4)
+    ]
+    trained = fit(learned)
+    for i in range(40, 80, 4):
+        page = "<body>" + body.format(*texts[i : i + 4])
+        expected = "\n".join(" ".join(t.split()) for t in texts[i : i + 2])
+        assert text_of(trained, page) == expected
+        assert text_of(prior_model(), page) != expected
+    table = pages(spark, learned * 3 + [page])
+    (got,) = extract_pages(table).where("page_id = 30").collect()
+    assert got["text"] == expected
 
 
 def test_held_out_layout_without_article():
