@@ -4,15 +4,15 @@ The tree is fitted on a bounded sample of vectors and holds at most `MOST_LEAVES
 is put into the leaf that it reaches by going to the nearest centre at each level. A search goes
 through the tree by a priority queue: of all branches seen so far, the one whose centre is nearest is
 opened next, until enough leaves are found. How many is calibrated: the exact neighbours of `PROBES`
-sampled vectors are found by going through the whole table once, and leaves are added until the
-share of neighbours in them reaches `RECALL`.
+vectors that the tree was not fitted on are found by going through the whole table once, and leaves are
+added until the share of neighbours in them reaches `RECALL`. A search whose leaves hold fewer
+vectors than an answer has goes on until they hold as many, so every answer is full.
 
 Equal vectors form a class that is searched as one and known by its smallest ids, as many as an answer
 can name. A leaf is split by hash into blocks of about `BLOCK` classes, its queries as well, and every
 pair of blocks is compared in a task of its own, so neither a common vector nor a full leaf grows a
-task. A search is first compared with `BOUND` sampled vectors: the nearest of them are candidates like
-those found in leaves, and whatever is farther than as many of them as the answer holds cannot be in
-the answer, and is not passed on. So every answer is full, whatever leaves were visited.
+task. A search is compared with its nearest leaf first: whatever is farther than the answer found there
+cannot be in the answer, and is not passed on from the other leaves.
 """
 
 from __future__ import annotations
@@ -35,8 +35,6 @@ MOST_LEAVES = 4_096
 PROBES = 200
 RECALL = 0.97
 BLOCK = 2_000
-# Sampled vectors that each search is compared with first, for a bound on its answer.
-BOUND = 8_000
 
 
 @dataclass
@@ -65,14 +63,18 @@ class Tree:
             todo += [(c, rows[nearest == i]) for i, c in enumerate(below) if (nearest == i).any()]
         return leaf
 
-    def leaves(self, unit: np.ndarray, most: int) -> list[int]:
-        """The first leaves for a vector, best bin first."""
-        queue, found = [(-1.0, 0)], []
-        while queue and len(found) < most:
+    def leaves(
+        self, unit: np.ndarray, least: int, sizes: np.ndarray | None = None, enough: int = 0
+    ) -> list[int]:
+        """The first leaves for a vector, best bin first: `least` of them, and as many more as it takes
+        for their `sizes` to add up to `enough`."""
+        queue, found, held = [(-1.0, 0)], [], 0
+        while queue and (len(found) < least or held < enough):
             _, node = heapq.heappop(queue)
             below = self.children[node]
             if not below:
                 found.append(int(self.leaf[node]))
+                held += 0 if sizes is None else int(sizes[found[-1]])
             for near, child in zip((self.centres[below] @ unit).tolist(), below, strict=True):
                 heapq.heappush(queue, (-near, child))
         return found
@@ -228,6 +230,60 @@ def _exact_leaf_ranks(classes: DataFrame, probes: pa.Table, tree: Tree, k: int,
     return [order[r["probe"]][r["leaf"]] for r in rows.collect() if r["place"] > 1]
 
 
+def _compared(askers: DataFrame, members: DataFrame, k: int, dimension: int) -> DataFrame:
+    """`asker`, `key`, `score`: of each leaf's members the nearest to each of its askers, k and a few
+    more per pair of blocks, as far as they are not below the asker's `floor`."""
+
+    # Blocks of each leaf, on both sides: as many as its counts ask for. One row per leaf.
+    def blocks(side: DataFrame) -> DataFrame:
+        return side.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+
+    n_blocks = F.broadcast(
+        blocks(members)
+        .withColumnRenamed("n", "_members")
+        .join(blocks(askers).withColumnRenamed("n", "_askers"), "leaf")
+    )
+
+    # Both sides' keys need the same types, as they are dealt out by their hashes.
+    def block_of(count: str) -> Column:
+        return F.pmod(F.xxhash64("key", F.lit(5)), F.col(count)).cast("int")
+
+    right = (
+        members.join(n_blocks, "leaf")
+        .withColumn("m", block_of("_members"))
+        .withColumn("q", F.explode(F.expr("sequence(0, _askers - 1)")))
+        .select("leaf", "m", "q", "key", "vector")
+    )
+    left = (
+        askers.join(n_blocks, "leaf")
+        .withColumn("q", block_of("_askers"))
+        .withColumn("m", F.explode(F.expr("sequence(0, _members - 1)")))
+        .select("leaf", "m", "q", "key", "vector", "floor")
+    )
+
+    def compare(askers: pa.Table, members: pa.Table) -> pa.Table:
+        a, b = (_matrix(t.column("vector"), dimension) for t in (askers, members))
+        near = _unit(a) @ _unit(b).T if len(a) and len(b) else np.empty((len(a), 0))
+        # A little more than is needed, so that rounding in the product cannot push out a tie.
+        more = min(k + 4, near.shape[1])
+        top = np.argpartition(-near, more - 1, axis=1)[:, :more] if more else np.empty((len(a), 0), int)
+        left, right = np.repeat(np.arange(len(a)), more), top.ravel()
+        score = _cosines(a[left], b[right])
+        keep = score >= askers.column("floor").to_numpy()[left]
+        left, right, score = left[keep], right[keep], score[keep]
+        return pa.table(
+            {
+                "asker": askers.column("key").take(pa.array(left)),
+                "key": members.column("key").take(pa.array(right)),
+                "score": pa.array(score, pa.float64()),
+            }
+        )
+
+    by = ["leaf", "m", "q"]
+    kinds = "asker struct<a: bigint, b: bigint>, key struct<a: bigint, b: bigint>, score double"
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(compare, kinds)
+
+
 def nearest_vectors(
     vectors: DataFrame,
     k: int = 5,
@@ -247,7 +303,7 @@ def nearest_vectors(
     # A query can lose one id of a class to itself, and its own class of one to itself.
     classes = stored(vector_classes(vectors, k + 1, id_column, column), "vector-classes")
     every = classes.count()
-    sample = hashed_sample(classes.select("key", "vector"), F.col("key"), SAMPLE, every)
+    sample = hashed_sample(classes.select("key", "vector"), F.col("key"), SAMPLE + PROBES, every)
     sample = sample.select("key", "vector").toArrow()
     lengths = np.array([len(v) for v in sample.column("vector")], np.int64)
     empty = "query_id bigint, rank int, vec_id bigint, score double"
@@ -258,9 +314,12 @@ def nearest_vectors(
     classes = classes.where(F.size("vector") == dimension)
     n_classes = classes.count()
     leaves = max(1, min(MOST_LEAVES, n_classes // LEAF, sample.num_rows // 2))
-    tree = fit_tree(_unit(_matrix(sample.column("vector"), dimension)), leaves)
+    # The probes are not fitted on, so what holds for them holds for other vectors.
+    n_probes = min(PROBES, sample.num_rows // 5)
+    fitted, probes = sample.slice(n_probes), sample.slice(0, n_probes)
+    tree = fit_tree(_unit(_matrix(fitted.column("vector"), dimension)), leaves)
 
-    ranks = _exact_leaf_ranks(classes, sample.slice(0, PROBES), tree, k, dimension)
+    ranks = _exact_leaf_ranks(classes, probes, tree, k, dimension) if n_probes else []
     visits = 1
     if ranks:
         within = np.cumsum(np.bincount(ranks, minlength=tree.n_leaves)) / len(ranks)
@@ -295,115 +354,39 @@ def nearest_vectors(
     ).distinct()
     asked = placed.join(asking.select("key").distinct(), "key", "left_semi").select("key", "vector")
 
-    bound = sample.slice(0, BOUND).combine_chunks()
-    near_keys = bound.column("key").combine_chunks()
-    sent_near = spark.sparkContext.broadcast((_matrix(bound.column("vector"), dimension), near_keys))
+    # One number per leaf.
+    sizes = np.zeros(tree.n_leaves, np.int64)
+    for row in placed.groupBy("leaf").count().collect():
+        sizes[row["leaf"]] = row["count"]
+    sent_sizes = spark.sparkContext.broadcast(sizes)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, (near, near_keys) = Tree(**sent.value), sent_near.value
-        unit_near = _unit(near).astype(np.float32)
-        # As in blocks, a little more than is needed.
-        few = min(k + 4, len(near))
+        tree, sizes = Tree(**sent.value), sent_sizes.value
         for batch in batches:
-            rows = _matrix(batch.column(1), dimension)
-            unit = _unit(rows)
-            floor = np.full(len(unit), -2.0)
-            nearest, score = np.empty((len(unit), few), np.int64), np.empty((len(unit), few))
-            for i in range(0, len(unit), 500):
-                scores = unit[i : i + 500].astype(np.float32) @ unit_near.T
-                top = nearest[i : i + 500] = np.argpartition(-scores, few - 1, axis=1)[:, :few]
-                some = np.repeat(rows[i : i + 500], few, axis=0)
-                score[i : i + 500] = _cosines(some, near[top.ravel()]).reshape(-1, few)
-                if len(near) > k:
-                    # Single precision is good to far less than the margin.
-                    floor[i : i + 500] = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)] - 1e-4
-            found = [tree.leaves(u, visits) for u in unit]
-            sizes = [len(f) for f in found]
-            some = batch.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            unit = _unit(_matrix(batch.column(1), dimension))
+            found = [tree.leaves(u, visits, sizes, k + 1) for u in unit]
+            # The nearest leaves that by themselves hold an answer.
+            first = [
+                i <= int(np.searchsorted(np.cumsum(sizes[f]), k + 1)) for f in found for i in range(len(f))
+            ]
+            some = batch.take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
             leaf = pa.array([x for f in found for x in f], pa.int64())
-            # Sampled candidates stand in the first row of each search, so that they count once.
-            held = np.zeros(len(leaf), np.int32)
-            held[np.cumsum([0, *sizes[:-1]])[: len(sizes)]] = few
-            sampled = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *held]), pa.int32()),
-                pa.StructArray.from_arrays(
-                    [near_keys.take(pa.array(nearest.ravel())), pa.array(score.ravel())],
-                    ["key", "score"],
-                ),
-            )
-            columns = [*some.columns, leaf, pa.array(np.repeat(floor, sizes)), sampled]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "vector", "leaf", "floor", "sampled"])
-
-    asked = stored(
-        asked.mapInArrow(
-            search,
-            "key struct<a: bigint, b: bigint>, vector array<double>, leaf bigint, floor double,"
-            " sampled array<struct<key: struct<a: bigint, b: bigint>, score: double>>",
-        ),
-        "vector-searches",
-    )
-
-    # Blocks of each leaf, on both sides: as many as its counts ask for. One row per leaf.
-    def blocks(side: DataFrame) -> DataFrame:
-        return side.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-
-    n_blocks = F.broadcast(
-        blocks(placed)
-        .withColumnRenamed("n", "_members")
-        .join(blocks(asked).withColumnRenamed("n", "_askers"), "leaf")
-    )
-    # Both sides' keys need the same types, as they are dealt out by their hashes.
-    def block_of(count: str) -> Column:
-        return F.pmod(F.xxhash64("key", F.lit(5)), F.col(count)).cast("int")
-
-    members = (
-        placed.join(n_blocks, "leaf")
-        .withColumn("m", block_of("_members"))
-        .withColumn("q", F.explode(F.expr("sequence(0, _askers - 1)")))
-        .select("leaf", "m", "q", "key", "first_id", "vector")
-    )
-    askers = (
-        asked.join(n_blocks, "leaf")
-        .withColumn("q", block_of("_askers"))
-        .withColumn("m", F.explode(F.expr("sequence(0, _members - 1)")))
-        .select("leaf", "m", "q", "key", "vector", "floor")
-    )
-
-    def compare(askers: pa.Table, members: pa.Table) -> pa.Table:
-        a, b = (_matrix(t.column("vector"), dimension) for t in (askers, members))
-        near = _unit(a) @ _unit(b).T if len(a) and len(b) else np.empty((len(a), 0))
-        few = min(k + 1, near.shape[1])
-        # A little more than is needed, so that rounding in the product cannot push out a tie.
-        more = min(few + 3, near.shape[1])
-        top = np.argpartition(-near, more - 1, axis=1)[:, :more] if more else np.empty((len(a), 0), int)
-        left, right = np.repeat(np.arange(len(a)), more), top.ravel()
-        score = _cosines(a[left], b[right])
-        keep = score >= askers.column("floor").to_numpy()[left]
-        left, right, score = left[keep], right[keep], score[keep]
-        return pa.table(
-            {
-                "asker": askers.column("key").take(pa.array(left)),
-                "key": members.column("key").take(pa.array(right)),
-                "score": pa.array(score, pa.float64()),
-            }
-        )
-
-    by = ["leaf", "m", "q"]
-    compared = (
-        askers.groupBy(*by)
-        .cogroup(members.groupBy(*by))
-        .applyInArrow(
-            compare,
-            "asker struct<a: bigint, b: bigint>, key struct<a: bigint, b: bigint>, score double",
-        )
-    )
-    sampled = asked.select(F.col("key").alias("asker"), F.explode("sampled").alias("s"))
-    # Found in a leaf and in the sample, a class still counts once.
-    compared = (
-        compared.unionByName(sampled.select("asker", "s.key", "s.score"))
-        .groupBy("asker", "key")
-        .agg(F.max("score").alias("score"))
+            columns = [*some.columns, leaf, pa.array(first, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "vector", "leaf", "first"])
+
+    kinds = "key struct<a: bigint, b: bigint>, vector array<double>, leaf bigint, first boolean"
+    searches = stored(asked.mapInArrow(search, kinds), "vector-searches")
+
+    nearby = searches.where("first").withColumn("floor", F.lit(-2.0))
+    found = stored(_compared(nearby, placed, k, dimension), "vector-nearby")
+    last = Window.partitionBy("asker").orderBy(F.col("score").desc())
+    floors = (
+        found.withColumn("_place", F.row_number().over(last))
+        .where(F.col("_place") == k + 1)
+        .select(F.col("asker").alias("key"), F.col("score").alias("floor"))
     )
+    others = searches.where("NOT first").join(floors, "key", "left").fillna(-2.0, ["floor"])
+    compared = found.unionByName(_compared(others, placed, k, dimension))
     names = classes.select("key", "ids", "first_id")
     best = Window.partitionBy("asker").orderBy(F.col("score").desc(), "first_id")
     top = (

@@ -1,6 +1,7 @@
 """Nearest vectors against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tapeline.llm.vectors import fit_tree, nearest_vectors
@@ -50,22 +51,56 @@ def test_fewer_candidates_than_asked_for(spark):
     assert nearest_vectors(table(spark, [(0, [1.0, 0.0])])).collect() == []
 
 
-def test_recall_with_many_leaves(spark):
-    rng = np.random.default_rng(5)
-    centres = rng.normal(size=(12, 16))
-    rows = [
-        (i, (centres[i % 12] + 0.5 * rng.normal(size=16)).astype(np.float32).tolist())
-        for i in range(3000)
-    ]
-    got, expected = answers(nearest_vectors(table(spark, rows))), brute(rows)
-    share = np.mean([len({j for _, j in got[q]} & {j for _, j in expected[q]}) / 5 for q in expected])
-    assert set(got) == set(expected) and share >= 0.9
+def clustered(n, dimension, clusters, seed, spread=0.5):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dimension))
+    points = centres[np.arange(n) % clusters] + spread * rng.normal(size=(n, dimension))
+    return points.astype(np.float32)
+
+
+def true_neighbours(points, k=5, every=50):
+    """The nearest of all others for each query row, in double precision."""
+    unit = points.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    found = {}
+    for i in range(0, len(unit), every):
+        score = unit @ unit[i]
+        score[i] = -2
+        top = np.argpartition(-score, k)[:k]
+        found[i] = {int(j): round(float(score[j]), 9) for j in top}
+    return found
+
+
+def recall_of(got, expected):
+    return np.mean([len({j for _, j in got.get(q, ())} & set(expected[q])) / 5 for q in expected])
+
+
+def test_recall_comes_from_the_leaves_that_are_visited(spark):
+    """Many times more vectors than the tree is fitted on; with one leaf visited much is missed."""
+    points = clustered(60_000, 24, 300, seed=5, spread=0.8)
+    rows = spark.createDataFrame(
+        pd.DataFrame({"vec_id": np.arange(len(points)), "embedding": [p.tolist() for p in points]}),
+        "vec_id bigint, embedding array<float>",
+    )
+    expected = true_neighbours(points)
+    got = answers(nearest_vectors(rows))
+    assert set(got) == set(expected)
+    assert all(len(found) == 5 for found in got.values())
+    share = recall_of(got, expected)
+    assert share >= 0.9
+    few = answers(nearest_vectors(rows, recall=0.01))
+    assert all(len(found) == 5 for found in few.values())
+    assert recall_of(few, expected) < share - 0.1
+    # Scores are exact whatever was visited.
+    for q, found in few.items():
+        for score, j in found:
+            assert expected[q].get(j, -score) == pytest.approx(-score, abs=1e-9)
 
 
 def test_every_answer_is_full_when_few_leaves_are_visited(spark):
     rng = np.random.default_rng(9)
     rows = [(i, rng.normal(size=24).astype(np.float32).tolist()) for i in range(4000)]
-    got, every = answers(nearest_vectors(table(spark, rows), recall=0.1)), brute(rows, k=len(rows))
+    got, every = answers(nearest_vectors(table(spark, rows), recall=0.01)), brute(rows, k=len(rows))
     assert set(got) == set(every)
     for q, found in got.items():
         true = {j: s for s, j in every[q]}
@@ -73,6 +108,20 @@ def test_every_answer_is_full_when_few_leaves_are_visited(spark):
         assert found == sorted((true[j], j) for _, j in found)
 
 
+def test_searches_go_on_until_their_leaves_hold_an_answer():
+    rng = np.random.default_rng(3)
+    unit = rng.normal(size=(500, 6))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    tree = fit_tree(unit, 30, branches=4)
+    sizes = np.zeros(30, int)
+    order = tree.leaves(unit[0], 30)
+    sizes[order[12]], sizes[order[20]] = 4, 9
+    assert tree.leaves(unit[0], 2, sizes, 4) == order[:13]
+    assert tree.leaves(unit[0], 2, sizes, 5) == order[:21]
+    assert tree.leaves(unit[0], 2, sizes, 99) == order
+    assert tree.leaves(unit[0], 15, sizes, 4) == order[:15]
+
+
 def test_best_bin_first_reaches_every_leaf():
     rng = np.random.default_rng(3)
     unit = rng.normal(size=(2000, 6))
