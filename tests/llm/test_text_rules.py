@@ -1,10 +1,20 @@
 """Licence scan, quality cascade and line dedup on small tables."""
 
+import pytest
 from llm_helpers import frame, odd_documents, rows_of, words
+from pyspark.sql import functions as F
 
 from tapeline.llm.license import TEMPLATES, license_scan
 from tapeline.llm.line_dedup import dedup_lines
-from tapeline.llm.quality import MEASURES, RULES, quality_verdicts, rule_order, text_measures
+from tapeline.llm.quality import (
+    LATE,
+    MEASURES,
+    RULES,
+    cascade,
+    quality_verdicts,
+    rule_order,
+    text_measures,
+)
 
 
 def test_license_phrases_and_templates(spark):
@@ -72,12 +82,43 @@ def test_quality_order_changes_no_verdict(spark):
     assert sorted(rule_order(docs)) == sorted(RULES)
     verdicts = quality_verdicts(docs)
     failed = " OR ".join(f"({r})" for r in RULES.values())
-    plain = text_measures(docs, keep=["doc_id"]).selectExpr("doc_id", f"NOT ({failed}) AS kept")
+    measured = text_measures(docs, keep=["doc_id"]).withColumn("n_capitals", F.expr(LATE["n_capitals"]))
+    plain = measured.selectExpr("doc_id", f"NOT ({failed}) AS kept")
     assert rows_of(verdicts, "doc_id", "kept") == rows_of(plain, "doc_id", "kept")
     assert verdicts.where("kept <> isnull(rejected_by) OR (base_failed AND kept)").count() == 0
     assert quality_verdicts(docs.limit(0)).collect() == []
 
 
+def test_quality_rules_in_order_of_rejections_per_cost(spark):
+    """Few words reject most; symbols reject more than capitals do, but only what few words reject as well."""
+    rows = [(i, "short # # # #") for i in range(60)]
+    rows += [(100 + i, "CAPITALS " * 30) for i in range(8)]
+    rows += [(200 + i, " ".join(f"{'w' * (j % 5 + 1)}{j}" for j in range(40 + i))) for i in range(30)]
+    docs = frame(spark, rows)
+    rules = {
+        "capitals": "2 * n_capitals > word_chars", "symbols": "4 * n_symbols > n_words",
+        "few_words": "n_words < 20", "never": "n_words < 0",
+    }
+    order = rule_order(docs, rules=rules)
+    # Symbols and few words reject the same documents for the same cost: the one that stands first.
+    assert order == ["symbols", "capitals", "few_words", "never"]
+    assert all(rule_order(docs.repartition(n), rules=rules) == order for n in (1, 5, 9))
+    assert rule_order(docs.limit(0), rules=rules) == list(rules)
+
+
+def test_quality_measures_that_wait_are_not_made_for_rejected_documents(spark, monkeypatch):
+    """A measure that fails when it is made for a document with few words: only the order decides."""
+    made = "CASE WHEN size(split(_text, ' ')) < 20 THEN raise_error('made') ELSE length(_text) END"
+    monkeypatch.setitem(LATE, "n_capitals", made)
+    docs = frame(spark, [(i, "word " * (5 if i % 3 else 50)) for i in range(60)])
+    measured = text_measures(docs, keep=["doc_id"])
+    rules = {"few_words": "n_words < 20", "capitals": "n_capitals < 0"}
+    found = measured.withColumn("by", cascade(["few_words", "capitals"], rules)).groupBy("by").count().collect()
+    assert {r["by"]: r["count"] for r in found} == {"few_words": 40, None: 20}
+    with pytest.raises(Exception, match="made"):
+        measured.withColumn("by", cascade(["capitals", "few_words"], rules)).groupBy("by").count().collect()
+
+
 def plain_dedup(rows):
     """Lines by order of id; rows without an id last and one document."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
