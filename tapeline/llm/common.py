@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,26 @@ def stored(rows: DataFrame, name: str, **options: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def with_others_aside(
+    docs: DataFrame, own: Sequence[str], operate: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """`operate` on the columns in `own`, with all others in one struct beside them.
+
+    So no column of the input can be taken for one that the operator makes. What comes out has the
+    columns of `docs` in their order, then those that were added; an added one takes the place of an input
+    column of its name.
+    """
+    others = [name for name in docs.columns if name not in own]
+    aside = F.struct(*[F.col(f"`{name}`") for name in others]) if others else F.lit(0)
+    rows = operate(docs.select(*own, aside.alias("_others")))
+    added = [name for name in rows.columns if name not in (*own, "_others")]
+    kept = [name for name in docs.columns if name not in added]
+    return rows.select(
+        *[F.col(name) if name in own else F.col("_others").getField(name).alias(name) for name in kept],
+        *added,
+    )
+
+
 def whole_text(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

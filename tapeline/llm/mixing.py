@@ -20,16 +20,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import split_words, stored, whole_text
+from tapeline.llm.common import split_words, stored, whole_text, with_others_aside
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 BLOCK = 512
 CHUNK = 256
+# Slots that are kept together in a mix that is written out.
+RUN = 4_096
 
-# Fractional part of the golden ratio.
-_GOLDEN = 0.6180339887498949
+# Fractional part of the golden ratio in 64 binary places, as two halves.
+_GOLDEN_HIGH, _GOLDEN_LOW = 0x9E3779B9, 0x7F4A7C15
 
 
 def source_targets(
@@ -131,6 +133,25 @@ def source_strings(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def golden_point(n: Column) -> Column:
+    """frac(n * golden ratio), exact to the last of 53 places for any n below 2^62.
+
+    The product modulo 2^64 is put together from halves, as n times a double would lose its fraction.
+    """
+    half = 1 << 32
+    n_high, n_low = F.shiftright(n, 32), n.bitwiseAND(half - 1)
+    a, b = F.shiftright(n_low, 16), n_low.bitwiseAND(0xFFFF)
+    low = b * _GOLDEN_LOW + (a * _GOLDEN_LOW).bitwiseAND(0xFFFF) * (1 << 16)
+    carried = F.shiftright(low, 32) + F.shiftright(a * _GOLDEN_LOW, 16)
+    high = (
+        carried
+        + b * _GOLDEN_HIGH
+        + (a * _GOLDEN_HIGH).bitwiseAND(0xFFFF) * (1 << 16)
+        + n_high * _GOLDEN_LOW
+    ).bitwiseAND(half - 1)
+    return (high + low.bitwiseAND(half - 1) / half) / half
+
+
 def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """The slots: `slot`, `source_no`, `block_no`, of which a source has as many as it needs.
 
@@ -161,10 +182,7 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
             )
         ).alias("cell"),
     )
-    point = F.col("id") * F.lit(_GOLDEN)
-    points = spark.range(slots).select(
-        F.col("id").alias("slot"), (point - F.floor(point)).alias("point")
-    )
+    points = spark.range(slots).select(F.col("id").alias("slot"), golden_point(F.col("id")).alias("point"))
     hit = (
         points.withColumn("cell", F.floor(F.col("point") * cells))
         .join(cut, "cell")
@@ -185,10 +203,10 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     got = ranked.groupBy("source_no").agg(F.count(F.lit(1)).alias("got"))
     short = needs.join(got, "source_no", "left").na.fill(0, ["got"]).where("got < needed")
     tail = short.select(
-        "source_no", F.explode(F.expr("sequence(got, needed - 1)")).alias("block_no")
-    ).select(
-        (F.lit(slots) + F.monotonically_increasing_id()).alias("slot"), "source_no", "block_no"
+        "source_no", "got", F.explode(F.expr("sequence(got, needed - 1)")).alias("block_no")
     )
+    turn = (F.col("block_no") - F.col("got")) * n_sources + F.col("source_no")
+    tail = tail.select((slots + turn).alias("slot"), "source_no", "block_no")
     return filled.unionByName(tail)
 
 
@@ -225,10 +243,11 @@ def mix_pieces(strings: DataFrame, targets: DataFrame, block: int = BLOCK) -> Da
 
 
 def mix_shares(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
-    """Per document: doc_id, shuffle, source, size, source_size, target, taken.
+    """Per document: doc_id, shuffle, source, size, source_size, target, taken, first_slot, last_slot, n_slots.
 
     `taken` counts the words that the mix takes of the document, repeats counted, from 0 to
-    `MOST` times its size. Empty and null texts have size 0 and nothing is taken of them; null
+    `MOST` times its size, in `n_slots` pieces, of which the first and last stand in the slots named (null
+    if nothing is taken). Empty and null texts have size 0 and nothing is taken of them; null
     sources are a source of their own; rows that are equal are each a document of their own; an
     empty table gives no rows; other columns are not read.
     """
@@ -236,7 +255,12 @@ def mix_shares(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataF
     targets = stored(source_targets(sizes), "mix-targets")
     strings = stored(source_strings(sizes, targets), "mix-strings")
     key = ["source_no", "begin", "size"]
-    taken = mix_pieces(strings, targets, block).groupBy(*key).agg(F.sum("words").alias("taken"))
+    taken = mix_pieces(strings, targets, block).groupBy(*key).agg(
+        F.sum("words").alias("taken"),
+        F.min("slot").alias("first_slot"),
+        F.max("slot").alias("last_slot"),
+        F.count(F.lit(1)).alias("n_slots"),
+    )
     return strings.join(taken, key, "left").select(
         "doc_id",
         "shuffle",
@@ -245,20 +269,33 @@ def mix_shares(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataF
         "source_size",
         "target",
         F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"),
+        "first_slot",
+        "last_slot",
+        F.coalesce("n_slots", F.lit(0).cast("bigint")).alias("n_slots"),
     )
 
 
 def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents as the mix takes them, with the columns of `docs`.
+    """The documents as the mix takes them, with the columns of `docs`, in runs of slots.
 
     A document is repeated as often as it is taken whole; what is taken of it beyond that is a row
     with the first words of its text. Documents of which nothing is taken are left out, among them
-    those without words. Rows that are equal take what they take together in equal parts.
+    those without words. Rows that are equal take what they take together in equal parts. Each
+    partition holds runs of `RUN` slots in the order of the schedule, a document where its first piece stands, a
+    repeat where its last does: read one run after another, the sources come by their weights all along.
     """
+    own = [name for name in ("doc_id", text, "source", "n_chars") if name in docs.columns]
+    return with_others_aside(docs, own, lambda rows: _mixed(rows, text))
+
+
+def _mixed(docs: DataFrame, text: str) -> DataFrame:
     shares = mix_shares(docs, text)
     keys = [F.col(name).alias(f"_{name}") for name in ("doc_id", "shuffle", "source")]
     shares = shares.groupBy(*keys).agg(
-        F.max("size").alias("_size"), F.avg("taken").cast("bigint").alias("_taken")
+        F.max("size").alias("_size"),
+        F.avg("taken").cast("bigint").alias("_taken"),
+        F.min("first_slot").alias("_first_slot"),
+        F.max("last_slot").alias("_last_slot"),
     )
     keyed = docs.withColumn("_own", F.xxhash64("doc_id", text))
     same = [
@@ -266,9 +303,17 @@ def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("_doc_id")),
         F.col("source").eqNullSafe(F.col("_source")),
     ]
-    rows = keyed.join(shares.where("_taken > 0"), reduce(lambda a, b: a & b, same)).withColumn(
-        "_words", F.explode(F.expr("transform(sequence(1, CAST(ceil(_taken / _size) AS INT)),"
-                                   " i -> least(_size, _taken - (i - 1) * _size))"))
+    copies = """transform(sequence(1, CAST(ceil(_taken / _size) AS INT)), i -> struct(
+                    least(_size, _taken - (i - 1) * _size) AS words,
+                    if(i = 1, _first_slot, _last_slot) AS slot))"""
+    rows = (
+        keyed.join(shares.where("_taken > 0"), reduce(lambda a, b: a & b, same))
+        .select("*", F.explode(F.expr(copies)).alias("_copy"))
+        .withColumn("_words", F.col("_copy.words"))
+        .withColumn("_slot", F.col("_copy.slot"))
+        .withColumn("_run", F.floor(F.col("_slot") / RUN))
+        .repartition("_run")
+        .sortWithinPartitions("_run", "_slot", "doc_id", "_words")
     )
     whole = F.col("_words") == F.col("_size")
     first_words = F.array_join(

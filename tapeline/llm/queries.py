@@ -39,7 +39,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    columns = [
+        "doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot", "n_slots",
+    ]
     return mixing.mix_shares(_documents(spark, sf_dir)).select(*columns)
 
 
