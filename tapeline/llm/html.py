@@ -463,11 +463,11 @@ def main_text(
     """`pages` without `page`, with the main text and its length in code points.
 
     A page without main text, an empty page and a null give the empty text. Each row is a page of
-    its own; other columns stay. References to characters are decoded, white space in a block becomes
+    its own; other columns stay, but for those named like what is made here. References to characters are decoded, white space in a block becomes
     one space, blocks are joined by line ends.
     """
     sent = pages.sparkSession.sparkContext.broadcast((model.weights, model.pairs))
-    kept = [c for c in pages.columns if c != page]
+    kept = [c for c in pages.columns if c not in (page, text, n_chars)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained, cache = Model(*sent.value), {}

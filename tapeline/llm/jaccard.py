@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import stored, worker_cache
+from tapeline.llm.common import stored, with_others_aside, worker_cache
 from tapeline.llm.components import connected
 from tapeline.streaming.runs import session_settings
 
@@ -480,6 +480,12 @@ def one_of_each_group(
     Rows without words belong to no group and all stay. Rows without an id are last in their group;
     of equal rows one stays.
     """
+    return with_others_aside(
+        docs, [id_column, text], lambda rows: _one_of_each_group(rows, id_column, text, n, percent)
+    )
+
+
+def _one_of_each_group(docs: DataFrame, id_column: str, text: str, n: int, percent: int) -> DataFrame:
     def key(identity: Column, text_hash: Column) -> dict[str, Column]:
         last = F.lit(2**63 - 1)
         return {"_key1": F.coalesce(identity.cast("bigint"), last), "_key2": text_hash}

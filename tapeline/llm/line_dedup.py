@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import sealed, stored, whole_text
+from tapeline.llm.common import sealed, stored, whole_text, with_others_aside
 
 WINDOW = 3
 _BLANK = r"^[\\x20\\x09-\\x0D]*$"
@@ -76,8 +76,14 @@ def dedup_lines(
     A document with fewer than three lines with a word has no windows and stays as it is, as does a
     null text. Rows that share an id count as one document: they are not repeats of each other.
     Rows without an id are kept, as the last document. If nothing is removed the text is unchanged;
-    a document that loses all its lines is kept with an empty text.
+    a document that loses all its lines is kept with an empty text. Other columns stay as they are; with
+    `counts`, an input column of either name gives way.
     """
+    own = [name for name in (id_column, text, "n_chars") if name in docs.columns]
+    return with_others_aside(docs, own, lambda rows: _dedup(rows, id_column, text, counts))
+
+
+def _dedup(docs: DataFrame, id_column: str, text: str, counts: bool) -> DataFrame:
     keyed = docs.withColumn("_order", _order_key(id_column))
     later = repeated_windows(docs, id_column, text)
     rows = _windows(keyed.join(later, F.col("_order") == F.col("_doc"), "left"), text)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tapeline.llm.common import hashed_sample, text_slices
+from tapeline.llm.common import hashed_sample, text_slices, with_others_aside
 
 SAMPLE = {1: 800, 0: 2_400}
 FEATURE_BITS = 18
@@ -295,7 +295,13 @@ def fit_from_labels(
     rate = counts.get(1, 0) / total if total else 0.0
     # As many rows of two numbers as the sample has documents; the fit is one task's work.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = rows.dropDuplicates(["doc_id"]).repartition(1).select("doc_id", "text", "toxic")
+    # Of rows that share an id, the one whose text has the smallest hash.
+    rows = (
+        rows.groupBy("doc_id", "toxic")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .repartition(1)
+        .select("doc_id", "text", "toxic")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted(
@@ -409,5 +415,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic, as they are."""
-    scored = score_documents(docs, fit_from_labels(docs, labels), score="_toxicity")
-    return scored.where(F.col("_toxicity") < THRESHOLD).select(*docs.columns)
+    model = fit_from_labels(docs, labels)
+
+    def kept(rows: DataFrame) -> DataFrame:
+        scored = score_documents(rows, model, score="_toxicity")
+        return scored.where(F.col("_toxicity") < THRESHOLD).drop("_toxicity")
+
+    return with_others_aside(docs, ["doc_id", "text"], kept)

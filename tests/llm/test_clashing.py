@@ -1,0 +1,79 @@
+"""Operators that give back the input's columns, with columns named like everything they make."""
+
+import re
+from pathlib import Path
+
+import pytest
+from llm_helpers import frame, odd_documents
+
+import tapeline.llm
+from tapeline.llm.html import main_text, prior_model
+from tapeline.llm.jaccard import one_of_each_group
+from tapeline.llm.line_dedup import dedup_lines
+from tapeline.llm.mixing import mixed_documents
+from tapeline.llm.toxicity import without_toxic
+
+FIXED = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def work_names():
+    """Every quoted name in the subpackage's code, among them all columns that it makes."""
+    folder = Path(tapeline.llm.__file__).parent
+    names = set()
+    for file in folder.glob("*.py"):
+        source = file.read_text()
+        names |= set(re.findall(r"[\"']([a-z_][a-z0-9_]*)[\"']", source))
+        names |= set(re.findall(r"\bAS ([a-z_][a-z0-9_]*)", source))
+    return sorted(names - FIXED)
+
+
+def labels(spark):
+    rows = [(i, 1, int(i % 4 == 0)) for i in range(40)]
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+
+
+def documents(spark):
+    rows = [(i, f"same words in line {i % 9}\nand more of them here\nthird line of it\n{i % 5}") for i in range(40)]
+    return frame(spark, rows + [(100 + (i or 0), t) for i, t, *_ in odd_documents()])
+
+
+OPERATORS = {
+    "dedup_lines": lambda docs, spark: dedup_lines(docs, counts=False),
+    "mixed_documents": lambda docs, spark: mixed_documents(docs),
+    "one_of_each_group": lambda docs, spark: one_of_each_group(docs, n=5, percent=80),
+    "without_toxic": lambda docs, spark: without_toxic(docs, labels(spark)),
+}
+
+
+def rows(frame, names):
+    return sorted((tuple(r[n] for n in names) for r in frame.select(*names).collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_columns_named_like_work_columns_stay(spark, name):
+    docs = documents(spark)
+    extra = work_names()
+    assert {"_full", "_new", "_order", "_doc", "_own", "_size", "_key1", "_toxicity", "n_lines"} <= set(extra)
+    wide = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in extra])
+    plain, clashing = OPERATORS[name](docs, spark), OPERATORS[name](wide, spark)
+    assert clashing.columns == wide.columns
+    assert clashing.schema == wide.schema
+    assert rows(clashing, docs.columns) == rows(plain, docs.columns)
+    for row in clashing.select("doc_id", *extra).collect():
+        for n in extra:
+            assert row[n] == (None if row["doc_id"] is None else f"{n}{row['doc_id']}"), n
+
+
+def test_counts_take_the_place_of_columns_of_their_name(spark):
+    docs = documents(spark).selectExpr("*", "'x' AS n_lines", "'y' AS _full")
+    got = dedup_lines(docs)
+    assert got.columns == [c for c in docs.columns if c != "n_lines"] + ["n_lines", "n_removed"]
+    assert dict(got.dtypes)["n_lines"] == "bigint"
+    assert {r["_full"] for r in got.collect()} == {"y"}
+
+
+def test_pages_with_text_columns(spark):
+    pages = spark.createDataFrame([(1, "<p>x</p>", "old", "leaf")], "page_id int, html string, text string, leaf string")
+    got = main_text(pages, prior_model())
+    assert got.columns == ["page_id", "leaf", "text", "n_chars"]
+    assert got.first()["leaf"] == "leaf"
