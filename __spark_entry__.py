@@ -287,12 +287,12 @@ def late_accounts_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _accounts(spark, sf_dir, lambda t: stateful_totals(t, buckets=_buckets(spark)))
 
 
-def open_groups_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+def held_groups_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that the watermark of the last slice has not passed."""
     return _open_after_slices(spark, sf_dir, window_totals)
 
 
-def open_groups_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+def held_groups_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups that the last slice changed; all others have been forgotten by then."""
     make = lambda t: stateful_totals(t, buckets=_buckets(spark))
     return _open_after_slices(spark, sf_dir, make)
@@ -550,8 +550,8 @@ def queries() -> dict[str, Query]:
         "slices_stateful": slices_stateful,
         "late_accounts_native": late_accounts_native,
         "late_accounts_stateful": late_accounts_stateful,
-        "open_groups_native": open_groups_native,
-        "open_groups_stateful": open_groups_stateful,
+        "held_groups_native": held_groups_native,
+        "held_groups_stateful": held_groups_stateful,
         "late_open_native": late_open_native,
         "late_open_stateful": late_open_stateful,
         "late_closed_native": late_closed_native,
@@ -702,10 +702,10 @@ def oracle_sql() -> dict[str, str]:
         "late_accounts_native": accounts,
         "late_accounts_stateful": accounts,
         # The watermark of the last slice comes from those before: five minutes less than their latest.
-        "open_groups_native": f"""
+        "held_groups_native": f"""
             SELECT * FROM ({minute}) WHERE epoch_us(window_end) // 1000000 > (
                 SELECT max("TS") - 300 FROM ({sliced}) WHERE slice < 3 AND "F" IN ('1', '2'))""",
-        "open_groups_stateful": f"""
+        "held_groups_stateful": f"""
             SELECT * FROM ({minute}) SEMI JOIN (
                 SELECT {_window_start(60)} AS window_start, "M" AS market,
                        CASE "F" WHEN '1' THEN 'SELL' ELSE 'BUY' END AS direction
