@@ -12,10 +12,13 @@ is at least c(a, b), the least integer for which the Jaccard threshold holds.
 Documents with equal sets form a class and are joined as one. Links are looked for until everything
 that could be linked is known to be in one component or compared: first every member of a list with
 the list's pivot, its member with the fewest rarer shingles; then, only in lists whose members are
-still in several components, all pairs of members of different components. So a group of thousands
-of near copies costs about as many comparisons as it has members, and no link is lost. Candidates
-pass a length filter and a filter on 512 parity bits (a bound on the symmetric difference) before
-their whole sets are compared.
+still in several components, members of different components with one another. So a group of
+thousands of near copies costs about as many comparisons as it has members, and no link is lost.
+A list in which that would be many pairs is split by the next shingle that its members share, and
+its parts again, as long as the parts cost less than the list: linked sets share not one but many of
+their first shingles. Candidates pass a length filter and a filter on 512 parity bits (a bound on the
+symmetric difference) before their whole sets are compared. A node that stands in many pairs is
+joined to them in several tasks.
 
 The order of shingles is by a count of 2**20 hashed buckets over the whole corpus, then by hash: any
 total order gives the same links, a good one gives short lists. Its size does not depend on the data.
@@ -42,6 +45,10 @@ PARITY_WORDS = 8
 LIGHT_MOST = 24
 # What one comparison of two sets costs, in rows shuffled.
 COMPARE_COST = 10
+# How many shared shingles a list is split by at most; more only cost time.
+DEPTH = 6
+# Rows of a list, or pairs of a node, that one task joins at a time.
+BLOCK = 1000
 REMEMBERED = 250_000
 # Rows that Spark and a Python worker hand each other at a time.
 BATCH_ROWS = 500
@@ -61,6 +68,16 @@ def _overlap_column(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent) - 1e-9)
 
 
+def _least_partner_overlap(percent: int) -> Column:
+    """What a set of `n` elements shares at least with any that it is linked to."""
+    return F.expr(f"({percent} * n + 99) div 100")
+
+
+def _lead(percent: int) -> Column:
+    """How many of its rarest shingles a set puts into lists."""
+    return (F.col("n") - _least_partner_overlap(percent) + 1).cast("int")
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _ODD2
     x = (x ^ (x >> np.uint64(29))) * _ODD
@@ -147,7 +164,8 @@ _SETS = (
 def document_sets(docs: DataFrame, id_column: str, text: str, n: int, percent: int) -> DataFrame:
     """Per document: size and class of its set, parity bits, and its rarest shingles.
 
-    `prefix` has one shingle more than a linked set may lack; `shingles` has all of a small set.
+    `prefix` has one shingle more than a linked set may lack, and `DEPTH` - 1 more to split lists by;
+    `shingles` has all of a small set.
     """
     sent = docs.sparkSession.sparkContext.broadcast(bucket_counts(docs, text, n))
 
@@ -160,7 +178,7 @@ def document_sets(docs: DataFrame, id_column: str, text: str, n: int, percent: i
             for raw in batch.column(2).to_pylist():
                 h = np.unique(shingle_hashes(raw, n))
                 bits = np.bincount((h & np.uint64(511)).astype(np.int64), minlength=512) & 1
-                lead = len(h) - -(-percent * len(h) // 100) + 1 if len(h) else 0
+                lead = len(h) - -(-percent * len(h) // 100) + DEPTH if len(h) else 0
                 order = np.lexsort((h, counts[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))
                 signed = h.view(np.int64)
                 sizes.append(len(h))
@@ -238,7 +256,7 @@ def light_most(classes: DataFrame, percent: int) -> int:
     """
     lists = (
         classes.where(F.col("n").between(1, LIGHT_MOST))
-        .select(F.explode("prefix").alias("token"))
+        .select(F.explode(F.slice("prefix", F.lit(1), _lead(percent))).alias("token"))
         .groupBy("token")
         .count()
         .agg(F.avg("count"))
@@ -264,12 +282,11 @@ class _Links:
     def __init__(self, texts: DataFrame, classes: DataFrame, n: int, percent: int):
         self.texts, self.classes, self.n, self.percent = texts, classes, n, percent
 
-    def likely(self, pairs: DataFrame) -> DataFrame:
+    def likely(self, pairs: DataFrame, hubs: DataFrame) -> DataFrame:
         """Pairs (a, b) that pass the filters on length and parity, with `d`, the parity distance."""
-        info = self.classes.select("node", "n", "parity")
         for side in ("a", "b"):
-            named = info.select(*[F.col(c).alias(f"{c}_{side}") for c in info.columns])
-            pairs = pairs.join(named, F.col(side) == F.col(f"node_{side}")).drop(f"node_{side}")
+            named = [F.col(c).alias(f"{c}_{side}") for c in ("n", "parity")]
+            pairs = _beside(pairs, side, self.classes.select("node", *named), hubs)
         a, b = F.col("n_a"), F.col("n_b")
         overlap = _overlap_column(a, b, self.percent)
         distance = sum(
@@ -306,7 +323,7 @@ class _Links:
         texts = self.texts.join(wanted, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
         return texts.select("node", "text").mapInArrow(whole, "node bigint, set binary")
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame, sets: DataFrame, hubs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose whole sets meet the threshold."""
         percent = self.percent
 
@@ -321,20 +338,179 @@ class _Links:
 
         joined = pairs.select("a", "b")
         for side in ("a", "b"):
-            named = sets.select(F.col("node").alias("_n"), F.col("set").alias(f"set_{side}"))
-            joined = joined.join(named, F.col(side) == F.col("_n")).drop("_n")
+            joined = _beside(joined, side, sets.select("node", F.col("set").alias(f"set_{side}")), hubs)
         return joined.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def _hubs(ends: DataFrame) -> DataFrame:
+    """`hub` and `parts` of the nodes that stand in more than `BLOCK` of the rows (node)."""
+    parts = F.ceil(F.col("count") / F.lit(BLOCK)).cast("int").alias("parts")
+    counted = ends.groupBy("node").count().where(F.col("count") > BLOCK)
+    return stored(counted.select(F.col("node").alias("hub"), parts), "hubs")
+
+
+def _beside(
+    pairs: DataFrame, side: str, info: DataFrame, hubs: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """Pairs with what `info` has for the node of one side.
+
+    A hub's pairs are dealt by their other side to `parts` tasks, each of which gets its row of `info`.
+    """
+    other = "b" if side == "a" else "a"
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = (
+        pairs.join(hubs, F.col(side) == F.col("hub"), "left")
+        .withColumn("_part", F.pmod(F.xxhash64(other), parts).cast("int"))
+        .drop("hub", "parts")
+    )
+    spread = (
+        info.join(hubs, F.col("node") == F.col("hub"), "left")
+        .withColumn("_each", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("hub", "parts")
+    )
+    both = (F.col(side) == F.col("node")) & (F.col("_part") == F.col("_each"))
+    return dealt.join(spread, both, how).drop("node", "_part", "_each")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame, hubs: DataFrame) -> DataFrame:
     """Pairs whose sides are not known to be in one component."""
     for side in ("a", "b"):
-        named = labels.select(F.col("node").alias("_n"), F.col("label").alias(f"_label_{side}"))
-        pairs = pairs.join(named, F.col(side) == F.col("_n"), "left").drop("_n")
+        named = labels.select("node", F.col("label").alias(f"_label_{side}"))
+        pairs = _beside(pairs, side, named, hubs, "left")
     a, b = (F.coalesce(f"_label_{s}", F.col(s)) for s in ("a", "b"))
     return pairs.where(a != b).drop("_label_a", "_label_b")
 
 
+def _list_costs(entries: DataFrame, *more: str) -> DataFrame:
+    """Per list (key) with several components: members, largest component, pairs, rows of its parts.
+
+    Members outside the largest component meet all others, so there are at most twice as many pairs
+    as lie across components.
+    """
+    by_label = entries.groupBy("key", *more, "label").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("room").alias("room")
+    )
+    lists = by_label.groupBy("key", *more).agg(
+        F.sum("size").alias("size"),
+        F.max(F.struct("size", "label")).alias("main"),
+        F.sum("room").alias("room"),
+    )
+    outside = (F.col("size") - F.col("main.size")).alias("outside")
+    return lists.select(
+        "key", *more, "size", outside, F.col("main.label").alias("main"), "room",
+        (F.col("size") * outside.cast("double")).alias("pairs"),
+    ).where("outside > 0")
+
+
+def _list_parts(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Entries of lists, `parent`, once for each next shingle that a linked set can share.
+
+    If sets share at least c elements, the first k that they share are among the first n - c + k of
+    each, for any k up to c. Sets too small for that are kept as a part of their own, which ends.
+    """
+    deeper = (
+        entries.where("room > 0")
+        .join(classes.select("node", "prefix"), "node")
+        .select(
+            F.col("key").alias("parent"), "node", "label", "n", "known", F.col("pos").alias("_last"),
+            F.posexplode(F.slice("prefix", F.col("pos") + 2, F.col("room"))).alias("_at", "_token"),
+        )
+        .select(
+            "parent", F.xxhash64("parent", "_token").alias("key"), "node", "label", "n",
+            (F.col("_last") + 1 + F.col("_at")).alias("pos"), (F.col("known") + 1).alias("known"),
+        )
+        .withColumn("room", _room(percent))
+    )
+    ended = entries.where(_least_partner_overlap(percent) <= F.col("known")).select(
+        F.col("key").alias("parent"), F.xxhash64("key", F.lit("ended")).alias("key"),
+        "node", "label", "n", "pos", "known", F.lit(0).alias("room"),
+    )
+    return deeper.unionByName(ended)
+
+
+def _room(percent: int) -> Column:
+    """How many shingles after `pos` can be the next that a linked set shares."""
+    last = F.least(_lead(percent) + F.col("known") - 1, F.col("n") - 1)
+    return F.greatest(last - F.col("pos"), F.lit(0)).cast("int")
+
+
+def _list_pairs(entries: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across the components of each list that pass the filters on length and position.
+
+    Members outside the largest component meet all others, in blocks of about `BLOCK` by `BLOCK` rows.
+    """
+    rows = entries.join(lists.select("key", "size", "outside", "main"), "key")
+    across, down = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("outside", "size"))
+
+    def side(of: DataFrame, name: str, row: Column, column: Column) -> DataFrame:
+        kept = [F.col(c).alias(f"{c}_{name}") for c in ("node", "pos", "n", "label", "known", "main")]
+        return of.select("key", row.alias("_row"), column.alias("_column"), *kept)
+
+    def every(blocks: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks - 1))
+
+    def dealt(blocks: Column) -> Column:
+        return F.pmod(F.xxhash64("node"), blocks).cast("int")
+
+    left = side(rows.where("label <> main"), "a", dealt(across), every(down))
+    right = side(rows, "b", every(across), dealt(down))
+    a, b = F.col("n_a"), F.col("n_b")
+    shared = F.least(a - F.col("pos_a"), b - F.col("pos_b")) + F.col("known_a") - 1
+    return (
+        left.join(right, ["key", "_row", "_column"])
+        .where("label_a <> label_b AND (label_b = main_b OR node_a < node_b)")
+        .where(_overlap_column(a, b, percent) <= F.least(shared, a, b))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    )
+
+
+def pairs_across(
+    open_lists: DataFrame,
+    classes: DataFrame,
+    percent: int,
+    say: Callable[[str, DataFrame], None] = lambda name, rows: None,
+) -> DataFrame:
+    """Distinct pairs (a, b) of members of one list in different components that can be linked.
+
+    A list is split by next shared shingles where its pairs are several times the rows of its parts,
+    and stays split where the parts together, rows and pairs, cost less than the whole. The first split
+    may cost up to twice as much: two shared shingles often gain nothing where three do.
+    """
+    entries = open_lists.select(
+        F.col("token").alias("key"), "node", "label", "n", "pos", F.lit(1).alias("known")
+    )
+    entries = entries.withColumn("room", _room(percent))
+    found = []
+    for depth in range(1, DEPTH + 1):
+        lists = stored(_list_costs(entries), "lists-open")
+        long = lists.where("pairs > 4 * room AND room > 0")
+        if depth == DEPTH or long.isEmpty():
+            say("lists", lists)
+            found.append(_list_pairs(entries, lists, percent))
+            break
+        parts = stored(
+            _list_parts(entries.join(long.select("key"), "key", "left_semi"), classes, percent), "parts"
+        )
+        costs = stored(_list_costs(parts, "parent"), "part-costs")
+        summed = costs.groupBy(F.col("parent").alias("key")).agg(F.sum("pairs").alias("_parts"))
+        split = stored(
+            long.join(summed, "key", "left")
+            .where(F.expr("coalesce(_parts, 0) + room") < F.col("pairs") * (2 if depth == 1 else 1))
+            .select("key"),
+            "split",
+        )
+        whole = lists.join(split, "key", "left_anti")
+        say("lists", whole)
+        found.append(_list_pairs(entries, whole, percent))
+        kept = costs.join(split.withColumnRenamed("key", "parent"), "parent", "left_semi")
+        entries = parts.join(kept.select("key", "parent"), ["key", "parent"], "left_semi").drop("parent")
+        entries = stored(entries, "entries")
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
+
+
 def labelled_rows(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -380,7 +556,7 @@ def _labelled_rows(
     # Sets that can link to a heavy one are in the lists as well.
     least = -(-percent * (most + 1) // 100)
     index = classes.where(F.col("n") >= least).select(
-        "node", F.posexplode("prefix").alias("pos", "token")
+        "node", F.posexplode(F.slice("prefix", F.lit(1), _lead(percent))).alias("pos", "token")
     )
     texts = docs.select(
         _known_id(id_column).alias("_id"),
@@ -397,21 +573,22 @@ def _labelled_rows(
     )
     # Most shingles are in one list entry only; what is left is a small part of the index.
     lists = stored(index.join(pivots, "token"), "lists")
+    hubs = _hubs(lists.select(F.col("a").alias("node")))
     pairs = lists.where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    likely = stored(links.likely(pairs), "likely")
+    likely = stored(links.likely(pairs, hubs), "likely")
     say("likely", likely)
     # Near copies are a share of all documents, so they are joined alike at every size; what is left
     # to compare across components is not, and is joined as its size allows.
     sets = stored(links.sets_of(likely, "merge"), "whole-sets")
     nearest = likely.groupBy("b").agg(F.min_by("a", "d").alias("a"))
-    found = stored(light.unionByName(links.verified(nearest, sets)), "linked")
+    found = stored(light.unionByName(links.verified(nearest, sets, hubs)), "linked")
     labels = stored(connected(found), "labels")
-    more = links.verified(_apart(likely, labels), sets)
+    more = links.verified(_apart(likely, labels, hubs), sets, hubs)
     found = stored(found.unionByName(more), "linked")
     labels = stored(connected(found), "labels")
     say("linked", found)
 
-    # Lists with members in several components: all their pairs across components.
+    # Lists with members in several components: pairs across components.
     in_lists = lists.drop("a").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
         in_lists.groupBy("token")
@@ -422,22 +599,11 @@ def _labelled_rows(
     sizes = classes.select("node", "n")
     open_lists = stored(in_lists.join(mixed, "token").join(sizes, "node"), "open-lists")
     say("open", open_lists)
-    left, right = (
-        open_lists.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "pos", "n", "label")])
-        for s in ("a", "b")
-    )
-    a, b = F.col("n_a"), F.col("n_b")
-    overlap = _overlap_column(a, b, percent)
-    pairs = (
-        left.join(right, "token")
-        .where("node_a < node_b AND label_a <> label_b")
-        .where((overlap <= F.least(a - F.col("pos_a"), b - F.col("pos_b"))))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-    )
-    likely = stored(links.likely(pairs), "likely")
+    pairs = stored(pairs_across(open_lists, classes, percent, say), "across")
+    hubs = _hubs(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    likely = stored(links.likely(pairs, hubs), "likely")
     say("likely across", likely)
-    more = links.verified(likely, stored(links.sets_of(likely), "whole-sets"))
+    more = links.verified(likely, stored(links.sets_of(likely), "whole-sets"), hubs)
     labels = stored(connected(found.unionByName(more)), "labels")
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

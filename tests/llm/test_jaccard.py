@@ -6,9 +6,10 @@ from itertools import combinations
 import pytest
 from llm_helpers import frame, odd_documents, rows_of, words
 
+from tapeline.llm import jaccard
 from tapeline.llm.components import connected
 from tapeline.llm.jaccard import (
-    least_overlap, near_duplicate_groups, one_of_each_group, subset_sizes,
+    labelled_rows, least_overlap, near_duplicate_groups, one_of_each_group, pairs_across, subset_sizes,
 )
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -21,7 +22,7 @@ def shingles(text, n=3):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
-def plain_groups(rows):
+def plain_groups(rows, percent=90):
     sets = [shingles(t) for _, t, *_ in rows]
     group = list(range(len(rows)))
 
@@ -33,7 +34,7 @@ def plain_groups(rows):
     for i, j in combinations(range(len(rows)), 2):
         both = len(sets[i] & sets[j])
         same_id = rows[i][0] is not None and rows[i][0] == rows[j][0]
-        if sets[i] and sets[j] and (100 * both >= 90 * len(sets[i] | sets[j]) or same_id):
+        if sets[i] and sets[j] and (100 * both >= percent * len(sets[i] | sets[j]) or same_id):
             group[root(i)] = root(j)
     smallest = {}
     for i, row in enumerate(rows):
@@ -106,6 +107,58 @@ def test_one_of_each_group(spark):
     assert kept.where("doc_id IN (1, 2, 3) OR (doc_id IS NULL AND text IS NULL)").count() == 4
 
 
+def few_words(seed, count, length=60):
+    """Texts of six words in any order, so that shingles are in many texts and hardly any two link."""
+    rng = random.Random(seed)
+    return [" ".join(rng.choice("abcdef") for _ in range(length)) for _ in range(count)]
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_split_lists_and_hubs(spark, monkeypatch, percent):
+    """Long lists are split, hubs and blocks are dealt to several tasks, and no link is lost."""
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    rng = random.Random(percent)
+    texts = few_words(1, 120) + [edited(rng, t, 1) for t in few_words(1, 120)[::4]]
+    texts += few_words(2, 60, 4) + few_words(3, 60, 9) + near_copies(4, 100, 40, 3) + ["a b c"] * 3
+    rows = list(enumerate(texts))
+    got = near_duplicate_groups(frame(spark, rows), percent=percent)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, percent)
+
+
+def test_lists_without_links_form_few_pairs(spark):
+    """Splitting forms a part of the pairs that lie in lists, a smaller one the longer the lists are."""
+    shares = []
+    for count in (400, 1600):
+        formed = {}
+
+        def say(name, table, formed=formed):
+            if name == "open":
+                sizes = [r["count"] for r in table.groupBy("token").count().collect()]
+                formed["plain"] = sum(n * (n - 1) for n in sizes)
+            if name == "lists":
+                formed["split"] = formed.get("split", 0) + sum(r["pairs"] for r in table.collect())
+
+        labelled_rows(frame(spark, list(enumerate(few_words(5, count)))), say=say)
+        shares.append(formed["split"] / formed["plain"])
+    assert shares[0] < 0.8 and shares[1] < 0.6 * shares[0]
+
+
+def test_one_outsider_meets_a_list_once(spark):
+    """A list of one component and one other member makes as many pairs as the component has members."""
+    open_lists = spark.createDataFrame(
+        [(1, i, 0, 100, 0) for i in range(500)] + [(1, 900, 0, 100, 900)],
+        "token bigint, node bigint, pos int, n bigint, label bigint",
+    )
+    classes = open_lists.selectExpr("node", "array(token) AS prefix")
+    costs = []
+
+    def say(name, table):
+        costs.extend((r["size"], r["outside"]) for r in table.collect())
+
+    pairs = rows_of(pairs_across(open_lists, classes, 90, say), "a", "b")
+    assert costs == [(501, 1)] and pairs == sorted(((i, 900) for i in range(500)), key=repr)
+
+
 def test_least_overlap():
     for a in range(1, 40):
         for b in range(1, 40):
