@@ -47,6 +47,8 @@ LIGHT_MOST = 24
 COMPARE_COST = 10
 # How many shared shingles a list is split by at most; more only cost time.
 DEPTH = 6
+# What a row of a part, which is written, costs in pairs, which are only formed and mostly filtered out.
+SPLIT_COST = 64
 # Rows of a list, or pairs of a node, that one task joins at a time.
 BLOCK = 1000
 REMEMBERED = 250_000
@@ -472,9 +474,9 @@ def pairs_across(
 ) -> DataFrame:
     """Distinct pairs (a, b) of members of one list in different components that can be linked.
 
-    A list is split by next shared shingles where its pairs are several times the rows of its parts,
-    and stays split where the parts together, rows and pairs, cost less than the whole. The first split
-    may cost up to twice as much: two shared shingles often gain nothing where three do.
+    A list is split by next shared shingles where its pairs cost more than the rows of its parts, and stays
+    split where the parts together have fewer pairs than the whole. The first split may have up to twice
+    as many: two shared shingles often gain nothing where three do.
     """
     entries = open_lists.select(
         F.col("token").alias("key"), "node", "label", "n", "pos", F.lit(1).alias("known")
@@ -483,7 +485,7 @@ def pairs_across(
     found = []
     for depth in range(1, DEPTH + 1):
         lists = stored(_list_costs(entries), "lists-open")
-        long = lists.where("pairs > 4 * room AND room > 0")
+        long = lists.where(F.col("pairs") > SPLIT_COST * F.col("room")).where("room > 0")
         if depth == DEPTH or long.isEmpty():
             say("lists", lists)
             found.append(_list_pairs(entries, lists, percent))

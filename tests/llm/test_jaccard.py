@@ -117,6 +117,7 @@ def few_words(seed, count, length=60):
 def test_split_lists_and_hubs(spark, monkeypatch, percent):
     """Long lists are split, hubs and blocks are dealt to several tasks, and no link is lost."""
     monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "SPLIT_COST", 4)
     rng = random.Random(percent)
     texts = few_words(1, 120) + [edited(rng, t, 1) for t in few_words(1, 120)[::4]]
     texts += few_words(2, 60, 4) + few_words(3, 60, 9) + near_copies(4, 100, 40, 3) + ["a b c"] * 3
@@ -125,8 +126,9 @@ def test_split_lists_and_hubs(spark, monkeypatch, percent):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, percent)
 
 
-def test_lists_without_links_form_few_pairs(spark):
+def test_lists_without_links_form_few_pairs(spark, monkeypatch):
     """Splitting forms a part of the pairs that lie in lists, a smaller one the longer the lists are."""
+    monkeypatch.setattr(jaccard, "SPLIT_COST", 4)
     shares = []
     for count in (400, 1600):
         formed = {}
