@@ -421,6 +421,7 @@ def subscription_added(spark: SparkSession, sf_dir: str) -> DataFrame:
         events_as_trades(_stream(spark, sf_dir, "events")),
         spark.readStream.schema(periods.schema).parquet(feed),
         longest="3650 days",
+        buckets=_buckets(spark),
     )
     writer = kept.writeStream.format("parquet").option("path", topic)
     start(spark, writer, work_folder(spark, "subscribed-state"), once=True).awaitTermination()

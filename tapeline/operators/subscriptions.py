@@ -72,6 +72,7 @@ def subscribed_at(
     *,
     longest: str = LONGEST,
     watermark: str = WATERMARK,
+    buckets: int = 1,
 ) -> DataFrame:
     """Trades whose channel was subscribed to at the trade's own time; both sides may be streams.
 
@@ -81,8 +82,13 @@ def subscribed_at(
 
     On streams, a trade waits in state until the watermark of the subscriptions is past it, as a period may
     still come that has begun by then, and a period until the watermark of the trades is past its longest
-    end. Append mode, as for records of a topic. A hot channel has one period per subscription in state,
-    its trades are those since the watermark.
+    end. Append mode, as for records of a topic. A hot channel has one period per subscription and bucket in
+    state, its trades are those since the watermark.
+
+    Two streams are joined by channel, so a channel's trades wait in one task. With `buckets` they are
+    dealt out to that many by id and time, and every bucket has a copy of the channel's periods: have a few
+    per task of the shuffle where there are few channels for the trades. Never change their number under a
+    checkpoint; with one, checkpoints are as they were before there were buckets.
     """
     at = F.expr(f"valid_from + INTERVAL {longest}")
     periods = _named(subscriptions).select(
@@ -96,6 +102,13 @@ def subscribed_at(
     if trades.isStreaming:
         timed = timed.withWatermark("_at", watermark)
     same = [F.col(name) == F.col(f"_{name}") for name in _CHANNEL]
+    # Only state has to be spread: a batch's hot partition is split, or its periods are broadcast.
+    if buckets > 1 and subscriptions.isStreaming and trades.isStreaming:
+        dealt_by = [name for name in ("ID", "TS") if name in trades.columns]
+        timed = timed.withColumn("_bucket", F.pmod(F.xxhash64(*dealt_by), F.lit(buckets)))
+        numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
+        periods = periods.withColumn("_copy", F.explode(numbers))
+        same.append(F.col("_bucket") == F.col("_copy"))
     inside = (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
     # Follows from the above; it tells until when a period has to be kept.
     bound = F.col("_at") < F.col("_from") + F.expr(f"INTERVAL {longest}")

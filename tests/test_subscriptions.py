@@ -6,6 +6,7 @@ import pytest
 from helpers import trade, trades_frame, write_batches
 
 from tapeline.operators.subscriptions import subscribed_at
+from tapeline.schemas import TRADE
 from tapeline.sources.files import read_trades
 from tapeline.streaming.runs import start
 
@@ -90,3 +91,34 @@ def test_renewed_periods_keep_a_trade_once(spark, threshold):
     trades = trades_frame(spark, [trade(ID="1"), trade(ID="1")])
     assert ids(subscribed_at(trades, periods(spark, rows))) == [1, 1]
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_channel_waits_in_several_tasks(spark, tmp_path):
+    """Its trades are spread over the state, and a period that comes later finds all of them, once."""
+    trades, feed, out, state = (str(tmp_path / x) for x in ("in", "subs", "out", "state"))
+    some = [trade(f"10:00:{i % 60:02d}", ID=str(i), M="Kraken") for i in range(200)]
+    some += [trade("10:00:00", ID=str(200 + i), TS=None, M="Kraken") for i in range(2)]
+    some += [trade("10:00:00", ID=None, M="Kraken"), trade("09:59:59", ID="300", M="Kraken")]
+
+    def step(number, rows, more):
+        write_batches(tmp_path / "in", [rows], first=number)
+        periods(spark, more).coalesce(1).write.mode("append").parquet(feed)
+        kept = subscribed_at(
+            spark.readStream.schema(TRADE).json(trades),
+            spark.readStream.schema(PERIOD).parquet(feed),
+            longest="1 hour",
+            buckets=16,
+        )
+        writer = kept.writeStream.format("parquet").option("path", out)
+        start(spark, writer, state, once=True, shuffle_partitions=4).awaitTermination()
+        return sorted(r.ID or "" for r in spark.read.schema("ID string").parquet(out).collect())
+
+    assert step(0, some, [("0~Gemini~BTC~USD", clock("10:00:00"), None)]) == []
+    left = spark.read.format("statestore").option("joinSide", "left").load(state)
+    held = {r.partition_id: r["count"] for r in left.groupBy("partition_id").count().collect()}
+    assert sum(held.values()) >= 201
+    # By channel alone, one task has them all.
+    assert len(held) > 1 and max(held.values()) < 150
+    kraken = [("0~Kraken~BTC~USD", clock("10:00:00"), None)] * 2
+    later = [trade("10:00:30", ID="400", M="Kraken"), trade("10:00:31", ID="401", M="Binance")]
+    assert step(1, later, kraken) == sorted(["", *map(str, range(200)), "400"])
